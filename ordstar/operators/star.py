@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ordstar.functions.text import col, cols
 from ordstar.operators.numbering import dense_number
+from ordstar.session import materialize
 from ordstar.sources.adapter import LINE_KEY
 from ordstar.specs import DimSpec, StarSpec
 
@@ -38,7 +39,31 @@ def build_dimension(staging: DataFrame, dim: DimSpec) -> DataFrame:
 
 
 def build_dimensions(staging: DataFrame, spec: StarSpec) -> dict[str, DataFrame]:
-    return {d.name: build_dimension(staging, d) for d in spec.dims}
+    """All dimensions in one scan, one distinct and one numbering pass.
+
+    Each staging row yields one ``(dimension, attribute array)`` entry per
+    dimension; the distinct is a single hash aggregate (partial aggregation
+    runs before the shuffle) and the keys come from one grouped dense
+    numbering. Array order is element-wise with nulls first, which is the
+    attributes' ``ASC NULLS FIRST`` order.
+    """
+    entries = []
+    for i, d in enumerate(spec.dims):
+        ok = F.lit(True)
+        for a in d.not_null:
+            ok = ok & col(a).isNotNull()
+        entry = F.struct(F.lit(i).alias("dim"),
+                         F.array(*[col(a).cast("string") for a in d.attributes]).alias("attrs"))
+        entries.append(F.when(ok, entry))
+    packed = (staging.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e"))
+                     .select("e.dim", "e.attrs").distinct())
+    numbered = dense_number(packed, ["attrs"], id_col="__key", groups=["dim"], nulls_first=True)
+    out = {}
+    for i, d in enumerate(spec.dims):
+        out[d.name] = numbered.where(F.col("dim") == i).select(
+            F.col("__key").cast("int").alias(d.key),
+            *[F.col("attrs")[j].alias(a) for j, a in enumerate(d.attributes)])
+    return out
 
 
 def _prefixed(dim_df: DataFrame, dim: DimSpec, attrs) -> DataFrame:
@@ -82,6 +107,13 @@ def _fact_columns(x: DataFrame, spec: StarSpec, order_key, numbered: bool, fk=No
     return num.select(F.col(spec.fact_key).cast("bigint").alias(spec.fact_key), *cols([*spec.fact_text, *fk, *spec.measures]))
 
 
-def build_star(staging: DataFrame, spec: StarSpec) -> tuple[dict[str, DataFrame], DataFrame]:
+def build_star(staging: DataFrame, spec: StarSpec, pin_staging: bool = True,
+               number_fact: bool = True) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Dimensions and full-key fact. Staging feeds both, so it is written once
+    to the scratch folder (the staging table) instead of re-running its joins.
+    ``number_fact=False`` skips the fact's own surrogate key (a sort of the
+    whole fact) when the caller only aggregates it."""
+    if pin_staging:
+        staging = materialize(staging, "staging")
     dims = build_dimensions(staging, spec)
-    return dims, fact_full_key(staging, dims, spec)
+    return dims, fact_full_key(staging, dims, spec, numbered=number_fact)

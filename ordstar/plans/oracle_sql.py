@@ -246,3 +246,116 @@ def integrity_audit_query() -> str:
 
 def dense_number_query() -> str:
     return f"SELECT CAST(row_number() OVER (ORDER BY {LINE_ORDER}) AS BIGINT) AS id, {', '.join(LINE_KEY)} FROM lineitem"
+
+
+# --- cleaning, sampling, delimited text, scalar functions -------------------
+
+_WS = r"'^\s+|\s+$'"
+_NUM = r"'[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?'"
+
+
+def sql_strip(x: str) -> str:
+    return f"regexp_replace({x}, {_WS}, '', 'g')"
+
+
+def sql_try_number(x: str) -> str:
+    s = sql_strip(f"CAST({x} AS VARCHAR)")
+    return (f"CASE WHEN regexp_full_match({s}, {_NUM}) THEN TRY_CAST({s} AS DOUBLE) "
+            f"WHEN lower({s}) IN ('inf', '+inf', 'infinity', '+infinity') THEN CAST('inf' AS DOUBLE) "
+            f"WHEN lower({s}) IN ('-inf', '-infinity') THEN CAST('-inf' AS DOUBLE) END")
+
+
+def sql_zfill(x: str, width: int) -> str:
+    s = f"CAST({x} AS VARCHAR)"
+    return f"CASE WHEN length({s}) < {width} THEN lpad({s}, {width}, '0') ELSE {s} END"
+
+
+def _stext_cte() -> str:
+    from ordstar.specs import NUMERIC_COLUMNS
+
+    v = q("produits.nodes.value")
+    repl = [f"""CASE l_linenumber % 7 WHEN 0 THEN 'n/a' WHEN 3 THEN '1,5'
+         WHEN 5 THEN ' ' || CAST({v} AS VARCHAR) || ' ' ELSE CAST({v} AS VARCHAR) END AS {v}"""]
+    repl += [f"CAST({q(m)} AS VARCHAR) AS {q(m)}" for m in NUMERIC_COLUMNS if m != "produits.nodes.value"]
+    return f"stext AS (SELECT * REPLACE ({', '.join(repl)}) FROM staging)"
+
+
+def coerce_numeric_query() -> str:
+    from ordstar.specs import NUMERIC_COLUMNS
+
+    cols = ['"rowId" AS "rowId"', "l_orderkey", "l_linenumber",
+            *[alias(sql_try_number(q(m)), m) for m in NUMERIC_COLUMNS]]
+    return with_staging(f"SELECT {', '.join(cols)} FROM stext", _stext_cte())
+
+
+def coerce_report_query() -> str:
+    from ordstar.specs import NUMERIC_COLUMNS
+
+    parts = [f"SELECT {sq(m)} AS \"column\", COUNT({q(m)}) AS n_text, COUNT({sql_try_number(q(m))}) AS n_numbers, "
+             f"COUNT({q(m)}) - COUNT({sql_try_number(q(m))}) AS n_coerced_null FROM stext"
+             for m in NUMERIC_COLUMNS]
+    return with_staging("\n" + "\nUNION ALL\n".join(parts), _stext_cte())
+
+
+FLAT_STAGING = [
+    "rowId", "type", "attributes.buyerNameContact", "attributes.feedstock", "attributes.trader",
+    "attributes.traderContact", "attributes.sellingManufacturerFacilityName", "attributes.manufacturer",
+    "attributes.manufacturerContact", "attributes.millsTracabilityPo", "attributes.millsTracabilityPko",
+    "attributes.plantationsTracabilityPo", "attributes.plantationsTracabilityPko", "attributes.volumeContact",
+    "buyer.nodes.name", "buyer.nodes.parentCompany.nodes.name", "point_of_contact.nodes.name",
+    "produits.nodes.value", "produits.nodes.unit", "produits.nodes.asset.descriptionShort",
+    "produits.nodes.asset.attributes.gtin", "produits.nodes.asset.attributes.hsCode",
+    "produits.nodes.asset.attributes.descriptionShort", "produits.nodes.asset.attributes.regulatedProductName",
+    "produits.nodes.asset.attributes.category", "produits.nodes.asset.attributes.isComponent",
+    "produits.nodes.asset.attributes.productLine", "produits.nodes.asset.attributes.countryOfOrigin",
+    "feedstock.nodes.quantity", "feedstock.nodes.unit", "feedstock.nodes.asset.descriptionShort",
+    "feedstock.nodes.rawMaterial.name", "transactionExpectedCertificateNomenclatures.nodes.type",
+    "transactionExpectedCertificateNomenclatures.nodes.level",
+    "transactionExpectedCertificateNomenclatures.nodes.tradeItem.descriptionShort",
+]
+
+
+def sample_head_query(n: int) -> str:
+    cols = [alias(q(c), c) for c in FLAT_STAGING] + list(LINE_KEY)
+    return with_staging(f"SELECT {', '.join(cols)} FROM staging ORDER BY {LINE_ORDER} LIMIT {n}")
+
+
+def sample_hash_query(n: int, seed: str, hash_cols) -> str:
+    h = "sha256(concat_ws('|', " + ", ".join([sq(seed), *[f"CAST({c} AS VARCHAR)" for c in hash_cols]]) + "))"
+    cols = ['"rowId" AS "rowId"', *LINE_KEY]
+    return with_staging(f"SELECT {', '.join(cols)} FROM staging ORDER BY {h}, {LINE_ORDER} LIMIT {n}")
+
+
+def csv_roundtrip_query() -> str:
+    from ordstar.specs import CSV_NA_TOKENS, NUMERIC_COLUMNS
+
+    tokens = ", ".join(sq(t) for t in CSV_NA_TOKENS)
+    out = []
+    for c in FLAT_STAGING:
+        if c in NUMERIC_COLUMNS:
+            out.append(alias(f"CAST({q(c)} AS DOUBLE)", c))
+        else:
+            out.append(alias(f"CASE WHEN {q(c)} IN ({tokens}) THEN NULL ELSE {q(c)} END", c))
+    return with_staging(f"SELECT {', '.join(out)} FROM staging")
+
+
+def scalar_parity_query() -> str:
+    from ordstar.specs import ID_BLANK_TOKENS
+
+    token = f"('FAKE_GTIN_' || {sql_zfill('c_custkey', 6)})"
+    blanks = ", ".join(sq(t) for t in ID_BLANK_TOKENS)
+    return f"""
+SELECT c_custkey,
+  {sql_strip("chr(9) || ' ' || c_name || ' ' || chr(10)")} AS stripped,
+  (mb IS NULL OR {sql_strip('mb')} = '') AS is_blank,
+  {sql_zfill('c_custkey', 6)} AS zfill6,
+  {sql_zfill('c_custkey * 1000', 6)} AS zfill6_wide,
+  upper(substr(c_mktsegment, 1, 1)) || lower(substr(c_mktsegment, 2)) AS capitalized,
+  {token} AS token,
+  TRY_CAST(string_split({token}, '_')[-1] AS BIGINT) AS token_number,
+  TRY_CAST(string_split(c_name, '_')[-1] AS BIGINT) AS name_number,
+  {sql_strip('mb')} IN ({blanks}) AS is_null_token,
+  contains(lower(c_mktsegment), 'build') AS contains_build,
+  {sql_try_number('CAST(c_acctbal AS VARCHAR)')} AS acctbal_number
+FROM (SELECT *, CASE WHEN c_acctbal < 0 THEN ' ' || chr(9) ELSE c_name END AS mb FROM customer) c
+WHERE c_acctbal IS NOT NULL"""

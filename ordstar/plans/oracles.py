@@ -24,3 +24,15 @@ ORACLES: dict[str, str] = {
     "kpi_buyers": o.kpi_buyers_query(),
     "volume_by_buyer": o.volume_by_buyer_query(),
 }
+
+from ordstar.plans import queries as _q  # noqa: E402
+from ordstar.specs import SAMPLE_ROWS  # noqa: E402
+
+ORACLES.update({
+    "coerce_numeric": o.coerce_numeric_query(),
+    "coerce_report": o.coerce_report_query(),
+    "sample_head": o.sample_head_query(SAMPLE_ROWS),
+    "sample_hash": o.sample_hash_query(_q.HASH_SAMPLE_ROWS, _q.HASH_SEED, _q.HASH_COLUMNS),
+    "csv_roundtrip": o.csv_roundtrip_query(),
+    "scalar_parity": o.scalar_parity_query(),
+})

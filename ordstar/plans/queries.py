@@ -8,11 +8,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordstar.operators import kpi, quality, star
+from ordstar.functions import text as fn
+from ordstar.functions.text import cols
+from ordstar.operators import clean, kpi, quality, sample, star
 from ordstar.operators.numbering import dense_number
-from ordstar.sources.adapter import LINE_KEY, staging
+from ordstar.session import scratch_path
+from ordstar.sources.adapter import LINE_KEY, flat_columns, staging, staging_text
 from ordstar.sources.tables import table
-from ordstar.specs import ORDER_STAR, safe_name
+from ordstar.sources.text import read_delimited, write_delimited
+from ordstar.specs import ID_BLANK_TOKENS, NUMERIC_COLUMNS, ORDER_STAR, SAMPLE_ROWS, safe_name
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,9 +25,9 @@ def safe(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(safe_name(c)) for c in df.columns])
 
 
-def _star(spark: SparkSession, sf_dir: str):
+def _star(spark: SparkSession, sf_dir: str, number_fact: bool = True):
     st = staging(spark, sf_dir)
-    dims, fact = star.build_star(st, ORDER_STAR)
+    dims, fact = star.build_star(st, ORDER_STAR, number_fact=number_fact)
     return st, dims, fact
 
 
@@ -53,21 +57,21 @@ def q_fact_partial_key(spark, sf_dir, dim_name: str = "dim_product"):
 
 
 def q_kpi_volume(spark, sf_dir):
-    _, dims, fact = _star(spark, sf_dir)
+    _, dims, fact = _star(spark, sf_dir, number_fact=False)
     return kpi.kpi_volume(fact, dims)
 
 
 def q_volume_by_buyer(spark, sf_dir):
-    _, dims, fact = _star(spark, sf_dir)
+    _, dims, fact = _star(spark, sf_dir, number_fact=False)
     return kpi.volume_by_buyer(fact, dims)
 
 
 def q_kpi_traceability(spark, sf_dir):
-    return kpi.kpi_traceability(_star(spark, sf_dir)[2])
+    return kpi.kpi_traceability(_star(spark, sf_dir, number_fact=False)[2])
 
 
 def q_kpi_buyers(spark, sf_dir):
-    _, dims, fact = _star(spark, sf_dir)
+    _, dims, fact = _star(spark, sf_dir, number_fact=False)
     return kpi.kpi_buyers(fact, dims)
 
 
@@ -77,7 +81,7 @@ def q_fanout_audit(spark, sf_dir):
 
 
 def q_integrity_audit(spark, sf_dir):
-    _, dims, fact = _star(spark, sf_dir)
+    _, dims, fact = _star(spark, sf_dir, number_fact=False)
     return quality.integrity_audit(fact, dims, ORDER_STAR)
 
 
@@ -105,3 +109,70 @@ QUERIES: dict[str, Query] = {
     "kpi_buyers": q_kpi_buyers,
     "volume_by_buyer": q_volume_by_buyer,
 }
+
+
+# --- cleaning, sampling, delimited text, scalar functions -------------------
+
+HASH_SAMPLE_ROWS = 10_000
+HASH_SEED = "42"
+HASH_COLUMNS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+
+
+def q_coerce_numeric(spark, sf_dir):
+    t = staging_text(spark, sf_dir)
+    out = clean.coerce_numeric(t.select("rowId", "l_orderkey", "l_linenumber", *cols(NUMERIC_COLUMNS)))
+    return safe(out)
+
+
+def q_coerce_report(spark, sf_dir):
+    return clean.coerce_report(staging_text(spark, sf_dir))
+
+
+def q_sample_head(spark, sf_dir):
+    st = staging(spark, sf_dir)
+    return safe(sample.sample_head(st, LINE_KEY, SAMPLE_ROWS))
+
+
+def q_sample_hash(spark, sf_dir):
+    st = staging(spark, sf_dir).select("rowId", *LINE_KEY)
+    return safe(sample.sample_hash(st, HASH_COLUMNS, LINE_KEY, HASH_SAMPLE_ROWS, HASH_SEED))
+
+
+def q_csv_roundtrip(spark, sf_dir):
+    st = staging(spark, sf_dir)
+    flat = flat_columns(st)
+    path = scratch_path(spark, "flat-orders-csv")
+    write_delimited(st.select(*cols(flat)), path)
+    back = read_delimited(spark, path, flat)
+    return safe(clean.coerce_numeric(back))
+
+
+def q_scalar_parity(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    padded = F.concat(F.lit("\t "), F.col("c_name"), F.lit(" \n"))
+    maybe_blank = F.when(F.col("c_acctbal") < 0, F.lit(" \t")).otherwise(F.col("c_name"))
+    token = F.concat(F.lit("FAKE_GTIN_"), fn.zfill(F.col("c_custkey"), 6))
+    return c.select(
+        "c_custkey",
+        fn.py_strip(padded).alias("stripped"),
+        fn.is_blank(maybe_blank).alias("is_blank"),
+        fn.zfill(F.col("c_custkey"), 6).alias("zfill6"),
+        fn.zfill(F.col("c_custkey") * 1000, 6).alias("zfill6_wide"),
+        fn.capitalize(F.col("c_mktsegment")).alias("capitalized"),
+        token.alias("token"),
+        fn.last_number(token).alias("token_number"),
+        fn.last_number(F.col("c_name")).alias("name_number"),
+        fn.py_strip(maybe_blank).isin(*ID_BLANK_TOKENS).alias("is_null_token"),
+        F.lower(F.col("c_mktsegment")).contains("build").alias("contains_build"),
+        fn.try_number(F.col("c_acctbal").cast("string")).alias("acctbal_number"),
+    ).where(F.col("c_acctbal").isNotNull())
+
+
+QUERIES.update({
+    "coerce_numeric": q_coerce_numeric,
+    "coerce_report": q_coerce_report,
+    "sample_head": q_sample_head,
+    "sample_hash": q_sample_hash,
+    "csv_roundtrip": q_csv_roundtrip,
+    "scalar_parity": q_scalar_parity,
+})

@@ -120,3 +120,26 @@ def id_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_suppkey") + 1950).cast("string").alias("produits.nodes.asset.attributes.hsCode"),
         *[F.col(k) for k in LINE_KEY],
     )
+
+
+# Corruption of the text measure used by the numeric-coercion checks: by line
+# number, some values become "n/a", some "1,5" (decimal comma), some padded.
+def staging_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging with every measure as text and ``produits.nodes.value`` partly
+    corrupted, as a text file with unchecked numbers would arrive."""
+    from ordstar.specs import NUMERIC_COLUMNS
+
+    st = staging(spark, sf_dir)
+    ln = F.col("l_linenumber") % 7
+    out = []
+    for c in st.columns:
+        ref = F.col(f"`{c}`")
+        if c == "produits.nodes.value":
+            v = ref.cast("string")
+            out.append(F.when(ln == 0, F.lit("n/a")).when(ln == 3, F.lit("1,5"))
+                        .when(ln == 5, F.concat(F.lit(" "), v, F.lit(" "))).otherwise(v).alias(c))
+        elif c in NUMERIC_COLUMNS:
+            out.append(ref.cast("string").alias(c))
+        else:
+            out.append(ref)
+    return st.select(*out)
