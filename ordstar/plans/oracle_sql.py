@@ -359,3 +359,146 @@ SELECT c_custkey,
   {sql_try_number('CAST(c_acctbal AS VARCHAR)')} AS acctbal_number
 FROM (SELECT *, CASE WHEN c_acctbal < 0 THEN ' ' || chr(9) ELSE c_name END AS mb FROM customer) c
 WHERE c_acctbal IS NOT NULL"""
+
+
+# --- pseudonymisation ------------------------------------------------------------
+
+_SEQ_SPAN = 1_000_000_000  # rows per run stay below this in the encoded first-seen key
+
+
+def sql_list(values) -> str:
+    return "[" + ", ".join(sq(v) for v in values) + "]"
+
+
+def _pick_sql(words, h: str, slot: int) -> str:
+    return f"{sql_list(words)}[(CAST('0x' || substr({h}, {1 + 8 * slot}, 8) AS BIGINT) % {len(words)}) + 1]"
+
+
+def sql_blank(x: str) -> str:
+    return f"({x} IS NULL OR {sql_strip(x)} = '')"
+
+
+def sql_id_blank(x: str) -> str:
+    from ordstar.specs import ID_BLANK_TOKENS
+
+    return f"({x} IS NULL OR {sql_strip(x)} IN ({', '.join(sq(t) for t in ID_BLANK_TOKENS)}))"
+
+
+def name_map_ctes(src: str, columns, chunk_rows: int, salt: str) -> str:
+    """CTEs ``nrows``, ``nocc``, ``nfirst``, ``namemap`` over relation ``src``."""
+    from ordstar.operators import pseudonym as p
+
+    occ = "\nUNION ALL\n".join(
+        f"SELECT {j} AS j, {q(c)} AS v, seq FROM nrows WHERE NOT {sql_blank(q(c))}" for j, c in enumerate(columns))
+    cats = " ".join(f"WHEN {j} THEN {sq(p.name_category(c))}" for j, c in enumerate(columns))
+    h = "h"
+    company = f"{_pick_sql(p.SURNAMES, h, 0)} || ' ' || {_pick_sql(p.COMPANY_SUFFIXES, h, 1)}"
+    word = _pick_sql(p.WORDS, h, 0)
+    base = (f"CASE category WHEN 'company' THEN {company} "
+            f"WHEN 'manufacturing' THEN {company} || {sq(p.MANUFACTURING_SUFFIX)} "
+            f"WHEN 'person' THEN {_pick_sql(p.FIRST_NAMES, h, 0)} || ' ' || {_pick_sql(p.SURNAMES, h, 1)} "
+            f"ELSE upper(substr({word}, 1, 1)) || lower(substr({word}, 2)) END")
+    return f"""nrows AS (SELECT *, row_number() OVER (ORDER BY {LINE_ORDER}) - 1 AS seq FROM {src}),
+nocc AS ({occ}),
+nfirst AS (SELECT v AS original, min((seq // {chunk_rows}) * 100 + j) AS k FROM nocc GROUP BY v),
+ncat AS (SELECT original, CASE k % 100 {cats} END AS category,
+                sha256({sq(salt)} || chr(31) || original) AS h FROM nfirst),
+nbase AS (SELECT original, category, h, {base} AS base FROM ncat),
+namemap AS (SELECT original,
+   CASE WHEN row_number() OVER (PARTITION BY base ORDER BY h, original) = 1 THEN base
+        ELSE base || ' ' || CAST(row_number() OVER (PARTITION BY base ORDER BY h, original) AS VARCHAR) END AS anonymized,
+   category FROM nbase)"""
+
+
+def _id_type_case(columns, jexpr: str) -> str:
+    from ordstar.operators import pseudonym as p
+
+    return "CASE " + jexpr + " " + " ".join(f"WHEN {j} THEN {sq(p.id_type(c))}" for j, c in enumerate(columns)) + " END"
+
+
+def _prefix_case(t: str) -> str:
+    from ordstar.specs import ID_PREFIX
+
+    return "CASE " + t + " " + " ".join(f"WHEN {sq(k)} THEN {sq(v)}" for k, v in ID_PREFIX.items()) + " END"
+
+
+def id_map_ctes(tag: str, src: str, columns, chunk_rows: int, prior: str | None = None, width: int = 6) -> str:
+    """CTEs ending in ``{tag}map`` (original, fake, id_type) over relation ``src``;
+    with ``prior`` (an id map relation) only new values are added after it."""
+    from ordstar.specs import FALLBACK_MODULUS
+
+    occ = "\nUNION ALL\n".join(
+        f"SELECT {j} AS j, {sql_strip(q(c))} AS v, seq FROM {tag}rows WHERE NOT {sql_id_blank(q(c))}"
+        for j, c in enumerate(columns))
+    key = f"((seq // {chunk_rows}) * 10 + j) * {_SEQ_SPAN} + seq"
+    anti = f" WHERE v NOT IN (SELECT original FROM {prior})" if prior else ""
+    counters = (f"SELECT id_type, max(TRY_CAST(string_split(fake, '_')[-1] AS BIGINT)) AS c FROM {prior} GROUP BY id_type"
+                if prior else "SELECT CAST(NULL AS VARCHAR) AS id_type, CAST(NULL AS BIGINT) AS c WHERE false")
+    n = f"row_number() OVER (PARTITION BY t.id_type ORDER BY t.k) + COALESCE(cn.c, 0)"
+    fake = (f"CASE WHEN t.id_type = 'OTHER' THEN 'FAKE_' || CAST(CAST('0x' || substr(sha256(t.original), 1, 8) AS BIGINT) % {FALLBACK_MODULUS} AS VARCHAR) "
+            f"ELSE {_prefix_case('t.id_type')} || {sql_zfill(n, width)} END")
+    prior_rows = f"SELECT original, fake, id_type FROM {prior} UNION ALL " if prior else ""
+    return f"""{tag}rows AS (SELECT *, row_number() OVER (ORDER BY {LINE_ORDER}) - 1 AS seq FROM {src}),
+{tag}occ AS ({occ}),
+{tag}first AS (SELECT v AS original, min({key}) AS k FROM {tag}occ{anti} GROUP BY v),
+{tag}typed AS (SELECT original, k, {_id_type_case(columns, f"(k // {_SEQ_SPAN}) % 10")} AS id_type FROM {tag}first),
+{tag}cnt AS ({counters}),
+{tag}new AS (SELECT t.original, {fake} AS fake, t.id_type FROM {tag}typed t LEFT JOIN {tag}cnt cn ON t.id_type = cn.id_type),
+{tag}map AS ({prior_rows}SELECT original, fake, id_type FROM {tag}new)"""
+
+
+ID_VIEW = f"""idview AS (SELECT 'PO-' || CAST(l_orderkey AS VARCHAR) AS "rowId",
+  CAST(l_partkey AS VARCHAR) AS "produits.nodes.asset.attributes.gtin",
+  CAST(l_suppkey + 1950 AS VARCHAR) AS "produits.nodes.asset.attributes.hsCode",
+  {", ".join(LINE_KEY)} FROM lineitem)"""
+
+
+def pseudo_generate_query(columns, chunk_rows, salt) -> str:
+    return with_staging("SELECT original, anonymized, category FROM namemap",
+                        name_map_ctes("staging", columns, chunk_rows, salt))
+
+
+def _masked_names_body(columns) -> tuple[str, list[str]]:
+    joins = " ".join(f"LEFT JOIN namemap m{j} ON s.{q(c)} = m{j}.original" for j, c in enumerate(columns))
+    outs = [f"CASE WHEN {sql_blank('s.' + q(c))} THEN '' ELSE m{j}.anonymized END" for j, c in enumerate(columns)]
+    return joins, outs
+
+
+def pseudo_names_query(columns, chunk_rows, salt) -> str:
+    joins, outs = _masked_names_body(columns)
+    sel = ['s."rowId" AS "rowId"', *[alias(o, c) for o, c in zip(outs, columns)], *[f"s.{k}" for k in LINE_KEY]]
+    return with_staging(f"SELECT {', '.join(sel)} FROM staging s {joins}",
+                        name_map_ctes("staging", columns, chunk_rows, salt))
+
+
+def leak_check_query(columns, contacts, chunk_rows, salt) -> str:
+    joins, outs = _masked_names_body(columns)
+    pairs = [f"{o} AS o{j}, s.{q(c)} AS i{j}" for j, (o, c) in enumerate(zip(outs, columns))]
+    pairs += [f"s.{q(c)} AS o{len(columns) + j}, s.{q(c)} AS i{len(columns) + j}" for j, c in enumerate(contacts)]
+    inputs = " UNION ".join(f"SELECT i{j} AS v FROM pairs WHERE i{j} IS NOT NULL" for j in range(len(columns)))
+    parts = [f"""SELECT {sq(c)} AS "column", COUNT(*) AS n_rows,
+  COUNT(CASE WHEN o{j} = i{j} THEN 1 END) AS n_unchanged,
+  COUNT(CASE WHEN o{j} IN (SELECT v FROM inputs) THEN 1 END) AS n_exposed FROM pairs"""
+             for j, c in enumerate([*columns, *contacts])]
+    ctes = name_map_ctes("staging", columns, chunk_rows, salt)
+    ctes += f",\npairs AS (SELECT {', '.join(pairs)} FROM staging s {joins}),\ninputs AS ({inputs})"
+    return with_staging("\n" + "\nUNION ALL\n".join(parts), ctes)
+
+
+def tokenize_ids_query(columns, chunk_rows) -> str:
+    return with_staging("SELECT original, fake, id_type FROM amap",
+                        ID_VIEW + ",\n" + id_map_ctes("a", "idview", columns, chunk_rows))
+
+
+def tokenize_resume_query(columns, chunk_rows, cutoff: str) -> str:
+    early = f"early AS (SELECT * FROM idview WHERE l_shipdate < TIMESTAMP {sq(cutoff)})"
+    ctes = ",\n".join([ID_VIEW, early, id_map_ctes("a", "early", columns, chunk_rows),
+                       id_map_ctes("b", "idview", columns, chunk_rows, prior="amap")])
+    return with_staging("SELECT original, fake, id_type FROM bmap", ctes)
+
+
+def token_fallback_query(columns, chunk_rows) -> str:
+    view = f"""fview AS (SELECT 'PO-' || CAST(l_orderkey AS VARCHAR) AS "rowId",
+  CAST(l_suppkey AS VARCHAR) AS "supplierRef", {", ".join(LINE_KEY)} FROM lineitem)"""
+    return with_staging("SELECT original, fake, id_type FROM amap",
+                        view + ",\n" + id_map_ctes("a", "fview", columns, chunk_rows))

@@ -36,3 +36,15 @@ ORACLES.update({
     "csv_roundtrip": o.csv_roundtrip_query(),
     "scalar_parity": o.scalar_parity_query(),
 })
+
+from ordstar.operators.pseudonym import DEFAULT_SALT  # noqa: E402
+from ordstar.specs import CHUNK_ROWS, ID_COLUMNS, NAME_COLUMNS  # noqa: E402
+
+ORACLES.update({
+    "pseudo_generate": o.pseudo_generate_query(NAME_COLUMNS, CHUNK_ROWS, DEFAULT_SALT),
+    "pseudo_names": o.pseudo_names_query(NAME_COLUMNS, CHUNK_ROWS, DEFAULT_SALT),
+    "leak_check": o.leak_check_query(NAME_COLUMNS, _q.CONTACT_COLUMNS, CHUNK_ROWS, DEFAULT_SALT),
+    "tokenize_ids": o.tokenize_ids_query(ID_COLUMNS, CHUNK_ROWS),
+    "tokenize_resume": o.tokenize_resume_query(ID_COLUMNS, CHUNK_ROWS, _q.RESUME_CUTOFF),
+    "token_fallback": o.token_fallback_query(_q.FALLBACK_COLUMNS, CHUNK_ROWS),
+})

@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 
 from ordstar.functions import text as fn
 from ordstar.functions.text import cols
-from ordstar.operators import clean, kpi, quality, sample, star
+from ordstar.operators import clean, kpi, pseudonym, quality, sample, star
 from ordstar.operators.numbering import dense_number
 from ordstar.session import scratch_path
-from ordstar.sources.adapter import LINE_KEY, flat_columns, staging, staging_text
+from ordstar.sources.adapter import LINE_KEY, flat_columns, id_lines, staging, staging_text
 from ordstar.sources.tables import table
 from ordstar.sources.text import read_delimited, write_delimited
-from ordstar.specs import ID_BLANK_TOKENS, NUMERIC_COLUMNS, ORDER_STAR, SAMPLE_ROWS, safe_name
+from ordstar.specs import (CHUNK_ROWS, ID_BLANK_TOKENS, ID_COLUMNS, NAME_COLUMNS, NUMERIC_COLUMNS, ORDER_STAR,
+                           SAMPLE_ROWS, safe_name)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -176,3 +177,67 @@ QUERIES.update({
     "csv_roundtrip": q_csv_roundtrip,
     "scalar_parity": q_scalar_parity,
 })
+
+
+# --- pseudonymisation -------------------------------------------------------------
+
+RESUME_CUTOFF = "1998-01-01"
+FALLBACK_COLUMNS = ("rowId", "supplierRef")
+CONTACT_COLUMNS = ("attributes.buyerNameContact", "attributes.traderContact", "attributes.manufacturerContact")
+
+
+def _names(spark, sf_dir, keep_input=False):
+    st = staging(spark, sf_dir)
+    return pseudonym.pseudonymize(st, LINE_KEY, name_columns=NAME_COLUMNS, chunk_rows=CHUNK_ROWS,
+                                  keep_input=keep_input)
+
+
+def q_pseudo_generate(spark, sf_dir):
+    return _names(spark, sf_dir)[1]
+
+
+def q_pseudo_names(spark, sf_dir):
+    masked = _names(spark, sf_dir)[0]
+    return safe(masked.select("rowId", *cols(NAME_COLUMNS), *LINE_KEY))
+
+
+def q_leak_check(spark, sf_dir):
+    masked = _names(spark, sf_dir, keep_input=True)[0]
+    for c in CONTACT_COLUMNS:
+        masked = masked.withColumn(f"__in_{c}", F.col(f"`{c}`"))
+    return pseudonym.leak_report(masked, [*NAME_COLUMNS, *CONTACT_COLUMNS], NAME_COLUMNS)
+
+
+def q_tokenize_ids(spark, sf_dir):
+    ids = id_lines(spark, sf_dir)
+    return pseudonym.pseudonymize(ids, LINE_KEY, id_columns=ID_COLUMNS, chunk_rows=CHUNK_ROWS)[2]
+
+
+def _resume(spark, sf_dir, saved=None):
+    ids = id_lines(spark, sf_dir)
+    early = ids.where(F.col("l_shipdate") < F.lit(RESUME_CUTOFF).cast("timestamp"))
+    first = pseudonym.pseudonymize(early, LINE_KEY, id_columns=ID_COLUMNS, chunk_rows=CHUNK_ROWS)[2]
+    if saved is not None:
+        first = saved(first)
+    return pseudonym.pseudonymize(ids, LINE_KEY, id_columns=ID_COLUMNS, chunk_rows=CHUNK_ROWS, id_map=first)[2]
+
+
+def q_tokenize_resume(spark, sf_dir):
+    return _resume(spark, sf_dir)
+
+
+def q_token_fallback(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select(*LINE_KEY)
+    ids = li.select(F.concat(F.lit("PO-"), F.col("l_orderkey").cast("string")).alias("rowId"),
+                    F.col("l_suppkey").cast("string").alias("supplierRef"), *LINE_KEY)
+    return pseudonym.pseudonymize(ids, LINE_KEY, id_columns=FALLBACK_COLUMNS, chunk_rows=CHUNK_ROWS)[2]
+
+
+QUERIES.update({
+    "pseudo_generate": q_pseudo_generate,
+    "pseudo_names": q_pseudo_names,
+    "leak_check": q_leak_check,
+    "tokenize_ids": q_tokenize_ids,
+    "tokenize_resume": q_tokenize_resume,
+    "token_fallback": q_token_fallback,
+})
