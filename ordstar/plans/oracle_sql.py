@@ -214,15 +214,15 @@ def fanout_audit_query() -> str:
         per_dim.append(f"""k{i} AS (SELECT {q(d.join_key)} AS k, COUNT(*) AS m FROM {d.name} GROUP BY 1)""")
         joins.append(f"LEFT JOIN k{i} ON s.{q(d.join_key)} = k{i}.k")
         mults.append(f"COALESCE(k{i}.m, 1)")
-    sums = ", ".join(f"SUM({m}) AS f{i}" for i, m in enumerate(mults))
+    sums = ", ".join(f"CAST(SUM({m}) AS BIGINT) AS f{i}" for i, m in enumerate(mults))
     stats = "\nUNION ALL\n".join(
-        f"SELECT {sq(d.name)} AS dimension, SUM(m) AS dim_rows, COUNT(k) AS join_keys, "
+        f"SELECT {sq(d.name)} AS dimension, CAST(SUM(m) AS BIGINT) AS dim_rows, COUNT(k) AS join_keys, "
         f"COUNT(CASE WHEN m > 1 THEN 1 END) AS dup_keys, MAX(m) AS max_fanout, "
         f"(SELECT f{i} FROM sums) AS fact_rows, (SELECT staging_rows FROM sums) AS staging_rows FROM k{i}"
         for i, d in enumerate(ORDER_STAR.dims))
     body = f""",
 {", ".join(per_dim)},
-sums AS (SELECT {sums}, SUM({' * '.join(mults)}) AS fall, COUNT(*) AS staging_rows
+sums AS (SELECT {sums}, CAST(SUM({' * '.join(mults)}) AS BIGINT) AS fall, COUNT(*) AS staging_rows
          FROM staging s {' '.join(joins)})
 {stats}
 UNION ALL
@@ -502,3 +502,85 @@ def token_fallback_query(columns, chunk_rows) -> str:
   CAST(l_suppkey AS VARCHAR) AS "supplierRef", {", ".join(LINE_KEY)} FROM lineitem)"""
     return with_staging("SELECT original, fake, id_type FROM amap",
                         view + ",\n" + id_map_ctes("a", "fview", columns, chunk_rows))
+
+
+# --- nested documents ---------------------------------------------------------------
+
+
+def _doc_order(prefix: str = "") -> str:
+    from ordstar.sources.adapter import LINE_DOC_ORDER
+
+    return ", ".join(prefix + k for k in LINE_DOC_ORDER)
+
+
+def _docs_cte() -> str:
+    return f"""lines AS (
+  SELECT l_orderkey, COUNT(p_name) AS n,
+         string_agg(p_name, '|' ORDER BY {_doc_order()}) AS names,
+         string_agg(CAST(l_quantity AS VARCHAR), '|' ORDER BY {_doc_order()}) AS vals,
+         CAST(SUM(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS tv
+  FROM lineitem LEFT JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey),
+docs AS (
+  SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS r, o_orderkey, o_orderstatus, o_orderpriority,
+         c_name, n_name, r_name, lines.n, lines.names, lines.vals, lines.tv
+  FROM orders LEFT JOIN cust ON o_custkey = c_custkey LEFT JOIN lines ON l_orderkey = o_orderkey)"""
+
+
+def json_paths_query() -> str:
+    from ordstar.sources.adapter import PARTIAL_STATUS
+
+    poc = f"r_name IS NOT NULL AND r_name <> {sq(NO_CONTACT_REGION)}"
+    specs = [("rowId", 0, "TRUE"), ("type", 1, "TRUE"),
+             ("flags", 2, f"o_orderstatus IS DISTINCT FROM {sq(PARTIAL_STATUS)}"),
+             ("flags.partial", 2, f"o_orderstatus = {sq(PARTIAL_STATUS)}"),
+             ("buyer.nodes.name", 3, "TRUE"), ("buyer.nodes.parentCompany.nodes.name", 4, "TRUE"),
+             ("point_of_contact.nodes.name", 5, poc),
+             ("produits.nodes.value", 6, "n > 0"), ("produits.nodes.asset.descriptionShort", 7, "n > 0")]
+    union = "\nUNION ALL\n".join(f"SELECT {sq(p)} AS path, {pos} AS pos, min(r) AS fr FROM docs WHERE {cond}"
+                                 for p, pos, cond in specs)
+    return with_staging(f"""
+SELECT CAST(row_number() OVER (ORDER BY fr, pos, path) AS INTEGER) AS ordinal, path
+FROM ({union}) p WHERE fr IS NOT NULL""", _docs_cte())
+
+
+def _buyer_sql() -> str:
+    return f"CASE WHEN o_orderpriority = {sq(NO_BUYER_PRIORITY)} THEN NULL ELSE c_name END"
+
+
+def json_extract_query() -> str:
+    return with_staging(f"""
+SELECT 'PO-' || CAST(o_orderkey AS VARCHAR) AS "rowId", {_buyer_sql()} AS buyer, n_name AS parent,
+       names AS product_names, CAST(COALESCE(n, 0) AS INTEGER) AS n_products, tv AS total_value
+FROM docs""", _docs_cte())
+
+
+def json_flatten_query() -> str:
+    from ordstar.sources.adapter import PARTIAL_STATUS
+
+    return with_staging(f"""
+SELECT 'PO-' || CAST(o_orderkey AS VARCHAR) AS "rowId", o_orderstatus AS "type",
+       CASE WHEN o_orderstatus = {sq(PARTIAL_STATUS)} THEN TRUE END AS flags_partial,
+       {_buyer_sql()} AS buyer_nodes_name, n_name AS buyer_nodes_parentCompany_nodes_name,
+       CASE WHEN r_name = {sq(NO_CONTACT_REGION)} THEN NULL ELSE r_name END AS point_of_contact_nodes_name,
+       vals AS produits_nodes_value, names AS produits_nodes_asset_descriptionShort,
+       CAST(NULL AS VARCHAR) AS flags
+FROM docs""", _docs_cte())
+
+
+_LN = "ln AS (SELECT l_orderkey, l_quantity, p_name FROM lineitem LEFT JOIN part ON l_partkey = p_partkey)"
+
+
+def explode_cross_query() -> str:
+    return with_staging("""
+SELECT 'PO-' || CAST(o.o_orderkey AS VARCHAR) AS "rowId", b.p_name AS product, COUNT(*) AS n_rows,
+       CAST(SUM(CAST(a.l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS total_value
+FROM orders o LEFT JOIN ln a ON a.l_orderkey = o.o_orderkey LEFT JOIN ln b ON b.l_orderkey = o.o_orderkey
+GROUP BY 1, 2""", _LN)
+
+
+def explode_aligned_query() -> str:
+    return with_staging("""
+SELECT 'PO-' || CAST(o.o_orderkey AS VARCHAR) AS "rowId", a.p_name AS product, COUNT(*) AS n_rows,
+       CAST(SUM(CAST(a.l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS total_value
+FROM orders o LEFT JOIN ln a ON a.l_orderkey = o.o_orderkey
+GROUP BY 1, 2""", _LN)

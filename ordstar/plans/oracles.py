@@ -48,3 +48,11 @@ ORACLES.update({
     "tokenize_resume": o.tokenize_resume_query(ID_COLUMNS, CHUNK_ROWS, _q.RESUME_CUTOFF),
     "token_fallback": o.token_fallback_query(_q.FALLBACK_COLUMNS, CHUNK_ROWS),
 })
+
+ORACLES.update({
+    "json_paths": o.json_paths_query(),
+    "json_extract": o.json_extract_query(),
+    "json_flatten": o.json_flatten_query(),
+    "explode_cross": o.explode_cross_query(),
+    "explode_aligned": o.explode_aligned_query(),
+})

@@ -7,13 +7,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from ordstar.functions import text as fn
 from ordstar.functions.text import cols
-from ordstar.operators import clean, kpi, pseudonym, quality, sample, star
+from ordstar.operators import clean, kpi, nested, pseudonym, quality, sample, star
 from ordstar.operators.numbering import dense_number
 from ordstar.session import scratch_path
-from ordstar.sources.adapter import LINE_KEY, flat_columns, id_lines, staging, staging_text
+from ordstar.sources import json_docs
+from ordstar.sources.adapter import LINE_KEY, flat_columns, id_lines, order_documents, staging, staging_text
 from ordstar.sources.tables import table
 from ordstar.sources.text import read_delimited, write_delimited
 from ordstar.specs import (CHUNK_ROWS, ID_BLANK_TOKENS, ID_COLUMNS, NAME_COLUMNS, NUMERIC_COLUMNS, ORDER_STAR,
@@ -241,3 +243,94 @@ QUERIES.update({
     "tokenize_resume": q_tokenize_resume,
     "token_fallback": q_token_fallback,
 })
+
+
+# --- nested documents -----------------------------------------------------------------
+
+NODE_ORDER = ["file", "doc", "pos"]
+NODES_PER_DOC = 10_000
+
+
+def _nodes(spark, sf_dir):
+    """Order documents written as JSON responses, then scanned back."""
+    path = scratch_path(spark, "responses")
+    json_docs.write_responses(order_documents(spark, sf_dir), ["o_orderkey"], path, NODES_PER_DOC)
+    return json_docs.read_responses(spark, path)
+
+
+def _flat(spark, sf_dir, aligned=False):
+    nodes = _nodes(spark, sf_dir)
+    paths = [r.path for r in nested.discover_paths(nodes, "node", NODE_ORDER).orderBy("ordinal").collect()]
+    parsed = json_docs.nodes_as_rows(nodes, NODE_ORDER)
+    keys = [f"__k{i}" for i in range(len(NODE_ORDER))]
+    if aligned:
+        return nested.explode_aligned(parsed, "node", paths, keep=keys), paths
+    return nested.flatten(parsed, "node", paths, keep=keys), paths
+
+
+def _as_text(df, columns):
+    out = []
+    for c in columns:
+        dt = df.schema[c].dataType
+        if isinstance(dt, ArrayType):
+            out.append(F.array_join(F.transform(F.col(f"`{c}`"), lambda x: x.cast("string")), "|").alias(c))
+        else:
+            out.append(F.col(f"`{c}`"))
+    return df.select(*out)
+
+
+def q_json_scan(spark, sf_dir):
+    return _nodes(spark, sf_dir).select("pos", "node")
+
+
+def q_json_paths(spark, sf_dir):
+    return nested.discover_paths(_nodes(spark, sf_dir), "node", NODE_ORDER)
+
+
+def q_json_extract(spark, sf_dir):
+    nodes = _nodes(spark, sf_dir)
+    parsed = json_docs.nodes_as_rows(nodes, NODE_ORDER)
+    schema = parsed.schema["node"].dataType
+    root = F.col("node")
+    names = nested.path_values(root, schema, "produits.nodes.asset.descriptionShort")
+    values = nested.path_values(root, schema, "produits.nodes.value")
+    total = F.aggregate(values, F.lit(0).cast("decimal(38,2)"),
+                        lambda a, x: (a + x.cast("decimal(18,2)")).cast("decimal(38,2)"))
+    return parsed.select(
+        F.element_at(nested.path_values(root, schema, "rowId"), 1).alias("rowId"),
+        F.element_at(nested.path_values(root, schema, "buyer.nodes.name"), 1).alias("buyer"),
+        F.element_at(nested.path_values(root, schema, "buyer.nodes.parentCompany.nodes.name"), 1).alias("parent"),
+        F.array_join(names, "|").alias("product_names"),
+        F.coalesce(F.size(names), F.lit(0)).alias("n_products"),
+        total.cast("double").alias("total_value"))
+
+
+def q_json_flatten(spark, sf_dir):
+    flat, paths = _flat(spark, sf_dir)
+    return safe(_as_text(flat, paths))
+
+
+def _exploded_summary(df):
+    return (df.groupBy(F.col("rowId"), F.col("`produits.nodes.asset.descriptionShort`").alias("product"))
+              .agg(F.count(F.lit(1)).alias("n_rows"),
+                   kpi.exact_sum(F.col("`produits.nodes.value`")).alias("total_value")))
+
+
+def q_explode_cross(spark, sf_dir):
+    flat, paths = _flat(spark, sf_dir)
+    return _exploded_summary(nested.explode_cross(flat, [p for p in paths if p in nested.array_columns(flat)]))
+
+
+def q_explode_aligned(spark, sf_dir):
+    rows, _ = _flat(spark, sf_dir, aligned=True)
+    return _exploded_summary(rows)
+
+
+QUERIES.update({
+    "json_scan": q_json_scan,
+    "json_paths": q_json_paths,
+    "json_extract": q_json_extract,
+    "json_flatten": q_json_flatten,
+    "explode_cross": q_explode_cross,
+    "explode_aligned": q_explode_aligned,
+})

@@ -143,3 +143,53 @@ def staging_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         else:
             out.append(ref)
     return st.select(*out)
+
+
+# Order status whose documents carry an extra flag object (others carry null).
+PARTIAL_STATUS = "P"
+# Document order of lines inside an order.
+LINE_DOC_ORDER = tuple(k for k in LINE_KEY if k != "l_orderkey")
+
+
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per order: its lines (value, product name) sorted in document order.
+    One group per order, bounded by the lines of one order."""
+    li = table(spark, sf_dir, "lineitem").select(*LINE_KEY)
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    x = li.join(p, li.l_partkey == p.p_partkey, "left")
+    line = F.struct(*[F.col(k) for k in LINE_DOC_ORDER], F.col("p_name"))
+    return x.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(line)).alias("lines"))
+
+
+def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(o_orderkey, node)``: one purchase-order node per order as JSON text.
+
+    Shape: rowId, type, tags (array of scalars), flags (object for partial
+    orders, else null), buyer.nodes[1] with parentCompany.nodes[1],
+    point_of_contact.nodes (empty for one region), produits.nodes (one per
+    line: value, asset.descriptionShort).
+    """
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    oc = o.join(customers(spark, sf_dir), o.o_custkey == F.col("c_custkey"), "left")
+    docs = oc.join(order_lines(spark, sf_dir), F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    buyer_name = F.when(F.col("o_orderpriority") == NO_BUYER_PRIORITY, _null_str()).otherwise(F.col("c_name"))
+    contact = F.when(F.col("r_name").isNull() | (F.col("r_name") == NO_CONTACT_REGION),
+                     F.array().cast("array<struct<name:string>>")).otherwise(
+                         F.array(F.struct(F.col("r_name").alias("name"))))
+    lines = F.coalesce(F.col("lines"), F.array().cast(docs.schema["lines"].dataType))
+    node = F.struct(
+        F.concat(F.lit("PO-"), F.col("o_orderkey").cast("string")).alias("rowId"),
+        F.col("o_orderstatus").alias("type"),
+        F.array(F.col("o_orderpriority")).alias("tags"),
+        F.when(F.col("o_orderstatus") == PARTIAL_STATUS, F.struct(F.lit(True).alias("partial"))).alias("flags"),
+        F.struct(F.array(F.struct(
+            buyer_name.alias("name"),
+            F.struct(F.array(F.struct(F.col("n_name").alias("name"))).alias("nodes")).alias("parentCompany"),
+        )).alias("nodes")).alias("buyer"),
+        F.struct(contact.alias("nodes")).alias("point_of_contact"),
+        F.struct(F.transform(lines, lambda ln: F.struct(
+            ln["l_quantity"].alias("value"),
+            F.struct(ln["p_name"].alias("descriptionShort")).alias("asset"),
+        )).alias("nodes")).alias("produits"),
+    )
+    return docs.select("o_orderkey", F.to_json(node, {"ignoreNullFields": "false"}).alias("node"))
