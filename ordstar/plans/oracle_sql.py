@@ -422,15 +422,17 @@ def _prefix_case(t: str) -> str:
     return "CASE " + t + " " + " ".join(f"WHEN {sq(k)} THEN {sq(v)}" for k, v in ID_PREFIX.items()) + " END"
 
 
-def id_map_ctes(tag: str, src: str, columns, chunk_rows: int, prior: str | None = None, width: int = 6) -> str:
+def id_map_ctes(tag: str, src: str, columns, chunk_rows: int, prior: str | None = None, width: int = 6,
+                chunk_expr: str | None = None) -> str:
     """CTEs ending in ``{tag}map`` (original, fake, id_type) over relation ``src``;
     with ``prior`` (an id map relation) only new values are added after it."""
     from ordstar.specs import FALLBACK_MODULUS
 
     occ = "\nUNION ALL\n".join(
-        f"SELECT {j} AS j, {sql_strip(q(c))} AS v, seq FROM {tag}rows WHERE NOT {sql_id_blank(q(c))}"
+        f"SELECT {j} AS j, {sql_strip(q(c))} AS v, seq, chunk_base FROM {tag}rows WHERE NOT {sql_id_blank(q(c))}"
         for j, c in enumerate(columns))
-    key = f"((seq // {chunk_rows}) * 10 + j) * {_SEQ_SPAN} + seq"
+    chunk = "chunk_base" if chunk_expr else f"(seq // {chunk_rows})"
+    key = f"(({chunk}) * 10 + j) * {_SEQ_SPAN} + seq"
     anti = f" WHERE v NOT IN (SELECT original FROM {prior})" if prior else ""
     counters = (f"SELECT id_type, max(TRY_CAST(string_split(fake, '_')[-1] AS BIGINT)) AS c FROM {prior} GROUP BY id_type"
                 if prior else "SELECT CAST(NULL AS VARCHAR) AS id_type, CAST(NULL AS BIGINT) AS c WHERE false")
@@ -438,7 +440,8 @@ def id_map_ctes(tag: str, src: str, columns, chunk_rows: int, prior: str | None
     fake = (f"CASE WHEN t.id_type = 'OTHER' THEN 'FAKE_' || CAST(CAST('0x' || substr(sha256(t.original), 1, 8) AS BIGINT) % {FALLBACK_MODULUS} AS VARCHAR) "
             f"ELSE {_prefix_case('t.id_type')} || {sql_zfill(n, width)} END")
     prior_rows = f"SELECT original, fake, id_type FROM {prior} UNION ALL " if prior else ""
-    return f"""{tag}rows AS (SELECT *, row_number() OVER (ORDER BY {LINE_ORDER}) - 1 AS seq FROM {src}),
+    return f"""{tag}rows AS (SELECT *, row_number() OVER (ORDER BY {LINE_ORDER}) - 1 AS seq,
+    {chunk_expr or '0'} AS chunk_base FROM {src}),
 {tag}occ AS ({occ}),
 {tag}first AS (SELECT v AS original, min({key}) AS k FROM {tag}occ{anti} GROUP BY v),
 {tag}typed AS (SELECT original, k, {_id_type_case(columns, f"(k // {_SEQ_SPAN}) % 10")} AS id_type FROM {tag}first),
@@ -584,3 +587,25 @@ SELECT 'PO-' || CAST(o.o_orderkey AS VARCHAR) AS "rowId", a.p_name AS product, C
        CAST(SUM(CAST(a.l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS total_value
 FROM orders o LEFT JOIN ln a ON a.l_orderkey = o.o_orderkey
 GROUP BY 1, 2""", _LN)
+
+
+def mapping_state_query(columns, chunk_rows, cutoff: str) -> str:
+    early = f"early AS (SELECT * FROM idview WHERE l_shipdate < TIMESTAMP {sq(cutoff)})"
+    ctes = ",\n".join([ID_VIEW, early, id_map_ctes("a", "early", columns, chunk_rows),
+                       id_map_ctes("b", "idview", columns, chunk_rows, prior="amap")])
+    return with_staging("""SELECT original, fake, id_type,
+  CAST(CASE WHEN original IN (SELECT original FROM amap) THEN 0 ELSE 1 END AS BIGINT) AS batch FROM bmap""", ctes)
+
+
+def pseudo_incremental_query(columns) -> str:
+    """One chunk per ship year (in year order); inside it, column then row."""
+    chunk = "dense_rank() OVER (ORDER BY year(l_shipdate)) - 1"
+    ctes = ",\n".join([ID_VIEW, id_map_ctes("a", "idview", columns, 0, chunk_expr=chunk)])
+    return with_staging(f"""SELECT original, fake, id_type, CAST((k // {_SEQ_SPAN}) // 10 AS BIGINT) AS batch
+FROM afirst JOIN amap USING (original)""", ctes)
+
+
+def star_publish_query(tables) -> str:
+    parts = [f"SELECT {sq(t)} AS table_name, COUNT(*) AS n_rows FROM {t if t != 'fact_orders' else 'fact'}"
+             for t in tables]
+    return with_star("\n" + "\nUNION ALL\n".join(parts))

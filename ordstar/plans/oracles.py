@@ -56,3 +56,9 @@ ORACLES.update({
     "explode_cross": o.explode_cross_query(),
     "explode_aligned": o.explode_aligned_query(),
 })
+
+ORACLES.update({
+    "mapping_state": o.mapping_state_query(ID_COLUMNS, CHUNK_ROWS, _q.RESUME_CUTOFF),
+    "pseudo_incremental": o.pseudo_incremental_query(ID_COLUMNS),
+    "star_publish": o.star_publish_query(_q.STAR_TABLES),
+})

@@ -4,6 +4,7 @@ the whole input tables. Output columns use dot-free names (``safe_name``)."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,10 @@ from ordstar.functions import text as fn
 from ordstar.functions.text import cols
 from ordstar.operators import clean, kpi, nested, pseudonym, quality, sample, star
 from ordstar.operators.numbering import dense_number
+from ordstar.plans import publish
 from ordstar.session import scratch_path
+from ordstar.sources.mapping_store import MappingStore
+from ordstar.streaming import incremental
 from ordstar.sources import json_docs
 from ordstar.sources.adapter import LINE_KEY, flat_columns, id_lines, order_documents, staging, staging_text
 from ordstar.sources.tables import table
@@ -334,3 +338,55 @@ QUERIES.update({
     "explode_cross": q_explode_cross,
     "explode_aligned": q_explode_aligned,
 })
+
+
+# --- mapping state, streaming, publish ------------------------------------------------
+
+
+def q_mapping_state(spark, sf_dir):
+    """Two runs through the versioned store: early lines, then all lines."""
+    store = MappingStore(spark, scratch_path(spark, "mapping-store"))
+    ids = id_lines(spark, sf_dir)
+    runs = [ids.where(F.col("l_shipdate") < F.lit(RESUME_CUTOFF).cast("timestamp")), ids]
+    for rows in runs:
+        batch = store.next_batch("id_map")
+        prev = store.load("id_map")
+        full = pseudonym.pseudonymize(rows, LINE_KEY, id_columns=ID_COLUMNS, chunk_rows=CHUNK_ROWS, id_map=prev)[2]
+        store.append_new("id_map", full, prev, batch)
+    return store.load("id_map", with_batch=True)
+
+
+def q_pseudo_incremental(spark, sf_dir):
+    """Lines arrive one ship year at a time; each arrival is one run of an
+    ``availableNow`` stream, so each year is one micro-batch."""
+    root = scratch_path(spark, "incremental")
+    ids = id_lines(spark, sf_dir)
+    year = F.year("l_shipdate")
+    # The arrival schedule: one entry per ship year (a handful of values).
+    years = sorted(r[0] for r in ids.select(year.alias("y")).distinct().collect())
+    store = MappingStore(spark, f"{root}/mappings")
+    for y in years:
+        ids.where(year == y).write.mode("append").parquet(f"{root}/source")
+        q = incremental.start_masking_stream(
+            spark, f"{root}/source", ids.schema, store, f"{root}/masked", f"{root}/checkpoint",
+            LINE_KEY, id_columns=ID_COLUMNS)
+        q.awaitTermination()
+    return store.load("id_map", with_batch=True)
+
+
+STAR_TABLES = (*[d.name for d in ORDER_STAR.dims], "fact_orders")
+
+
+def q_star_publish(spark, sf_dir):
+    root = scratch_path(spark, "star")
+    run = publish.publish_star(staging(spark, sf_dir), ORDER_STAR, root)
+    parts = [publish.read_published(spark, root, t, run).agg(F.count(F.lit(1)).alias("n_rows"))
+                    .select(F.lit(t).alias("table_name"), "n_rows") for t in STAR_TABLES]
+    return reduce(DataFrame.unionByName, parts)
+
+
+QUERIES.update({
+    "mapping_state": q_mapping_state,
+    "pseudo_incremental": q_pseudo_incremental,
+    "star_publish": q_star_publish,
+})
