@@ -9,11 +9,14 @@ A global ``row_number()`` window moves every row into one task. Instead:
 2. tag each row with ``monotonically_increasing_id`` = (partition << 33) +
    position-in-partition, and write the result once to the shared scratch
    folder (pins the tags; survives executor loss);
-3. count rows per (partition, group): at most partitions x groups rows;
-4. running sum of those counts per group → offset of each partition;
-5. number = offset + position within the (partition, group) run + start.
-
-Only the small offset table crosses a shuffle; the data itself moves once.
+3. count rows per (partition, group): at most partitions x groups rows —
+   the same bounded metadata ``zipWithIndex`` gathers — and turn them into
+   per-partition offsets on the driver;
+4. number = offset + position within the (partition, group) run + start, a
+   projection over the written table (a literal lookup, no join), so the
+   result keeps the file statistics the planner uses for join choices.
+
+The data itself moves once.
 """
 
 from __future__ import annotations
@@ -40,7 +43,8 @@ def _order_cols(order: Sequence[str | Column], nulls_first: bool) -> list[Column
 def dense_number(df: DataFrame, order: Sequence[str | Column], id_col: str = "id",
                  groups: Sequence[str] = (), start: int = 1, nulls_first: bool = True,
                  num_partitions: int | None = None) -> DataFrame:
-    """Add ``id_col``: 1..n (per group, when ``groups`` is given) in ``order``.
+    """Add ``id_col``: start, start+1, ... (per group, when ``groups`` is given)
+    in ``order``.
 
     ``order`` should be a total order; rows that tie get distinct numbers in
     an unspecified order. ``groups`` is meant for few groups (e.g. id types);
@@ -48,10 +52,8 @@ def dense_number(df: DataFrame, order: Sequence[str | Column], id_col: str = "id
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tie = "__tie"
-    mid = "__mid"
-    group_cols = [col(g) for g in groups]
-    keys = [*(_order_cols(group_cols, nulls_first)), *_order_cols(order, nulls_first), F.col(tie)]
+    tie, mid = "__tie", "__mid"
+    keys = [*_order_cols([col(g) for g in groups], nulls_first), *_order_cols(order, nulls_first), F.col(tie)]
     ranged = (df.withColumn(tie, F.monotonically_increasing_id())
                 .repartitionByRange(n, *keys)
                 .sortWithinPartitions(*keys)
@@ -59,24 +61,44 @@ def dense_number(df: DataFrame, order: Sequence[str | Column], id_col: str = "id
                 .drop(tie))
     pinned = materialize(ranged, "dense-number")
 
-    pid = F.shiftright(F.col(mid), 33).alias("__pid")
+    pid = F.shiftright(F.col(mid), 33)
     pos = F.col(mid).bitwiseAND(F.lit(_POS_MASK))
-    gnames = [f"__g{i}" for i in range(len(groups))]
-    counts = (pinned.groupBy(pid, *[col(g).alias(a) for g, a in zip(groups, gnames)])
-                    .agg(F.count(F.lit(1)).alias("__n"), F.min(pos).alias("__first")))
-    w = Window.partitionBy(*[F.col(a) for a in gnames]).orderBy("__pid").rowsBetween(
-        Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(w), F.lit(0))).drop("__n")
-
+    gcols = [col(g) for g in groups]
+    counts = (pinned.groupBy(pid.alias("pid"), *[g.alias(f"g{i}") for i, g in enumerate(gcols)])
+                    .agg(F.count(F.lit(1)).alias("n"), F.min(pos).alias("first"))
+                    .collect())
+    # Offsets: for each group, rows in earlier partitions.
+    base: dict[tuple, int] = {}
+    running: dict[tuple, int] = {}
+    for r in sorted(counts, key=lambda r: r["pid"]):
+        g = tuple(r[f"g{i}"] for i in range(len(gcols)))
+        base[(r["pid"], *g)] = running.get(g, 0) - r["first"]
+        running[g] = running.get(g, 0) + r["n"]
+    if not base:
+        return pinned.select(*[col(c) for c in df.columns], F.lit(None).cast("bigint").alias(id_col))
     if not groups:
-        # One row per range partition: bounded by ``n``, safe to broadcast.
-        offsets = F.broadcast(offsets)
-    cond = [F.shiftright(pinned[mid], 33) == offsets["__pid"]]
-    for g, a in zip(groups, gnames):
-        cond.append(pinned[f"`{g}`"].eqNullSafe(offsets[a]))
-    joined = pinned.join(offsets, cond, "inner")
-    number = (F.col("__off") + (pos - F.col("__first")) + F.lit(start)).cast("bigint")
-    return joined.select(*[pinned[f"`{c}`"] for c in df.columns], number.alias(id_col))
+        offsets = [0] * (max(k[0] for k in base) + 1)
+        for k, v in base.items():
+            offsets[k[0]] = v
+        off = F.element_at(F.array(*[F.lit(v).cast("bigint") for v in offsets]), (pid + 1).cast("int"))
+    else:
+        key = F.concat_ws("\u0001", pid.cast("string"), *[F.coalesce(g.cast("string"), F.lit("\u0000")) for g in gcols])
+        entries = []
+        for k, v in base.items():
+            text = "\u0001".join([str(k[0]), *[_as_text(x) for x in k[1:]]])
+            entries += [F.lit(text), F.lit(v).cast("bigint")]
+        off = F.element_at(F.create_map(*entries), key)
+    number = (off + pos + F.lit(start)).cast("bigint")
+    return pinned.select(*[col(c) for c in df.columns], number.alias(id_col))
+
+
+def _as_text(x) -> str:
+    """Python value as Spark's cast to string writes it (for map keys)."""
+    if x is None:
+        return "\u0000"
+    if isinstance(x, bool):
+        return str(x).lower()
+    return str(x)
 
 
 def global_number(df: DataFrame, order: Sequence[str | Column], id_col: str = "id",

@@ -71,14 +71,23 @@ def _prefixed(dim_df: DataFrame, dim: DimSpec, attrs) -> DataFrame:
 
 
 def fact_full_key(staging: DataFrame, dims: dict[str, DataFrame], spec: StarSpec,
-                  order_key=LINE_KEY, numbered: bool = True) -> DataFrame:
-    """One fact row per staging row; foreign keys by null-safe full match."""
+                  order_key=LINE_KEY, numbered: bool = True, seq_col: str | None = None) -> DataFrame:
+    """One fact row per staging row; foreign keys by null-safe full match.
+
+    The fact key follows the staging order. When staging already carries a
+    dense sequence (``seq_col``), that is the key; otherwise the fact is
+    numbered with the distributed dense numbering.
+    """
     x = staging
     for d in spec.dims:
         right = _prefixed(dims[d.name], d, d.attributes)
         cond = [x[f"`{a}`"].eqNullSafe(right[f"__d_{i}"]) for i, a in enumerate(d.attributes)]
         x = x.join(right, reduce(lambda p, q: p & q, cond), "left").drop(
             *[f"__d_{i}" for i in range(len(d.attributes))])
+    if numbered and seq_col is not None:
+        fk = [d.key for d in spec.dims]
+        return x.select(F.col(seq_col).cast("bigint").alias(spec.fact_key), *cols(spec.fact_text),
+                        *[F.col(k) for k in fk], *[col(m).cast("double").alias(m) for m in spec.measures])
     return _fact_columns(x, spec, order_key, numbered)
 
 
@@ -108,12 +117,18 @@ def _fact_columns(x: DataFrame, spec: StarSpec, order_key, numbered: bool, fk=No
 
 
 def build_star(staging: DataFrame, spec: StarSpec, pin_staging: bool = True,
-               number_fact: bool = True) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Dimensions and full-key fact. Staging feeds both, so it is written once
-    to the scratch folder (the staging table) instead of re-running its joins.
-    ``number_fact=False`` skips the fact's own surrogate key (a sort of the
-    whole fact) when the caller only aggregates it."""
-    if pin_staging:
+               number_fact: bool = True, order_key=LINE_KEY) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Dimensions and full-key fact.
+
+    Staging feeds every dimension and the fact, so it is written once to the
+    scratch folder (the staging table). When the fact needs its key, staging
+    is written in key order with its dense sequence — one sort serves both.
+    """
+    seq = None
+    if pin_staging and number_fact:
+        seq = "__seq"
+        staging = dense_number(staging, list(order_key), id_col=seq)
+    elif pin_staging:
         staging = materialize(staging, "staging")
     dims = build_dimensions(staging, spec)
-    return dims, fact_full_key(staging, dims, spec, numbered=number_fact)
+    return dims, fact_full_key(staging, dims, spec, order_key=order_key, numbered=number_fact, seq_col=seq)
