@@ -264,12 +264,11 @@ def _nodes(spark, sf_dir):
 
 def _flat(spark, sf_dir, aligned=False):
     nodes = _nodes(spark, sf_dir)
-    paths = [r.path for r in nested.discover_paths(nodes, "node", NODE_ORDER).orderBy("ordinal").collect()]
-    parsed = json_docs.nodes_as_rows(nodes, NODE_ORDER)
-    keys = [f"__k{i}" for i in range(len(NODE_ORDER))]
+    paths, schema = nested.discover_structure(nodes, "node", NODE_ORDER)
+    parsed = nested.parse_nodes(nodes, "node", schema, keep=NODE_ORDER)
     if aligned:
-        return nested.explode_aligned(parsed, "node", paths, keep=keys), paths
-    return nested.flatten(parsed, "node", paths, keep=keys), paths
+        return nested.explode_aligned(parsed, "node", paths, keep=NODE_ORDER), paths
+    return nested.flatten(parsed, "node", paths, keep=NODE_ORDER), paths
 
 
 def _as_text(df, columns):
@@ -293,8 +292,8 @@ def q_json_paths(spark, sf_dir):
 
 def q_json_extract(spark, sf_dir):
     nodes = _nodes(spark, sf_dir)
-    parsed = json_docs.nodes_as_rows(nodes, NODE_ORDER)
-    schema = parsed.schema["node"].dataType
+    _, schema = nested.discover_structure(nodes, "node", NODE_ORDER)
+    parsed = nested.parse_nodes(nodes, "node", schema)
     root = F.col("node")
     names = nested.path_values(root, schema, "produits.nodes.asset.descriptionShort")
     values = nested.path_values(root, schema, "produits.nodes.value")
