@@ -258,7 +258,8 @@ NODES_PER_DOC = 10_000
 def _nodes(spark, sf_dir):
     """Order documents written as JSON responses, then scanned back."""
     path = scratch_path(spark, "responses")
-    json_docs.write_responses(order_documents(spark, sf_dir), ["o_orderkey"], path, NODES_PER_DOC)
+    json_docs.write_responses(order_documents(spark, sf_dir), ["o_orderkey"], path, NODES_PER_DOC,
+                              unique_int_key=True)
     return json_docs.read_responses(spark, path)
 
 
