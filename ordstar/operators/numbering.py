@@ -50,6 +50,13 @@ def dense_number(df: DataFrame, order: Sequence[str | Column], id_col: str = "id
     an unspecified order. ``groups`` is meant for few groups (e.g. id types);
     for many groups a plain window partitioned by them is already distributed.
     """
+    return dense_number_counted(df, order, id_col, groups, start, nulls_first, num_partitions)[0]
+
+
+def dense_number_counted(df: DataFrame, order: Sequence[str | Column], id_col: str = "id",
+                         groups: Sequence[str] = (), start: int = 1, nulls_first: bool = True,
+                         num_partitions: int | None = None) -> tuple[DataFrame, dict]:
+    """``dense_number`` plus the row count of each group (``()`` when ungrouped)."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     tie, mid = "__tie", "__mid"
@@ -75,7 +82,7 @@ def dense_number(df: DataFrame, order: Sequence[str | Column], id_col: str = "id
         base[(r["pid"], *g)] = running.get(g, 0) - r["first"]
         running[g] = running.get(g, 0) + r["n"]
     if not base:
-        return pinned.select(*[col(c) for c in df.columns], F.lit(None).cast("bigint").alias(id_col))
+        return pinned.select(*[col(c) for c in df.columns], F.lit(None).cast("bigint").alias(id_col)), {}
     if not groups:
         offsets = [0] * (max(k[0] for k in base) + 1)
         for k, v in base.items():
@@ -89,7 +96,7 @@ def dense_number(df: DataFrame, order: Sequence[str | Column], id_col: str = "id
             entries += [F.lit(text), F.lit(v).cast("bigint")]
         off = F.element_at(F.create_map(*entries), key)
     number = (off + pos + F.lit(start)).cast("bigint")
-    return pinned.select(*[col(c) for c in df.columns], number.alias(id_col))
+    return pinned.select(*[col(c) for c in df.columns], number.alias(id_col)), running
 
 
 def _as_text(x) -> str:

@@ -15,7 +15,7 @@ from ordstar.functions.text import cols
 from ordstar.operators import clean, kpi, nested, pseudonym, quality, sample, star
 from ordstar.operators.numbering import dense_number
 from ordstar.plans import publish
-from ordstar.session import scratch_path
+from ordstar.session import materialize, scratch_path
 from ordstar.sources.mapping_store import MappingStore
 from ordstar.streaming import incremental
 from ordstar.sources import json_docs
@@ -136,12 +136,13 @@ def q_coerce_report(spark, sf_dir):
 
 
 def q_sample_head(spark, sf_dir):
-    st = staging(spark, sf_dir)
+    # The sample reads the written flat table, as the source reads its file.
+    st = materialize(staging(spark, sf_dir), "flat-orders")
     return safe(sample.sample_head(st, LINE_KEY, SAMPLE_ROWS))
 
 
 def q_sample_hash(spark, sf_dir):
-    st = staging(spark, sf_dir).select("rowId", *LINE_KEY)
+    st = materialize(staging(spark, sf_dir).select("rowId", *LINE_KEY), "flat-orders")
     return safe(sample.sample_hash(st, HASH_COLUMNS, LINE_KEY, HASH_SAMPLE_ROWS, HASH_SEED))
 
 
