@@ -222,7 +222,7 @@ def q_tokenize_ids(spark, sf_dir):
 
 def _resume(spark, sf_dir, saved=None):
     ids = id_lines(spark, sf_dir)
-    early = ids.where(F.col("l_shipdate") < F.lit(RESUME_CUTOFF).cast("timestamp"))
+    early = ids.where(F.col("l_shipdate") < F.lit(RESUME_CUTOFF).cast("timestamp_ntz"))
     first = pseudonym.pseudonymize(early, LINE_KEY, id_columns=ID_COLUMNS, chunk_rows=CHUNK_ROWS)[2]
     if saved is not None:
         first = saved(first)
@@ -348,7 +348,7 @@ def q_mapping_state(spark, sf_dir):
     """Two runs through the versioned store: early lines, then all lines."""
     store = MappingStore(spark, scratch_path(spark, "mapping-store"))
     ids = id_lines(spark, sf_dir)
-    runs = [ids.where(F.col("l_shipdate") < F.lit(RESUME_CUTOFF).cast("timestamp")), ids]
+    runs = [ids.where(F.col("l_shipdate") < F.lit(RESUME_CUTOFF).cast("timestamp_ntz")), ids]
     for rows in runs:
         batch = store.next_batch("id_map")
         prev = store.load("id_map")
