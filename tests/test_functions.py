@@ -63,3 +63,17 @@ def test_csv_na_tokens_are_exact_and_untrimmed(spark):
     assert (None, "x") in got
     assert (" NA ", "y;z") in got
     assert ('q"uote', "multi\nline") in got
+
+
+def test_mapping_csv_roundtrip_and_absent_file(spark, tmp_path):
+    from ordstar.operators.pseudonym import id_counters
+    from ordstar.sources.text import export_mapping_csv, load_mapping_csv
+
+    assert load_mapping_csv(spark, str(tmp_path / "none.csv"), "id_map").count() == 0
+    m = spark.createDataFrame([("A", "FAKE_GTIN_000007", "GTIN"), ("B", "PO_000003", "PO"), ("C", "FAKE_HS_x", "HS")],
+                              "original string, fake string, id_type string")
+    export_mapping_csv(m, str(tmp_path / "ids"), "id_map")
+    back = load_mapping_csv(spark, str(tmp_path / "ids"), "id_map")
+    assert sorted(back.collect()) == sorted(m.collect())
+    counters = {r.id_type: r["__counter"] for r in id_counters(back).collect()}
+    assert counters == {"GTIN": 7, "PO": 3, "HS": None}
