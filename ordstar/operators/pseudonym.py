@@ -16,9 +16,10 @@ decides its category (names) or type and number (identifiers). Here:
    continuing after the saved counter of each type; names get a fake from a
    salted SHA-256 pick, and values whose fake collides get a rank suffix, so
    the mapping is injective and reproducible;
-5. each column is looked up in the mapping with a left join. Blank values
-   never match and are spread over all partitions by a per-row key instead of
-   all landing on the null key's partition.
+5. the mapping is written once (it is the saved state) and looked up: a
+   broadcast lookup per column when its written size is within the broadcast
+   threshold, otherwise one join of unpivoted ``(row, column, value)`` cells
+   pivoted back onto the rows. Blank values never look anything up.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 
 from ordstar.functions.text import capitalize, col, hash_pick, is_blank, last_number, py_strip, zfill
 from ordstar.operators.numbering import dense_number
+from ordstar.session import materialize
 from ordstar.specs import FALLBACK_MODULUS, ID_BLANK_TOKENS, ID_PREFIX
 
 NAME_MAP_COLUMNS = ("original", "anonymized", "category")
@@ -218,34 +220,87 @@ def build_id_map(first: DataFrame, columns: Sequence[str], existing: DataFrame |
 
 # --- applying a mapping --------------------------------------------------------
 
+def size_in_bytes(df: DataFrame) -> int:
+    """The planner's size estimate (file sizes for a written table)."""
+    v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return v if isinstance(v, int) else int(v.toString())
+
+
+def broadcast_limit(spark) -> int:
+    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    try:
+        return int(raw)
+    except ValueError:
+        return int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(raw))
+
+
 def apply_mapping(df: DataFrame, columns: Sequence[str], mapping: DataFrame, value_col: str,
-                  strip: bool) -> DataFrame:
+                  strip: bool, strategy: str = "auto") -> DataFrame:
     """Replace each listed column by its mapped value; blank → ``""``.
 
-    One left join per column on ``(blank flag, key)``: mapping rows carry
-    flag false, blank rows carry flag true and a per-row key, so they never
-    match and spread evenly instead of piling onto one partition.
+    ``mapping`` should be a written table so its size is known. Up to the
+    broadcast threshold, each column is a broadcast lookup (no shuffle).
+    Beyond it, the columns are unpivoted into narrow ``(row, column, key)``
+    rows, joined to the mapping once, and pivoted back onto the rows, so the
+    wide rows move once instead of once per column.
     """
     present = [c for c in columns if c in df.columns]
-    m = mapping.select(F.lit(False).alias("__mb"), F.col("original").alias("__mo"), F.col(value_col).alias("__mv"))
-    x = df.withColumn("__row", F.monotonically_increasing_id().cast("string"))
+    if not present:
+        return df
+    if strategy == "auto":
+        limit = broadcast_limit(df.sparkSession)
+        strategy = "broadcast" if 0 <= size_in_bytes(mapping) <= limit else "unpivot"
+    if strategy == "broadcast":
+        return _apply_broadcast(df, present, mapping, value_col, strip)
+    return _apply_unpivot(df, present, mapping, value_col, strip)
+
+
+def _blank_key(c: Column, strip: bool) -> tuple[Column, Column]:
+    blank = _id_blank(c) if strip else is_blank(c)
+    key = py_strip(c) if strip else c
+    return blank, key.cast("string")
+
+
+def _apply_broadcast(df, present, mapping, value_col, strip):
+    # Size checked by the caller: at most the broadcast threshold.
+    m = F.broadcast(mapping.select(F.col("original").alias("__mo"), F.col(value_col).alias("__mv")))
+    x = df
     for c in present:
-        blank = _id_blank(col(c)) if strip else is_blank(col(c))
-        key = py_strip(col(c)) if strip else col(c)
-        x = (x.withColumn("__b", blank)
-              .withColumn("__k", F.when(F.col("__b"), F.col("__row")).otherwise(key.cast("string"))))
-        x = (x.join(m, (F.col("__b") == F.col("__mb")) & (F.col("__k") == F.col("__mo")), "left")
+        blank, key = _blank_key(col(c), strip)
+        x = (x.withColumn("__b", blank).withColumn("__k", F.when(F.col("__b"), F.lit(None)).otherwise(key))
+              .join(m, F.col("__k") == F.col("__mo"), "left")
               .withColumn(c, F.when(F.col("__b"), F.lit("")).otherwise(F.col("__mv")))
-              .drop("__b", "__k", "__mb", "__mo", "__mv"))
+              .drop("__b", "__k", "__mo", "__mv"))
     return x.select(*[col(c) for c in df.columns])
 
 
+def _apply_unpivot(df, present, mapping, value_col, strip):
+    # Pin a row id (a written table keeps it stable between the two uses).
+    x = materialize(df.withColumn("__row", F.monotonically_increasing_id()), "apply-rows")
+    cells = []
+    for j, c in enumerate(present):
+        blank, key = _blank_key(col(c), strip)
+        cells.append(F.when(~blank, F.struct(F.lit(j).alias("j"), key.alias("k"))))
+    occ = (x.select("__row", F.explode(F.filter(F.array(*cells), lambda e: e.isNotNull())).alias("e"))
+            .select("__row", "e.j", "e.k"))
+    m = mapping.select(F.col("original").alias("k"), F.col(value_col).alias("v"))
+    looked = (occ.join(m, "k", "left")
+                 .groupBy("__row").agg(F.map_from_entries(F.collect_list(F.struct("j", "v"))).alias("__m")))
+    out = x.join(looked, "__row", "left")
+    repl = {}
+    for j, c in enumerate(present):
+        blank, _ = _blank_key(col(c), strip)
+        repl[c] = F.when(blank, F.lit("")).otherwise(F.element_at(F.col("__m"), F.lit(j)))
+    return out.select(*[repl[c].alias(c) if c in repl else col(c) for c in df.columns])
+
+
 # --- one call: both namespaces ----------------------------------------------------
 
 def pseudonymize(df: DataFrame, order: Sequence[str], name_columns: Sequence[str] = (),
                  id_columns: Sequence[str] = (), chunk_rows: int | None = None,
                  name_map: DataFrame | None = None, id_map: DataFrame | None = None,
-                 salt: str = DEFAULT_SALT, width: int = 6, keep_input: bool = False):
+                 salt: str = DEFAULT_SALT, width: int = 6, keep_input: bool = False,
+                 strategy: str = "auto"):
     """Mask names and identifiers. Returns ``(masked, name_map, id_map)``.
 
     ``order`` is the total row order (file order of the source); with
@@ -259,11 +314,13 @@ def pseudonymize(df: DataFrame, order: Sequence[str], name_columns: Sequence[str
     out_names = out_ids = None
     masked = rows
     if name_columns:
-        out_names = build_name_map(first_seen(rows, name_columns, strip=False), name_columns, name_map, salt)
-        masked = apply_mapping(masked, name_columns, out_names, "anonymized", strip=False)
+        out_names = materialize(build_name_map(first_seen(rows, name_columns, strip=False), name_columns,
+                                               name_map, salt), "name-map")
+        masked = apply_mapping(masked, name_columns, out_names, "anonymized", strip=False, strategy=strategy)
     if id_columns:
-        out_ids = build_id_map(first_seen(rows, id_columns, strip=True), id_columns, id_map, width)
-        masked = apply_mapping(masked, id_columns, out_ids, "fake", strip=True)
+        out_ids = materialize(build_id_map(first_seen(rows, id_columns, strip=True), id_columns, id_map, width),
+                              "id-map")
+        masked = apply_mapping(masked, id_columns, out_ids, "fake", strip=True, strategy=strategy)
     kept = [col(f"__in_{c}") for c in listed] if keep_input else []
     return masked.select(*[col(c) for c in df.columns], *kept), out_names, out_ids
 

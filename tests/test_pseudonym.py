@@ -99,3 +99,14 @@ def test_blank_names_become_empty(spark):
     got = [r["attributes.trader"] for r in masked.orderBy("r").collect()]
     assert got[:2] == ["", ""] and got[2] not in ("", "x")
     assert [r.original for r in names.collect()] == ["x"]
+
+
+def test_unpivot_and_broadcast_lookups_agree(spark):
+    df = spark.createDataFrame(
+        [(i, f"N{i % 11}" if i % 5 else "  ", f"N{(i * 3) % 7}", f" G{i % 4} " if i % 6 else None) for i in range(300)],
+        f"r long, `buyer.nodes.name` string, `attributes.trader` string, `{GTIN}` string")
+    cols = dict(name_columns=["buyer.nodes.name", "attributes.trader"], id_columns=[GTIN])
+    a = pseudonym.pseudonymize(df, ["r"], strategy="broadcast", **cols)[0]
+    b = pseudonym.pseudonymize(df, ["r"], strategy="unpivot", **cols)[0]
+    assert sorted(a.collect()) == sorted(b.collect())
+    assert sorted(r[GTIN] for r in a.collect())[:1] == [""]
