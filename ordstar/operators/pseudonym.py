@@ -307,12 +307,15 @@ def pseudonymize(df: DataFrame, order: Sequence[str], name_columns: Sequence[str
     ``chunk_rows`` the first-seen order is (chunk, column, row), as for a
     reader that processes ``chunk_rows`` rows at a time.
     """
-    rows = with_row_order(df, order, chunk_rows)
     listed = [c for c in (*name_columns, *id_columns) if c in df.columns]
+    # First-seen order needs only the order key and the listed columns: sort
+    # that narrow projection, not the whole row.
+    narrow = df.select(*[col(c) for c in dict.fromkeys([*order, *listed])])
+    rows = with_row_order(narrow, order, chunk_rows)
+    masked = df
     if keep_input:
-        rows = rows.select("*", *[col(c).alias(f"__in_{c}") for c in listed])
+        masked = masked.select("*", *[col(c).alias(f"__in_{c}") for c in listed])
     out_names = out_ids = None
-    masked = rows
     if name_columns:
         out_names = materialize(build_name_map(first_seen(rows, name_columns, strip=False), name_columns,
                                                name_map, salt), "name-map")
