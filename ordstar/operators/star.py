@@ -7,8 +7,8 @@
   attributes with null-safe equality: exactly one fact row per staging row.
 * ``fact_partial_key``: the parity load: each dimension joined on its single
   ``join_key`` with ``=``; a key shared by several dimension rows multiplies
-  the staging row. Null keys never match, so they are split off before the
-  join (they would otherwise all hash to one shuffle partition).
+  the staging row. Null keys never match; they join on a per-row key so they
+  do not all hash to one shuffle partition.
 
 Dimension joins are left to the planner: a dimension below the broadcast
 threshold (measured by AQE at runtime) is broadcast, a large one is
@@ -93,15 +93,22 @@ def fact_full_key(staging: DataFrame, dims: dict[str, DataFrame], spec: StarSpec
 
 def fact_partial_key(staging: DataFrame, dims: dict[str, DataFrame], spec: StarSpec,
                      dim_names=None, order_key=LINE_KEY, numbered: bool = False) -> DataFrame:
-    """Parity load: LEFT JOIN each dimension on its single join key (``=``)."""
+    """Parity load: LEFT JOIN each dimension on its single join key (``=``).
+
+    A null key never matches. Such rows join on a per-row key instead (with a
+    condition that keeps them from matching), so a column that is a third
+    null spreads over all partitions rather than one.
+    """
     chosen = [d for d in spec.dims if dim_names is None or d.name in dim_names]
-    x = staging
+    x = staging.withColumn("__row", F.monotonically_increasing_id().cast("string"))
     for d in chosen:
-        right = dims[d.name].select(F.col(d.key), col(d.join_key).alias("__jk"))
+        right = (dims[d.name].where(col(d.join_key).isNotNull())
+                             .select(F.col(d.key), col(d.join_key).alias("__jk")))
         has_key = col(d.join_key).isNotNull()
-        matched = x.where(has_key).join(right, x[f"`{d.join_key}`"] == right["__jk"], "left").drop("__jk")
-        unmatched = x.where(~has_key).withColumn(d.key, F.lit(None).cast("int"))
-        x = matched.unionByName(unmatched)
+        x = (x.withColumn("__has", has_key)
+              .withColumn("__k", F.when(F.col("__has"), col(d.join_key).cast("string")).otherwise(F.col("__row")))
+              .join(right, (F.col("__k") == F.col("__jk")) & F.col("__has"), "left")
+              .drop("__has", "__k", "__jk"))
     fk = [d.key for d in chosen]
     return _fact_columns(x, spec, order_key, numbered, fk=fk)
 

@@ -61,3 +61,28 @@ def test_full_key_fact_joins_broadcast_small_dimensions(spark):
     fact.collect()
     plan = fact._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_partial_key_rows_equal_sum_of_products(spark):
+    from ordstar.sources.adapter import staging as staging_of
+    from ordstar.specs import ORDER_STAR
+
+    from conftest import SMALL
+
+    st = staging_of(spark, SMALL)
+    names = ["dim_buyer", "dim_product", "dim_certification"]
+    dims = star.build_dimensions(st, ORDER_STAR)
+    got = star.fact_partial_key(st, dims, ORDER_STAR, dim_names=names).count()
+    pdf = st.toPandas()
+    expect = 0
+    mult = {}
+    for n in names:
+        d = ORDER_STAR.dim(n)
+        mult[n] = dims[n].toPandas()[d.join_key].value_counts(dropna=True).to_dict()
+    for _, row in pdf.iterrows():
+        p = 1
+        for n in names:
+            k = row[ORDER_STAR.dim(n).join_key]
+            p *= mult[n].get(k, 1) if k is not None else 1
+        expect += p
+    assert got == expect
