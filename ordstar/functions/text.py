@@ -8,8 +8,9 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Whitespace as Python's str.strip sees it (Unicode-aware \s in Java regex).
-_STRIP_RE = r"(?U)^\s+|\s+$"
+# Whitespace as Python's str.strip sees it: every character for which
+# str.isspace() holds (derived by rule, not listed).
+WHITESPACE = "".join(chr(i) for i in range(0x110000) if chr(i).isspace())
 # Plain decimal / scientific number text, optionally signed and padded. Text
 # such as "1d" or "1f" (numbers to a Java parser) is rejected on purpose.
 NUMBER_RE = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
@@ -28,11 +29,11 @@ def cols(names: Iterable[str]) -> list[Column]:
 
 def py_strip(c: Column) -> Column:
     """``str.strip()``: removes all leading/trailing whitespace, not only spaces."""
-    return F.regexp_replace(c, _STRIP_RE, "")
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def is_blank(c: Column) -> Column:
-    """Null, or only whitespace."""
+    """Null, or only whitespace (``strip() == ""``)."""
     return c.isNull() | (py_strip(c) == "")
 
 
