@@ -47,6 +47,19 @@ def build_dimensions(staging: DataFrame, spec: StarSpec) -> dict[str, DataFrame]
     numbering. Array order is element-wise with nulls first, which is the
     attributes' ``ASC NULLS FIRST`` order.
     """
+    numbered = dense_number(distinct_dimension_rows(staging, spec), ["attrs"], id_col="__key",
+                            groups=["dim"], nulls_first=True)
+    out = {}
+    for i, d in enumerate(spec.dims):
+        out[d.name] = numbered.where(F.col("dim") == i).select(
+            F.col("__key").cast("int").alias(d.key),
+            *[F.col("attrs")[j].alias(a) for j, a in enumerate(d.attributes)])
+    return out
+
+
+def distinct_dimension_rows(staging: DataFrame, spec: StarSpec) -> DataFrame:
+    """``(dim, attrs)``: the distinct attribute rows of every dimension, from
+    one scan (one explode, one hash aggregate with map-side combine)."""
     entries = []
     for i, d in enumerate(spec.dims):
         ok = F.lit(True)
@@ -55,15 +68,8 @@ def build_dimensions(staging: DataFrame, spec: StarSpec) -> dict[str, DataFrame]
         entry = F.struct(F.lit(i).alias("dim"),
                          F.array(*[col(a).cast("string") for a in d.attributes]).alias("attrs"))
         entries.append(F.when(ok, entry))
-    packed = (staging.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e"))
-                     .select("e.dim", "e.attrs").distinct())
-    numbered = dense_number(packed, ["attrs"], id_col="__key", groups=["dim"], nulls_first=True)
-    out = {}
-    for i, d in enumerate(spec.dims):
-        out[d.name] = numbered.where(F.col("dim") == i).select(
-            F.col("__key").cast("int").alias(d.key),
-            *[F.col("attrs")[j].alias(a) for j, a in enumerate(d.attributes)])
-    return out
+    return (staging.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e"))
+                   .select("e.dim", "e.attrs").distinct())
 
 
 def _prefixed(dim_df: DataFrame, dim: DimSpec, attrs) -> DataFrame:

@@ -84,7 +84,7 @@ def q_kpi_buyers(spark, sf_dir):
 
 def q_fanout_audit(spark, sf_dir):
     st = staging(spark, sf_dir)
-    return quality.fanout_audit(st, star.build_dimensions(st, ORDER_STAR), ORDER_STAR)
+    return quality.fanout_audit(st, ORDER_STAR)
 
 
 def q_integrity_audit(spark, sf_dir):
