@@ -67,7 +67,9 @@ def id_type(column: str) -> str:
 
 
 # Word lists for generated names (our own; any disjoint lists work). Company
-# = surname + suffix, person = first name + surname, word = one noun.
+# = surname + surname + suffix (43,200 bases), person = first name + middle
+# initial + surname (62,400 bases), word = one noun. Many bases keep the
+# groups that resolve collisions (one window partition per base) small.
 SURNAMES = (
     "Abbott", "Barrow", "Calder", "Dalton", "Ellery", "Fenwick", "Garrick", "Hadley", "Ingram", "Jarvis",
     "Kendall", "Langley", "Marlow", "Norcross", "Oakley", "Pembroke", "Quinlan", "Radcliffe", "Sutton", "Thorne",
@@ -92,6 +94,7 @@ WORDS = (
     "upland", "valley", "willow", "yonder", "zephyr", "anchor", "beacon", "canyon", "dune", "estuary",
     "falcon", "glacier", "heron", "inlet", "jasper", "knoll", "lantern", "marsh", "nimbus", "oasis",
 )
+INITIALS = tuple(chr(c) for c in range(ord("A"), ord("Z") + 1))
 MANUFACTURING_SUFFIX = " Manufacturing"
 DEFAULT_SALT = "ordstar"
 
@@ -103,10 +106,12 @@ def _pick(words: Sequence[str], h: Column, slot: int) -> Column:
 
 
 def fake_base(category: Column, h: Column) -> Column:
-    company = F.concat_ws(" ", _pick(SURNAMES, h, 0), _pick(COMPANY_SUFFIXES, h, 1))
+    company = F.concat_ws(" ", _pick(SURNAMES, h, 0), _pick(SURNAMES, h, 2), _pick(COMPANY_SUFFIXES, h, 1))
+    person = F.concat_ws(" ", _pick(FIRST_NAMES, h, 0), F.concat(_pick(INITIALS, h, 2), F.lit(".")),
+                         _pick(SURNAMES, h, 1))
     return (F.when(category == "company", company)
              .when(category == "manufacturing", F.concat(company, F.lit(MANUFACTURING_SUFFIX)))
-             .when(category == "person", F.concat_ws(" ", _pick(FIRST_NAMES, h, 0), _pick(SURNAMES, h, 1)))
+             .when(category == "person", person)
              .otherwise(capitalize(_pick(WORDS, h, 0))))
 
 

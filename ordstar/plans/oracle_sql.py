@@ -392,11 +392,14 @@ def name_map_ctes(src: str, columns, chunk_rows: int, salt: str) -> str:
         f"SELECT {j} AS j, {q(c)} AS v, seq FROM nrows WHERE NOT {sql_blank(q(c))}" for j, c in enumerate(columns))
     cats = " ".join(f"WHEN {j} THEN {sq(p.name_category(c))}" for j, c in enumerate(columns))
     h = "h"
-    company = f"{_pick_sql(p.SURNAMES, h, 0)} || ' ' || {_pick_sql(p.COMPANY_SUFFIXES, h, 1)}"
+    company = (f"{_pick_sql(p.SURNAMES, h, 0)} || ' ' || {_pick_sql(p.SURNAMES, h, 2)} || ' ' || "
+               f"{_pick_sql(p.COMPANY_SUFFIXES, h, 1)}")
+    person = (f"{_pick_sql(p.FIRST_NAMES, h, 0)} || ' ' || {_pick_sql(p.INITIALS, h, 2)} || '. ' || "
+              f"{_pick_sql(p.SURNAMES, h, 1)}")
     word = _pick_sql(p.WORDS, h, 0)
     base = (f"CASE category WHEN 'company' THEN {company} "
             f"WHEN 'manufacturing' THEN {company} || {sq(p.MANUFACTURING_SUFFIX)} "
-            f"WHEN 'person' THEN {_pick_sql(p.FIRST_NAMES, h, 0)} || ' ' || {_pick_sql(p.SURNAMES, h, 1)} "
+            f"WHEN 'person' THEN {person} "
             f"ELSE upper(substr({word}, 1, 1)) || lower(substr({word}, 2)) END")
     return f"""nrows AS (SELECT *, row_number() OVER (ORDER BY {LINE_ORDER}) - 1 AS seq FROM {src}),
 nocc AS ({occ}),
