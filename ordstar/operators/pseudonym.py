@@ -24,6 +24,7 @@ decides its category (names) or type and number (identifiers). Here:
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -313,6 +314,9 @@ def pseudonymize(df: DataFrame, order: Sequence[str], name_columns: Sequence[str
     reader that processes ``chunk_rows`` rows at a time.
     """
     listed = [c for c in (*name_columns, *id_columns) if c in df.columns]
+    skipped = [c for c in (*name_columns, *id_columns) if c not in df.columns]
+    if skipped:
+        warnings.warn(f"columns to mask not present, skipped: {skipped}")
     # First-seen order needs only the order key and the listed columns: sort
     # that narrow projection, not the whole row.
     narrow = df.select(*[col(c) for c in dict.fromkeys([*order, *listed])])

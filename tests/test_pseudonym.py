@@ -110,3 +110,24 @@ def test_unpivot_and_broadcast_lookups_agree(spark):
     b = pseudonym.pseudonymize(df, ["r"], strategy="unpivot", **cols)[0]
     assert sorted(a.collect()) == sorted(b.collect())
     assert sorted(r[GTIN] for r in a.collect())[:1] == [""]
+
+
+def test_missing_columns_are_skipped_with_a_warning(spark):
+    import warnings
+
+    df = spark.createDataFrame([(0, "A")], f"r long, `{GTIN}` string")
+    with warnings.catch_warnings(record=True) as w:
+        warnings.simplefilter("always")
+        masked, _, ids = pseudonym.pseudonymize(df, ["r"], id_columns=[GTIN, HS])
+    assert any(HS in str(x.message) for x in w)
+    assert masked.columns == ["r", GTIN] and mapping(ids) == {"A": "FAKE_GTIN_000001"}
+
+
+def test_mapping_independent_of_input_partitioning(spark):
+    data = [(i, f"G{(i * 13) % 97}", f"H{(i * 7) % 31}") for i in range(2000)]
+    base = id_rows(spark, data)
+    results = []
+    for n in (1, 3, 17):
+        _, _, ids = pseudonym.pseudonymize(base.repartition(n), ["r"], id_columns=[GTIN, HS], chunk_rows=250)
+        results.append(sorted(tuple(r) for r in ids.collect()))
+    assert results[0] == results[1] == results[2]
