@@ -612,3 +612,31 @@ def star_publish_query(tables) -> str:
     parts = [f"SELECT {sq(t)} AS table_name, COUNT(*) AS n_rows FROM {t if t != 'fact_orders' else 'fact'}"
              for t in tables]
     return with_star("\n" + "\nUNION ALL\n".join(parts))
+
+
+def _js(x: str) -> str:
+    """JSON string literal of a text value (quotes and backslashes escaped)."""
+    return f"""('"' || replace(replace({x}, '\\', '\\\\'), '"', '\\"') || '"')"""
+
+
+def json_scan_query(nodes_per_doc: int) -> str:
+    from ordstar.sources.adapter import PARTIAL_STATUS
+
+    line = (f"""'{{"value":' || CAST(l_quantity AS VARCHAR) || ',"asset":{{"descriptionShort":' || """
+            f"""COALESCE({_js('p_name')}, 'null') || '}}}}'""")
+    lines = f"""jl AS (SELECT l_orderkey, string_agg({line}, ',' ORDER BY {_doc_order()}) AS nodes
+  FROM lineitem LEFT JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey)"""
+    buyer = f"CASE WHEN o_orderpriority = {sq(NO_BUYER_PRIORITY)} THEN NULL ELSE c_name END"
+    poc = (f"CASE WHEN r_name IS NULL OR r_name = {sq(NO_CONTACT_REGION)} THEN '' "
+           f"""ELSE '{{"name":' || {_js('r_name')} || '}}' END""")
+    node = (f"""'{{"rowId":' || {_js("'PO-' || CAST(o_orderkey AS VARCHAR)")} || ',"type":' || {_js('o_orderstatus')} """
+            f"""|| ',"tags":[' || {_js('o_orderpriority')} || '],"flags":' """
+            f"""|| CASE WHEN o_orderstatus = {sq(PARTIAL_STATUS)} THEN '{{"partial":true}}' ELSE 'null' END """
+            f"""|| ',"buyer":{{"nodes":[{{"name":' || COALESCE({_js(buyer)}, 'null') """
+            f"""|| ',"parentCompany":{{"nodes":[{{"name":' || COALESCE({_js('n_name')}, 'null') || '}}]}}}}]}}' """
+            f"""|| ',"point_of_contact":{{"nodes":[' || {poc} || ']}}' """
+            f"""|| ',"produits":{{"nodes":[' || COALESCE(jl.nodes, '') || ']}}}}'""")
+    return with_staging(f"""
+SELECT CAST(row_number() OVER (PARTITION BY o_orderkey // {nodes_per_doc} ORDER BY o_orderkey) - 1 AS INTEGER) AS pos,
+       {node} AS node
+FROM orders LEFT JOIN cust ON o_custkey = c_custkey LEFT JOIN jl ON jl.l_orderkey = o_orderkey""", lines)

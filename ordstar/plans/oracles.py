@@ -62,3 +62,7 @@ ORACLES.update({
     "pseudo_incremental": o.pseudo_incremental_query(ID_COLUMNS),
     "star_publish": o.star_publish_query(_q.STAR_TABLES),
 })
+
+ORACLES.update({
+    "json_scan": o.json_scan_query(_q.NODES_PER_DOC),
+})
