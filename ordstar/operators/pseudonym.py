@@ -154,7 +154,8 @@ def _id_blank(c: Column) -> Column:
     return c.isNull() | py_strip(c).isin(*ID_BLANK_TOKENS)
 
 
-def _by_position(columns: Sequence[str], values: Sequence[str], j: Column) -> Column:
+def _by_position(values: Sequence[str], j: Column) -> Column:
+    """The ``j``-th (0-based) of a list of literals, chosen per row."""
     return F.element_at(F.array(*[F.lit(v) for v in values]), (j + 1).cast("int"))
 
 
@@ -176,7 +177,7 @@ def build_name_map(first: DataFrame, columns: Sequence[str], existing: DataFrame
     if "category" not in existing.columns:
         existing = existing.withColumn("category", F.lit(None).cast("string"))
     new = first.join(existing.select("original"), "original", "left_anti")
-    category = _by_position(columns, [name_category(c) for c in columns], F.col("__j"))
+    category = _by_position([name_category(c) for c in columns], F.col("__j"))
     h = salted_hash(F.col("original"), salt)
     new = new.select("original", category.alias("category"), h.alias("__h"))
     new = new.withColumn("__base", fake_base(F.col("category"), F.col("__h")))
@@ -207,7 +208,7 @@ def build_id_map(first: DataFrame, columns: Sequence[str], existing: DataFrame |
     spark = first.sparkSession
     existing = existing if existing is not None else empty_id_map(spark)
     new = first.join(existing.select("original"), "original", "left_anti")
-    typ = _by_position(columns, [id_type(c) for c in columns], F.col("__j"))
+    typ = _by_position([id_type(c) for c in columns], F.col("__j"))
     new = new.withColumn("id_type", typ)
     seq = new.where(F.col("id_type") != "OTHER")
     other = new.where(F.col("id_type") == "OTHER")
