@@ -168,3 +168,43 @@ ID_MASK = IdSpec(ID_COLUMNS)
 def safe_name(column: str) -> str:
     """Column name without dots, for outputs consumed by other engines."""
     return column.replace(".", "_")
+
+
+# Declared shape of one purchase-order node (the documents' GraphQL layout):
+# with it and a path list, flattening needs no discovery pass over the data.
+ORDER_NODE_SCHEMA = (
+    "rowId string, type string, "
+    "attributes struct<buyerNameContact: string, feedstock: string, trader: string, traderContact: string, "
+    "sellingManufacturerFacilityName: string, manufacturer: string, manufacturerContact: string, "
+    "millsTracabilityPo: string, millsTracabilityPko: string, plantationsTracabilityPo: string, "
+    "plantationsTracabilityPko: string, volumeContact: string>, "
+    "buyer struct<nodes: array<struct<name: string, parentCompany: struct<nodes: array<struct<name: string>>>>>>, "
+    "point_of_contact struct<nodes: array<struct<name: string>>>, "
+    "produits struct<nodes: array<struct<value: double, unit: string, asset: struct<descriptionShort: string, "
+    "attributes: struct<gtin: string, hsCode: string, descriptionShort: string, regulatedProductName: string, "
+    "category: string, isComponent: string, productLine: string, countryOfOrigin: string>>>>>, "
+    "feedstock struct<nodes: array<struct<quantity: double, unit: string, asset: struct<descriptionShort: string>, "
+    "rawMaterial: struct<name: string>>>>, "
+    "transactionExpectedCertificateNomenclatures struct<nodes: array<struct<type: string, level: string, "
+    "tradeItem: struct<descriptionShort: string>>>>"
+)
+
+# The leaf paths the star consumes, in document order of the declared shape.
+ORDER_PATHS = (
+    "rowId", "type",
+    "attributes.buyerNameContact", "attributes.feedstock", "attributes.trader", "attributes.traderContact",
+    "attributes.sellingManufacturerFacilityName", "attributes.manufacturer", "attributes.manufacturerContact",
+    "attributes.millsTracabilityPo", "attributes.millsTracabilityPko", "attributes.plantationsTracabilityPo",
+    "attributes.plantationsTracabilityPko", "attributes.volumeContact",
+    "buyer.nodes.name", "buyer.nodes.parentCompany.nodes.name", "point_of_contact.nodes.name",
+    "produits.nodes.value", "produits.nodes.unit", "produits.nodes.asset.descriptionShort",
+    "produits.nodes.asset.attributes.gtin", "produits.nodes.asset.attributes.hsCode",
+    "produits.nodes.asset.attributes.descriptionShort", "produits.nodes.asset.attributes.regulatedProductName",
+    "produits.nodes.asset.attributes.category", "produits.nodes.asset.attributes.isComponent",
+    "produits.nodes.asset.attributes.productLine", "produits.nodes.asset.attributes.countryOfOrigin",
+    "feedstock.nodes.quantity", "feedstock.nodes.unit", "feedstock.nodes.asset.descriptionShort",
+    "feedstock.nodes.rawMaterial.name",
+    "transactionExpectedCertificateNomenclatures.nodes.type",
+    "transactionExpectedCertificateNomenclatures.nodes.level",
+    "transactionExpectedCertificateNomenclatures.nodes.tradeItem.descriptionShort",
+)
