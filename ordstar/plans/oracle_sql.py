@@ -640,3 +640,28 @@ def json_scan_query(nodes_per_doc: int) -> str:
 SELECT CAST(row_number() OVER (PARTITION BY o_orderkey // {nodes_per_doc} ORDER BY o_orderkey) - 1 AS INTEGER) AS pos,
        {node} AS node
 FROM orders LEFT JOIN cust ON o_custkey = c_custkey LEFT JOIN jl ON jl.l_orderkey = o_orderkey""", lines)
+
+
+def order_etl_query(n: int) -> str:
+    """Row counts of the star built from the first ``n`` cross-exploded
+    document rows. Masking is injective and turns blanks into "", so a
+    dimension's rows are the distinct (blank-marked) original tuples."""
+    lines = f"""ln2 AS (SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY {_doc_order()}) - 1 AS i,
+       l_quantity, p_name FROM lineitem LEFT JOIN part ON l_partkey = p_partkey)"""
+    rows = f"""x AS (SELECT o.o_orderkey, a.i AS i, b.i AS j, b.p_name AS pn,
+       CASE WHEN o_orderpriority = {sq(NO_BUYER_PRIORITY)} THEN NULL ELSE c_name END AS buyer, n_name,
+       CASE WHEN r_name = {sq(NO_CONTACT_REGION)} THEN NULL ELSE r_name END AS poc
+  FROM orders o LEFT JOIN cust ON o.o_custkey = c_custkey
+  LEFT JOIN ln2 a ON a.l_orderkey = o.o_orderkey LEFT JOIN ln2 b ON b.l_orderkey = o.o_orderkey),
+s AS (SELECT * FROM x ORDER BY o_orderkey, i NULLS FIRST, j NULLS FIRST LIMIT {n})"""
+    one = "(SELECT LEAST(COUNT(*), 1) FROM s)"
+    body = f"""
+SELECT 'dim_buyer' AS table_name, (SELECT COUNT(*) FROM (SELECT DISTINCT COALESCE(buyer, chr(1)), n_name FROM s) t) AS n_rows
+UNION ALL SELECT 'dim_product', (SELECT COUNT(*) FROM (SELECT DISTINCT COALESCE(pn, chr(1)) FROM s) t)
+UNION ALL SELECT 'dim_feedstock', {one}
+UNION ALL SELECT 'dim_certification', {one}
+UNION ALL SELECT 'dim_trader', {one}
+UNION ALL SELECT 'dim_point_of_contact', (SELECT COUNT(*) FROM (SELECT DISTINCT COALESCE(poc, chr(1)) FROM s) t)
+UNION ALL SELECT 'dim_manufacturer', {one}
+UNION ALL SELECT 'fact_orders', (SELECT COUNT(*) FROM s)"""
+    return with_staging(body, lines + ",\n" + rows)

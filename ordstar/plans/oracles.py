@@ -66,3 +66,5 @@ ORACLES.update({
 ORACLES.update({
     "json_scan": o.json_scan_query(_q.NODES_PER_DOC),
 })
+
+ORACLES["order_etl"] = o.order_etl_query(SAMPLE_ROWS)
