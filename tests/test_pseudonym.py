@@ -131,3 +131,28 @@ def test_mapping_independent_of_input_partitioning(spark):
         _, _, ids = pseudonym.pseudonymize(base.repartition(n), ["r"], id_columns=[GTIN, HS], chunk_rows=250)
         results.append(sorted(tuple(r) for r in ids.collect()))
     assert results[0] == results[1] == results[2]
+
+
+def test_hot_value_holding_a_third_of_rows(spark):
+    from ordstar.operators import star
+    from ordstar.specs import DimSpec, StarSpec
+
+    n = 3000
+    data = [(i, "HOT" if i % 3 == 0 else f"B{i % 50}", "G0" if i % 3 == 0 else f"G{i % 40}",
+             None if i % 7 == 0 else f"T{i % 5}") for i in range(n)]
+    df = spark.createDataFrame(data, f"r long, `buyer.nodes.name` string, `{GTIN}` string, `attributes.trader` string")
+    outs = []
+    for strategy in ("broadcast", "unpivot"):
+        masked, names, ids = pseudonym.pseudonymize(df, ["r"], name_columns=["buyer.nodes.name", "attributes.trader"],
+                                                    id_columns=[GTIN], chunk_rows=500, strategy=strategy)
+        rows = masked.collect()
+        assert len(rows) == n  # whole result, no row dropped
+        hot = {r.original: r.anonymized for r in names.collect()}["HOT"]
+        assert sum(r["buyer.nodes.name"] == hot for r in rows) == n // 3
+        assert sum(r["attributes.trader"] == "" for r in rows) == len([i for i in range(n) if i % 7 == 0])
+        outs.append(sorted(map(tuple, rows)))
+    assert outs[0] == outs[1]
+    spec = StarSpec(dims=(DimSpec("d", "id_d", ("buyer.nodes.name",), join_key="buyer.nodes.name"),),
+                    fact_text=("r",), measures=())
+    dims, fact = star.build_star(masked, spec, order_key=("r",))
+    assert fact.count() == n and dims["d"].count() == 51
