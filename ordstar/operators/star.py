@@ -145,3 +145,28 @@ def build_star(staging: DataFrame, spec: StarSpec, pin_staging: bool = True,
         staging = materialize(staging, "staging")
     dims = build_dimensions(staging, spec)
     return dims, fact_full_key(staging, dims, spec, order_key=order_key, numbered=number_fact, seq_col=seq)
+
+
+def partial_key_summary(staging: DataFrame, dims: dict[str, DataFrame], spec: StarSpec, dim_name: str,
+                        measures, dtype: str = "decimal(18,2)") -> DataFrame:
+    """Per foreign key of a parity (partial-key) load with one dimension: fact
+    rows and exact measure sums, without materialising the fan-out.
+
+    Each staging row is repeated once per dimension row sharing its join key,
+    so a dimension row's totals are its key's staging totals: staging is
+    aggregated per join key first (map-side combine), joined to the small
+    ``(key, join key)`` list, and rows with no match (null or unknown key)
+    form the null-key group.
+    """
+    d = spec.dim(dim_name)
+    k = col(d.join_key).cast("string")
+    sums = [F.sum(col(m).cast(dtype)).alias(f"__s{i}") for i, m in enumerate(measures)]
+    per_key = staging.groupBy(k.alias("__jk")).agg(F.count(F.lit(1)).alias("__n"), *sums)
+    right = dims[dim_name].where(col(d.join_key).isNotNull()).select(
+        F.col(d.key), col(d.join_key).cast("string").alias("__dk"))
+    matched = per_key.join(right, F.col("__jk") == F.col("__dk"), "inner").drop("__dk", "__jk")
+    unmatched = (per_key.join(right, F.col("__jk") == F.col("__dk"), "left_anti").drop("__jk")
+                        .withColumn(d.key, F.lit(None).cast("int")))
+    both = matched.unionByName(unmatched)
+    return both.groupBy(d.key).agg(F.sum("__n").alias("n_rows"), *[
+        F.sum(f"__s{i}").cast("double").alias(f"__t{i}") for i in range(len(measures))])

@@ -53,14 +53,15 @@ def q_fact_key(spark, sf_dir):
 
 
 def q_fact_partial_key(spark, sf_dir, dim_name: str = "dim_product"):
+    """Parity load with the product dimension (the largest fan-out), summed
+    per foreign key by eager aggregation (the row-level load is
+    ``star.fact_partial_key``)."""
     st = staging(spark, sf_dir)
     d = ORDER_STAR.dim(dim_name)
     dims = {dim_name: star.build_dimension(st, d)}
-    fact = star.fact_partial_key(st, dims, ORDER_STAR, dim_names=[dim_name])
-    return fact.groupBy(d.key).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        kpi.exact_sum(F.col("`produits.nodes.value`")).alias("total_value"),
-        kpi.exact_sum(F.col("`feedstock.nodes.quantity`")).alias("total_quantity"))
+    out = star.partial_key_summary(st, dims, ORDER_STAR, dim_name, ["produits.nodes.value", "feedstock.nodes.quantity"])
+    return out.select(d.key, F.col("n_rows").cast("bigint").alias("n_rows"), F.col("__t0").alias("total_value"),
+                      F.col("__t1").alias("total_quantity"))
 
 
 def q_kpi_volume(spark, sf_dir):
