@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordstar.llm import bpe, mixing, sharding, token_counts, url_filter
-from ordstar.llm.common import documents, text_or_empty
+from ordstar.llm import bpe, fingerprints, jaccard_join, lang_id, lm_scoring, mixing, quality, sharding, token_counts, url_filter
+from ordstar.llm.common import documents, id_crc, text_or_empty
 
 #: Rules of the url query: (host, path, verdict).
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -26,6 +26,12 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(documents(spark, sf_dir), MIX_WEIGHTS)
 
 
+def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text").withColumn("held_out", id_crc() % 7 == 2)
+    scored = lm_scoring.score(docs, docs.filter(~F.col("held_out")))
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("text").cast("binary")
     slim = documents(spark, sf_dir).select(
@@ -43,6 +49,42 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                           (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"), F.col(f"fit_{TOKEN_LIMIT}").alias("fit_chars"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    judged = quality.quality_filter(docs, documents(spark, sf_dir, "labels"), keep_text=False)
+    return judged.select("doc_id", *quality.BASE, "kept", "rejected_by")
+
+
+def language_training(docs: DataFrame) -> DataFrame:
+    """Rows a language model may learn from: three of four ids by their crc32."""
+    rows = docs.filter(id_crc() % 4 != 2)
+    return rows.select(F.col("doc_id").alias("key"), "lang", "text")
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = lang_id.learn(language_training(docs))
+    judged = lang_id.predict(docs.select("doc_id", "text"), model)
+    return judged.select("doc_id", (id_crc() % 4 == 2).alias("held_out"), "lang_pred", "score", "accepted")
+
+
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = jaccard_join.jaccard_components(documents(spark, sf_dir).select("doc_id", "text"))
+    return joined.select("doc_id", "n_shingles", "component_id")
+
+
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", text_or_empty().alias("text"))
+    rows = fingerprints.with_next(fingerprints.fingerprint(docs), "doc_id", "text", ["text", "fingerprint"])
+    edited = F.concat(F.expr("left(text, cast(n_chars - n_chars div 2 AS int))"), F.expr("left(next_text, cast(n_chars div 2 AS int))"))
+    rows = rows.withColumn("n_chars", F.length("text").cast("bigint")).withColumn("edited", edited)
+    rows = fingerprints.fingerprint(rows, "edited", "edited_fingerprint")
+    near = fingerprints.likeness_column
+    return rows.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
+                       near(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+                       near(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     docs = documents(spark, sf_dir).select("doc_id", text_or_empty().alias("text"))
@@ -55,7 +97,12 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_mix_sources": op2_mix_sources,
+    "op3_lm_scores": op3_lm_scores,
     "op4_shards": op4_shards,
     "op5_token_counts": op5_token_counts,
+    "op6_quality": op6_quality,
+    "op7_language": op7_language,
+    "op8_jaccard_join": op8_jaccard_join,
+    "op9_fingerprints": op9_fingerprints,
     "op10_byte_bpe": op10_byte_bpe,
 }
