@@ -52,7 +52,7 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     judged = quality.quality_filter(docs, documents(spark, sf_dir, "labels"), keep_text=False)
-    return judged.select("doc_id", *quality.BASE, "kept", "rejected_by")
+    return judged.select("doc_id", *quality.BASE, "kept", F.concat_ws(",", "rejected_by").alias("rejected_by"))
 
 
 def language_training(docs: DataFrame) -> DataFrame:
