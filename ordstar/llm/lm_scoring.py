@@ -53,6 +53,7 @@ END = b"\n"
 class Vocabulary:
     """Corpus statistics that go with a job; all sizes are bounded by parameters."""
 
+    head: int
     total: int
     distinct: int
     known: list[bytes]        # most frequent tokens, most frequent first
@@ -64,7 +65,7 @@ class Vocabulary:
 
     @property
     def classes(self) -> int:
-        return HEAD + len(self.endings) + 1
+        return self.head + len(self.endings) + 1
 
     def share(self, tail: int, count: int) -> float:
         """log10 of a word's share in its tail class; count 0: unknown."""
@@ -103,18 +104,18 @@ def count_words(docs: DataFrame, text: str) -> DataFrame:
     return materialize(found.groupBy("word").agg(F.sum("n").alias("c"), F.first("ending").alias("ending")), "word-counts")
 
 
-def vocabulary(counts: DataFrame) -> Vocabulary:
+def vocabulary(counts: DataFrame, head: int = HEAD, tails: int = TAILS, most_known: int = KNOWN) -> Vocabulary:
     whole = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    known = counts.orderBy(F.col("c").desc(), "word").limit(KNOWN).select("word", "c").toPandas()
+    known = counts.orderBy(F.col("c").desc(), "word").limit(most_known).select("word", "c").toPandas()
     known = known.sort_values(["c", "word"], ascending=[False, True])
     names, numbers = [bytes(w) for w in known["word"]], known["c"].to_numpy(np.int64)
     if END in names:  # the end of a text is always a class of its own
         at = names.index(END)
         names.insert(0, names.pop(at))
         numbers = np.r_[numbers[at], np.delete(numbers, at)]
-    head = [bytearray(w) for w in names[:HEAD]]
-    tail = counts.filter(~F.col("word").isin(head)) if head else counts
-    top = tail.groupBy("ending").agg(F.sum("c").alias("c")).orderBy(F.col("c").desc(), "ending").limit(TAILS - 1).collect()
+    heads = [bytearray(w) for w in names[:head]]
+    tail = counts.filter(~F.col("word").isin(heads)) if heads else counts
+    top = tail.groupBy("ending").agg(F.sum("c").alias("c")).orderBy(F.col("c").desc(), "ending").limit(tails - 1).collect()
     endings = sorted(r["ending"] for r in top)
     number = F.coalesce(F.array_position(F.array(*[F.lit(e) for e in endings]), F.col("ending")) - 1, F.lit(-1)) if endings else F.lit(-1)
     rows = (tail.groupBy(number.alias("t")).agg(F.sum("c").alias("mass"), F.count(F.lit(1)).alias("words"),
@@ -126,16 +127,16 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
         mass[t], distinct[t] = r["mass"], r["words"]
         if r["once"] + r["twice"]:
             discount[t] = min(0.95, max(0.1, r["once"] / (r["once"] + 2 * r["twice"])))
-    return Vocabulary(whole["n"], whole["v"], names, numbers, endings, mass, discount, distinct)
+    return Vocabulary(head, whole["n"], whole["v"], names, numbers, endings, mass, discount, distinct)
 
 
 class Classes(dict):
     """Token -> class, remembered for a bounded number of words."""
 
     def __init__(self, v: Vocabulary):
-        super().__init__({w: i for i, w in enumerate(v.known[:HEAD])})
-        self.tails = {e: HEAD + i for i, e in enumerate(v.endings)}
-        self.other = HEAD + len(v.endings)
+        super().__init__({w: i for i, w in enumerate(v.known[:v.head])})
+        self.tails = {e: v.head + i for i, e in enumerate(v.endings)}
+        self.other = v.head + len(v.endings)
         self.own = len(self)
 
     def __missing__(self, word: bytes) -> int:
@@ -200,15 +201,16 @@ def train(pairs: np.ndarray, size: int = SIZE, steps: int = STEPS, noise: float
     return ((scores - np.log(np.exp(scores).sum(axis=1, keepdims=True))) / np.log(10)).astype(np.float32)
 
 
-def score(docs: DataFrame, training: DataFrame, text: str = "text") -> DataFrame:
+def score(docs: DataFrame, training: DataFrame, text: str = "text", head: int = HEAD, tails: int = TAILS,
+          most_known: int = KNOWN, steps: int = STEPS) -> DataFrame:
     """``docs`` (all columns but the text, which is not carried along) with ``n_tokens``,
     ``n_known``, ``train_tokens``, ``base_score`` (add-one unigram) and ``score`` (the
     model's), learning from the rows of ``training``."""
     spark = docs.sparkSession
     ship_package(spark)
     counts = count_words(training, text)
-    v = vocabulary(counts)
-    table = train(count_pairs(training, text, v)) if v.total else np.zeros((v.classes, v.classes), np.float32)
+    v = vocabulary(counts, head, tails, most_known)
+    table = train(count_pairs(training, text, v), steps=steps) if v.total else np.zeros((v.classes, v.classes), np.float32)
     results = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
     kept = without(docs, [*results, text]).columns
     base_of = float(np.log10(v.total + v.distinct + 1))
@@ -219,7 +221,7 @@ def score(docs: DataFrame, training: DataFrame, text: str = "text") -> DataFrame
 
         classes = Classes(v)
         start = classes[END]
-        tail_of = {w: v.share(classes[w] - HEAD, c) for w, c in zip(v.known[HEAD:], v.counts[HEAD:].tolist(), strict=True)}
+        tail_of = {w: v.share(classes[w] - v.head, c) for w, c in zip(v.known[v.head:], v.counts[v.head:].tolist(), strict=True)}
         for batch in batches:
             own, number, known, base, model, rare_word, rare_tail, rare_n, ends = [], [], [], [], [], [], [], [], [0]
             for t in batch.column(0).to_pylist():
@@ -232,7 +234,7 @@ def score(docs: DataFrame, training: DataFrame, text: str = "text") -> DataFrame
                     if a is None:
                         rare_word.append(x)
                         rare_n.append(n)
-                        rare_tail.append(classes[x] - HEAD)
+                        rare_tail.append(classes[x] - v.head)
                     else:
                         k += n
                         b += n * a

@@ -28,17 +28,13 @@ def held(doc_id):
     return zlib.crc32(str(doc_id).encode() if doc_id is not None else b"") % 7 == 2
 
 
-@pytest.fixture()
-def small_model(monkeypatch):
-    for name, value in (("HEAD", 60), ("TAILS", 12), ("KNOWN", 100), ("HELD", 500), ("STEPS", 60)):
-        monkeypatch.setattr(lm_scoring, name, value)
-    monkeypatch.setattr(lm_scoring.train, "__defaults__", (24, 60, 8, 0.06, 7))
+SIZES = {"head": 60, "tails": 12, "most_known": 100}
 
 
-def test_scores_against_plain_counts(docs, data, nothing, small_model):
+def test_scores_against_plain_counts(docs, data, nothing):
     own = docs.withColumn("held_out", F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2)
     training = own.filter("NOT held_out")
-    got = lm_scoring.score(own.withColumn("Score", F.lit("old")), training).collect()
+    got = lm_scoring.score(own.withColumn("Score", F.lit("old")), training, steps=60, **SIZES).collect()
     c = Counter(t for d in data if not held(d["doc_id"]) for t in tokens(d["text"]))
     n, v = sum(c.values()), len(c)
     want = sorted((str(d["doc_id"]), len(tokens(d["text"])), sum(t in c for t in tokens(d["text"])),
@@ -47,22 +43,22 @@ def test_scores_against_plain_counts(docs, data, nothing, small_model):
     assert all(r["train_tokens"] == n for r in got)
     out = [r for r in got if r["held_out"]]
     assert sum(r["score"] for r in out) > sum(r["base_score"] for r in out)
-    assert lm_scoring.score(nothing, training).count() == 0
+    assert lm_scoring.score(nothing, training, steps=2, **SIZES).count() == 0
     alone = lm_scoring.score(docs.limit(3), nothing).collect()
     assert [(r["n_known"], r["train_tokens"]) for r in alone] == [(0, 0)] * 3
 
 
-def test_probabilities_sum_to_one(docs, small_model):
+def test_probabilities_sum_to_one(docs):
     counts = lm_scoring.count_words(docs, "text")
-    v = lm_scoring.vocabulary(counts)
+    v = lm_scoring.vocabulary(counts, **SIZES)
     table = lm_scoring.train(lm_scoring.count_pairs(docs, "text", v))
     assert np.allclose((10.0 ** table[:, :]).sum(axis=1), 1, atol=1e-4)
     classes = lm_scoring.Classes(v)
     shares = Counter()
     for r in counts.collect():
         k = classes[bytes(r["word"])]
-        if k >= lm_scoring.HEAD:
-            shares[k - lm_scoring.HEAD] += 10 ** v.share(k - lm_scoring.HEAD, r["c"])
+        if k >= v.head:
+            shares[k - v.head] += 10 ** v.share(k - v.head, r["c"])
     for t in range(len(v.endings) + 1):
         if v.mass[t]:
             assert math.isclose(shares[t] + 10 ** v.share(t, 0), 1, rel_tol=1e-6)
