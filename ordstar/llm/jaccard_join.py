@@ -24,7 +24,8 @@ documents as pivots come in once only related ones are left:
    and leaves are compared exactly, skipping pairs already connected. A larger component is
    dealt to groups of ``MOST``; each group first compares with common pivots,
    which settles all but a rest of nodes, then the rest, in blocks, meets every group.
-5. The exact links found are star pairs again; their components are the result.
+5. A task's own components are final; the links of a dealt component are star pairs
+   again, whose components are.
 
 All links are verified on whole sets with integer arithmetic.
 
@@ -292,9 +293,14 @@ def _pairs(region: Region, nodes: list[bytes]) -> pd.DataFrame:
 
 
 def join_group(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Each node of a whole candidate component with its final component's first
+    node; nodes without a link are left out."""
     region = Region(list(pdf["shingles"]), percent)
     region.join(np.arange(len(pdf)))
-    return _pairs(region, list(pdf["node"]))
+    tops = region.tops(np.arange(len(pdf)))
+    linked = np.bincount(tops, minlength=len(tops))[tops] > 1
+    nodes = list(pdf["node"])
+    return pd.DataFrame([(nodes[i], nodes[tops[i]]) for i in np.flatnonzero(linked)], columns=["u", "v"])
 
 
 def join_pivots(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
@@ -336,8 +342,7 @@ def jaccard_components(df: DataFrame, key: str = "doc_id", text: str = "text", n
     candidates = (nodes.select("node", "id", short.alias("short")).join(groups.withColumnRenamed("node", "g"), F.col("short") == F.col("g"))
                   .select("node", "id", "root"))
     candidates = materialize(candidates, "candidates")
-    links = _links(df, key, text, n, percent, candidates)
-    found = components(links)
+    found = materialize(_roots(df, key, text, n, percent, candidates), "component-roots")
     # A node's component id is the smallest id of all rows of all its nodes.
     sets = named.groupBy("node").agg(F.min("id").alias("id"))
     linked = sets.join(found, "node").groupBy("root").agg(F.min("id").alias("component_id"))
@@ -364,21 +369,21 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", n: int = 3,
     return single.unionByName(several).unionByName(empty)
 
 
-def _links(df: DataFrame, key: str, text: str, n: int, percent: int, candidates: DataFrame) -> DataFrame:
-    """Star pairs of nodes whose links are verified and whose components are complete."""
-    ids = candidates.select("id").distinct()
-    again = df.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text")).join(
-        ids.withColumnRenamed("id", "wanted"), F.col("id").eqNullSafe(F.col("wanted")), "left_semi")
+def _roots(df: DataFrame, key: str, text: str, n: int, percent: int, candidates: DataFrame) -> DataFrame:
+    """(``node``, ``root``) of the nodes that are linked with another."""
+    ids = candidates.select(F.col("id").alias("wanted")).distinct()
+    again = df.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text")).join(ids, F.col("id").eqNullSafe(F.col("wanted")), "left_semi")
     sets = (fetch_sets(again, "id", "text", n).join(candidates.select("node", "root"), "node")
             .groupBy("node", "root").agg(F.first("shingles").alias("shingles")))
     sets = materialize(sets, "candidate-sets")
-    sizes = candidates.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
+    sizes = materialize(sets.groupBy("root").agg(F.count(F.lit(1)).alias("n")), "candidate-sizes")
     sized = sets.join(sizes, "root")
     small = sized.filter(F.col("n") <= MOST).groupBy("root").applyInPandas(lambda pdf: join_group(pdf, percent), _PAIRS)
+    small = small.select(F.col("u").alias("node"), F.col("v").alias("root"))
     large = sizes.filter(F.col("n") > MOST).select("root", F.ceil(F.col("n") / MOST).cast("int").alias("groups"))
     if large.isEmpty():
         return small
-    return materialize(small, "links").unionByName(_large_links(sets.join(large, "root"), percent))
+    return small.unionByName(components(_large_links(sets.join(large, "root"), percent)))
 
 
 def _large_links(sets: DataFrame, percent: int) -> DataFrame:
