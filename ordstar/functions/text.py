@@ -73,9 +73,3 @@ def try_number(c: Column) -> Column:
         .when(low.isin(*_NEG_INF), F.lit(float("-inf")))
         .otherwise(F.lit(None).cast("double"))
     )
-
-
-def hash_pick(key: Column, n: int) -> Column:
-    """Stable bucket in ``[0, n)`` from the first 32 bits of SHA-256(key)."""
-    h = F.conv(F.substring(F.sha2(key, 256), 1, 8), 16, 10).cast("bigint")
-    return F.pmod(h, F.lit(n))

@@ -1,22 +1,20 @@
 """Pseudonymisation: names → stable fake names, identifiers → sequential tokens.
 
 Both keep one mapping (a namespace shared by all listed columns) that carries
-over between runs. The source processes rows chunk by chunk and, inside a
-chunk, column by column; the first occurrence of a value in that order
-decides its category (names) or type and number (identifiers). Here:
-
-1. a row sequence (distributed dense numbering over the total order) gives
-   each row its chunk, when a chunk size is set;
-2. one explode turns the listed columns into ``(value, column, chunk, row)``
-   occurrences; ``min(struct(chunk, column, row))`` per value is the first
+over between runs. The first occurrence of a value in (column, row) order
+decides its category (names) or type and number (identifiers); a run is one
+such order whatever its size, so a batch and a stream with one arrival agree. Here:
+
+1. one explode turns the listed columns into ``(value, column, row key)``
+   occurrences; ``min(struct(column, row key))`` per value is the first
    occurrence — a hash aggregate whose partial step combines a hot value's
-   rows before the shuffle;
-3. values already in the saved mapping drop out by anti-join;
-4. identifiers are numbered per type with the grouped dense numbering,
+   rows before the shuffle; no row is sorted or numbered;
+2. values already in the saved mapping drop out by anti-join;
+3. identifiers are numbered per type with the grouped dense numbering,
    continuing after the saved counter of each type; names get a fake from a
    salted SHA-256 pick, and values whose fake collides get a rank suffix, so
    the mapping is injective and reproducible;
-5. the mapping is written once (it is the saved state) and looked up: a
+4. the mapping is written once (it is the saved state) and looked up: a
    broadcast lookup per column when its written size is within the broadcast
    threshold, otherwise one join of unpivoted ``(row, column, value)`` cells
    pivoted back onto the rows. Blank values never look anything up.
@@ -29,10 +27,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ordstar.functions.text import capitalize, col, hash_pick, is_blank, last_number, py_strip, zfill
+from ordstar.functions.text import capitalize, col, is_blank, last_number, py_strip, zfill
 from ordstar.operators.numbering import dense_number
 from ordstar.session import materialize
-from ordstar.specs import FALLBACK_MODULUS, ID_BLANK_TOKENS, ID_PREFIX
+from ordstar.specs import ID_BLANK_TOKENS, ID_PREFIX, ID_TYPE_BY_NAME, ID_TYPE_BY_PART, ID_TYPE_DEFAULT
 
 NAME_MAP_COLUMNS = ("original", "anonymized", "category")
 ID_MAP_COLUMNS = ("original", "fake", "id_type")
@@ -55,16 +53,9 @@ def name_category(column: str) -> str:
 
 
 def id_type(column: str) -> str:
-    """Identifier type of a column: exact ``rowId``, else by substring of the
-    lower-cased name; anything else falls back to a hashed token."""
-    low = column.lower()
-    if column == "rowId":
-        return "PO"
-    if "gtin" in low:
-        return "GTIN"
-    if "hs" in low:
-        return "HS"
-    return "OTHER"
+    """Identifier type of a column, by the rule tables."""
+    parts = (kind for part, kind in ID_TYPE_BY_PART if part in column.lower())
+    return ID_TYPE_BY_NAME.get(column) or next(parts, ID_TYPE_DEFAULT)
 
 
 # Word lists for generated names (our own; any disjoint lists work). Company
@@ -97,7 +88,8 @@ WORDS = (
 )
 INITIALS = tuple(chr(c) for c in range(ord("A"), ord("Z") + 1))
 MANUFACTURING_SUFFIX = " Manufacturing"
-DEFAULT_SALT = "ordstar"
+# Hex digits of a fallback token (96 bits: distinct values do not meet).
+FALLBACK_DIGITS = 24
 
 
 def _pick(words: Sequence[str], h: Column, slot: int) -> Column:
@@ -122,32 +114,20 @@ def salted_hash(original: Column, salt: str) -> Column:
 
 # --- occurrences and first-seen order ---------------------------------------
 
-def with_row_order(df: DataFrame, order: Sequence[str], chunk_rows: int | None) -> DataFrame:
-    """Add ``__chunk`` and ``__rk`` (row position key). With a chunk size the
-    rows are densely numbered (0-based) in ``order``; otherwise the order
-    columns themselves are the position and everything is chunk 0."""
-    if chunk_rows is None:
-        return df.withColumn("__chunk", F.lit(0).cast("bigint")).withColumn(
-            "__rk", F.struct(*[col(c).alias(f"k{i}") for i, c in enumerate(order)]))
-    num = dense_number(df, list(order), id_col="__rk", start=0)
-    return num.withColumn("__chunk", F.floor(F.col("__rk") / F.lit(chunk_rows)).cast("bigint"))
-
-
-def first_seen(rows: DataFrame, columns: Sequence[str], strip: bool) -> DataFrame:
-    """``(original, __chunk, __j, __rk)``: first occurrence of each non-blank
-    value over ``columns`` (``__j`` = position of the column in the list)."""
+def first_seen(rows: DataFrame, order: Sequence[str], columns: Sequence[str], strip: bool) -> DataFrame:
+    """``(original, __j, __rk)``: first occurrence of each non-blank value over
+    ``columns``: position of the column in the list, then the row's ``order`` key."""
     present = [c for c in columns if c in rows.columns]
     occ = F.explode(F.array(*[
         F.struct(F.lit(columns.index(c)).alias("j"), col(c).cast("string").alias("v")) for c in present]))
-    x = rows.select("__chunk", "__rk", occ.alias("o")).select("__chunk", "__rk", "o.j", "o.v")
+    key = F.struct(*[col(c).alias(f"k{i}") for i, c in enumerate(order)])
+    x = rows.select(key.alias("__rk"), occ.alias("o")).select("__rk", "o.j", "o.v")
     if strip:
         x = x.where(~_id_blank(F.col("v"))).withColumn("v", py_strip(F.col("v")))
     else:
         x = x.where(~is_blank(F.col("v")))
-    first = x.groupBy(F.col("v").alias("original")).agg(
-        F.min(F.struct(F.col("__chunk").alias("c"), F.col("j").alias("j"), F.col("__rk").alias("r"))).alias("f"))
-    return first.select("original", F.col("f.c").alias("__chunk"), F.col("f.j").alias("__j"),
-                        F.col("f.r").alias("__rk"))
+    first = x.groupBy(F.col("v").alias("original")).agg(F.min(F.struct("j", "__rk")).alias("f"))
+    return first.select("original", F.col("f.j").alias("__j"), F.col("f.__rk").alias("__rk"))
 
 
 def _id_blank(c: Column) -> Column:
@@ -169,9 +149,8 @@ def empty_id_map(spark) -> DataFrame:
     return spark.createDataFrame([], "original string, fake string, id_type string")
 
 
-def build_name_map(first: DataFrame, columns: Sequence[str], existing: DataFrame | None = None,
-                   salt: str = DEFAULT_SALT) -> DataFrame:
-    """Mapping for values not yet in ``existing``, appended to it."""
+def build_name_map(first: DataFrame, columns: Sequence[str], existing: DataFrame | None = None, *, salt: str) -> DataFrame:
+    """Mapping entries for the values that ``existing`` does not have."""
     spark = first.sparkSession
     existing = existing if existing is not None else empty_name_map(spark)
     if "category" not in existing.columns:
@@ -192,7 +171,7 @@ def build_name_map(first: DataFrame, columns: Sequence[str], existing: DataFrame
               .withColumn("__n", rank + F.coalesce(F.col("__used"), F.lit(0))))
     fake = F.when(F.col("__n") == 1, F.col("__base")).otherwise(
         F.concat_ws(" ", F.col("__base"), F.col("__n").cast("string")))
-    return existing.select(*NAME_MAP_COLUMNS).unionByName(new.select("original", fake.alias("anonymized"), "category"))
+    return new.select("original", fake.alias("anonymized"), "category")
 
 
 # --- identifier mapping --------------------------------------------------------
@@ -204,7 +183,7 @@ def id_counters(existing: DataFrame) -> DataFrame:
 
 
 def build_id_map(first: DataFrame, columns: Sequence[str], existing: DataFrame | None = None,
-                 width: int = 6) -> DataFrame:
+                 width: int = 6, *, salt: str) -> DataFrame:
     spark = first.sparkSession
     existing = existing if existing is not None else empty_id_map(spark)
     new = first.join(existing.select("original"), "original", "left_anti")
@@ -212,17 +191,16 @@ def build_id_map(first: DataFrame, columns: Sequence[str], existing: DataFrame |
     new = new.withColumn("id_type", typ)
     seq = new.where(F.col("id_type") != "OTHER")
     other = new.where(F.col("id_type") == "OTHER")
-    numbered = dense_number(seq, ["__chunk", "__j", "__rk"], id_col="__n", groups=["id_type"])
+    numbered = dense_number(seq, ["__j", "__rk"], id_col="__n", groups=["id_type"])
     # One row per id type: bounded by the handful of types, safe to broadcast.
     counters = F.broadcast(id_counters(existing))
     numbered = numbered.join(counters, "id_type", "left").withColumn(
         "__n", F.col("__n") + F.coalesce(F.col("__counter"), F.lit(0)))
     prefix = F.element_at(F.create_map(*[F.lit(x) for kv in ID_PREFIX.items() for x in kv]), F.col("id_type"))
     seq_fake = F.concat(prefix, zfill(F.col("__n"), width))
-    fallback = F.concat(F.lit("FAKE_"), hash_pick(F.col("original"), FALLBACK_MODULUS).cast("string"))
-    new_rows = numbered.select("original", seq_fake.alias("fake"), "id_type").unionByName(
+    fallback = F.concat(F.lit("FAKE_"), F.substring(salted_hash(F.col("original"), salt), 1, FALLBACK_DIGITS))
+    return numbered.select("original", seq_fake.alias("fake"), "id_type").unionByName(
         other.select("original", fallback.alias("fake"), "id_type"))
-    return existing.select(*ID_MAP_COLUMNS).unionByName(new_rows)
 
 
 # --- applying a mapping --------------------------------------------------------
@@ -291,7 +269,10 @@ def _apply_unpivot(df, present, mapping, value_col, strip):
     occ = (x.select("__row", F.explode(F.filter(F.array(*cells), lambda e: e.isNotNull())).alias("e"))
             .select("__row", "e.j", "e.k"))
     m = mapping.select(F.col("original").alias("k"), F.col(value_col).alias("v"))
-    looked = (occ.join(m, "k", "left")
+    # Distinct values meet the mapping; a hot value's cells go back to it by a
+    # join that Spark can split.
+    found = occ.select("k").distinct().join(m, "k")
+    looked = (occ.join(found, "k", "left")
                  .groupBy("__row").agg(F.map_from_entries(F.collect_list(F.struct("j", "v"))).alias("__m")))
     out = x.join(looked, "__row", "left")
     repl = {}
@@ -301,39 +282,42 @@ def _apply_unpivot(df, present, mapping, value_col, strip):
     return out.select(*[repl[c].alias(c) if c in repl else col(c) for c in df.columns])
 
 
+def _with_saved(new: DataFrame, saved: DataFrame | None) -> DataFrame:
+    if saved is None:
+        return new
+    return saved.select(*[c for c in new.columns if c in saved.columns]).unionByName(new, allowMissingColumns=True)
+
+
 # --- one call: both namespaces ----------------------------------------------------
 
 def pseudonymize(df: DataFrame, order: Sequence[str], name_columns: Sequence[str] = (),
-                 id_columns: Sequence[str] = (), chunk_rows: int | None = None,
-                 name_map: DataFrame | None = None, id_map: DataFrame | None = None,
-                 salt: str = DEFAULT_SALT, width: int = 6, keep_input: bool = False,
-                 strategy: str = "auto"):
-    """Mask names and identifiers. Returns ``(masked, name_map, id_map)``.
-
-    ``order`` is the total row order (file order of the source); with
-    ``chunk_rows`` the first-seen order is (chunk, column, row), as for a
-    reader that processes ``chunk_rows`` rows at a time.
+                 id_columns: Sequence[str] = (), name_map: DataFrame | None = None, id_map: DataFrame | None = None,
+                 width: int = 6, keep_input: bool = False, strategy: str = "auto", *, salt: str):
+    """Mask names and identifiers. Returns ``(masked, new names, new ids)``: the
+    mapping entries this call added to ``name_map`` and ``id_map``, written once;
+    the values are looked up in both together.
+
+    ``order`` is the total row order (file order of the source). ``salt`` keeps
+    fakes from being rebuilt out of guessed originals; keep it secret and apart
+    from the data.
     """
     listed = [c for c in (*name_columns, *id_columns) if c in df.columns]
     skipped = [c for c in (*name_columns, *id_columns) if c not in df.columns]
     if skipped:
         warnings.warn(f"columns to mask not present, skipped: {skipped}")
-    # First-seen order needs only the order key and the listed columns: sort
-    # that narrow projection, not the whole row.
-    narrow = df.select(*[col(c) for c in dict.fromkeys([*order, *listed])])
-    rows = with_row_order(narrow, order, chunk_rows)
+    rows = df.select(*[col(c) for c in dict.fromkeys([*order, *listed])])
     masked = df
     if keep_input:
         masked = masked.select("*", *[col(c).alias(f"__in_{c}") for c in listed])
     out_names = out_ids = None
     if name_columns:
-        out_names = materialize(build_name_map(first_seen(rows, name_columns, strip=False), name_columns,
-                                               name_map, salt), "name-map")
-        masked = apply_mapping(masked, name_columns, out_names, "anonymized", strip=False, strategy=strategy)
+        out_names = materialize(build_name_map(first_seen(rows, order, name_columns, strip=False), name_columns,
+                                               name_map, salt=salt), "name-map")
+        masked = apply_mapping(masked, name_columns, _with_saved(out_names, name_map), "anonymized", strip=False, strategy=strategy)
     if id_columns:
-        out_ids = materialize(build_id_map(first_seen(rows, id_columns, strip=True), id_columns, id_map, width),
+        out_ids = materialize(build_id_map(first_seen(rows, order, id_columns, strip=True), id_columns, id_map, width, salt=salt),
                               "id-map")
-        masked = apply_mapping(masked, id_columns, out_ids, "fake", strip=True, strategy=strategy)
+        masked = apply_mapping(masked, id_columns, _with_saved(out_ids, id_map), "fake", strip=True, strategy=strategy)
     kept = [col(f"__in_{c}") for c in listed] if keep_input else []
     return masked.select(*[col(c) for c in df.columns], *kept), out_names, out_ids
 
@@ -350,10 +334,11 @@ def leak_report(masked: DataFrame, columns: Sequence[str], namespace: Sequence[s
     unchanged = one.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col("n_rows"), F.col(f"u{i}").alias("n_unchanged"))
         for i, c in enumerate(columns)])).alias("r")).select("r.*")
+    # Cells are counted per (column, value) before the join, so a hot value is one row.
     outputs = masked.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), col(c).cast("string").alias("__v")) for c in columns])).alias("r")
-    ).select("r.*")
-    exposed = outputs.join(inputs, "__v", "left_semi").groupBy("column").agg(F.count(F.lit(1)).alias("n_exposed"))
+    ).select("r.*").groupBy("column", "__v").agg(F.count(F.lit(1)).alias("__n"))
+    exposed = outputs.join(inputs, "__v", "left_semi").groupBy("column").agg(F.sum("__n").alias("n_exposed"))
     return (unchanged.join(exposed, "column", "left")
                      .select("column", "n_rows", "n_unchanged",
                              F.coalesce(F.col("n_exposed"), F.lit(0)).alias("n_exposed")))

@@ -7,7 +7,7 @@ document layout only needs a different spec.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 @dataclass(frozen=True)
@@ -40,23 +40,6 @@ class StarSpec:
         raise KeyError(name)
 
 
-@dataclass(frozen=True)
-class MaskSpec:
-    """Name columns sharing one pseudonym namespace, in processing order."""
-
-    columns: tuple[str, ...]
-
-
-@dataclass(frozen=True)
-class IdSpec:
-    """Identifier columns sharing one token namespace, in processing order."""
-
-    columns: tuple[str, ...]
-    width: int = 6
-    chunk_rows: int | None = 100_000
-    extra: dict = field(default_factory=dict)
-
-
 # ---------------------------------------------------------------------------
 # Fixed values. These names and lists must equal the source pipeline's for
 # results to line up; they are stated here once, in the source's order.
@@ -79,16 +62,15 @@ ID_COLUMNS = (
     "produits.nodes.asset.attributes.hsCode",
 )
 
-# Token prefixes per identifier type, and the counters kept per type.
+# Identifier type of a column: first rule that holds. A name as a whole, or a part of the lower-cased name.
+ID_TYPE_BY_NAME = {"rowId": "PO"}
+ID_TYPE_BY_PART = (("gtin", "GTIN"), ("hs", "HS"))
+ID_TYPE_DEFAULT = "OTHER"
+# Token prefixes per identifier type.
 ID_PREFIX = {"PO": "PO_", "GTIN": "FAKE_GTIN_", "HS": "FAKE_HS_"}
-ID_TYPES = ("PO", "GTIN", "HS")
 # Identifier values treated as blank after stripping.
 ID_BLANK_TOKENS = ("", "nan", "NaN", "null", "None")
-# Modulus of the fallback token for identifier columns of no known type.
-FALLBACK_MODULUS = 1_000_000
-# Rows per processing chunk; first-seen order is (chunk, column, row).
-CHUNK_ROWS = 100_000
-# Rows kept by the first-N sample.
+# Rows the first-N sample keeps where a caller asks for the source's number.
 SAMPLE_ROWS = 100_000
 
 # Text read as null by the delimited-text reader (pandas' default NA list).
@@ -161,10 +143,6 @@ TRACEABILITY_MEASURES = (
 )
 VOLUME_MEASURE = "produits.nodes.value"
 
-NAME_MASK = MaskSpec(NAME_COLUMNS)
-ID_MASK = IdSpec(ID_COLUMNS)
-
-
 def safe_name(column: str) -> str:
     """Column name without dots, for outputs consumed by other engines."""
     return column.replace(".", "_")

@@ -1,7 +1,11 @@
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from ordstar.operators import pseudonym
 
+pseudonymize = partial(pseudonym.pseudonymize, salt="test")
+
 GTIN = "produits.nodes.asset.attributes.gtin"
 HS = "produits.nodes.asset.attributes.hsCode"
 
@@ -16,46 +20,48 @@ def mapping(df):
 
 def test_shared_id_namespace_first_column_wins(spark):
     df = id_rows(spark, [(0, "A", "B"), (1, "B", "C")])
-    _, _, ids = pseudonym.pseudonymize(df, ["r"], id_columns=[GTIN, HS])
+    _, _, ids = pseudonymize(df, ["r"], id_columns=[GTIN, HS])
     assert mapping(ids) == {"A": "FAKE_GTIN_000001", "B": "FAKE_GTIN_000002", "C": "FAKE_HS_000001"}
 
 
-def test_chunks_decide_first_seen(spark):
-    # With one-row chunks, row 0's hs value is seen before row 1's gtin value.
-    df = id_rows(spark, [(0, "A", "B"), (1, "B", "C")])
-    _, _, ids = pseudonym.pseudonymize(df, ["r"], id_columns=[GTIN, HS], chunk_rows=1)
-    assert mapping(ids) == {"A": "FAKE_GTIN_000001", "B": "FAKE_HS_000001", "C": "FAKE_HS_000002"}
+def test_first_seen_does_not_depend_on_size(spark):
+    # One rule at every size: a value's first column decides, however late its row.
+    rows = [(i, f"G{i}", f"H{i}") for i in range(2_000)] + [(2_000, "H5", None)]
+    _, _, ids = pseudonymize(id_rows(spark, rows), ["r"], id_columns=[GTIN, HS])
+    m = mapping(ids)
+    assert m["H5"] == "FAKE_GTIN_002001" and m["G7"] == "FAKE_GTIN_000008" and m["H6"] == "FAKE_HS_000006"
 
 
 def test_resume_continues_counter(spark):
     saved = spark.createDataFrame([("A", "FAKE_GTIN_000007", "GTIN"), ("X", "FAKE_GTIN_bad", "GTIN")],
                                   "original string, fake string, id_type string")
     df = id_rows(spark, [(0, "A", None), (1, "D", None)])
-    masked, _, ids = pseudonym.pseudonymize(df, ["r"], id_columns=[GTIN, HS], id_map=saved)
-    m = mapping(ids)
-    assert m["A"] == "FAKE_GTIN_000007" and m["D"] == "FAKE_GTIN_000008"
+    masked, _, ids = pseudonymize(df, ["r"], id_columns=[GTIN, HS], id_map=saved)
+    assert mapping(ids) == {"D": "FAKE_GTIN_000008"}  # only what is new
     assert sorted(r[GTIN] for r in masked.collect()) == ["FAKE_GTIN_000007", "FAKE_GTIN_000008"]
 
 
 def test_blank_ids_become_empty(spark):
     df = id_rows(spark, [(0, " ", "x"), (1, "nan", "y"), (2, "None", "z"), (3, None, "w")])
-    masked, _, ids = pseudonym.pseudonymize(df, ["r"], id_columns=[GTIN, HS])
+    masked, _, ids = pseudonymize(df, ["r"], id_columns=[GTIN, HS])
     assert [r[GTIN] for r in masked.orderBy("r").collect()] == ["", "", "", ""]
     assert set(mapping(ids)) == {"x", "y", "z", "w"}
 
 
 def test_ids_are_stripped(spark):
     df = id_rows(spark, [(0, " A ", None), (1, "A", None)])
-    masked, _, ids = pseudonym.pseudonymize(df, ["r"], id_columns=[GTIN, HS])
+    masked, _, ids = pseudonymize(df, ["r"], id_columns=[GTIN, HS])
     assert mapping(ids) == {"A": "FAKE_GTIN_000001"}
     assert {r[GTIN] for r in masked.collect()} == {"FAKE_GTIN_000001"}
 
 
 def test_fallback_token_for_unknown_id_column(spark):
     df = spark.createDataFrame([(0, "q")], "r long, supplierRef string")
-    _, _, ids = pseudonym.pseudonymize(df, ["r"], id_columns=["supplierRef"])
+    _, _, ids = pseudonymize(df, ["r"], id_columns=["supplierRef"])
     row = ids.first()
-    assert row.id_type == "OTHER" and row.fake.startswith("FAKE_") and int(row.fake[5:]) < 1_000_000
+    assert row.id_type == "OTHER" and row.fake.startswith("FAKE_") and len(row.fake) == 29
+    many = spark.range(20_000).selectExpr("id AS r", "cast(id AS string) AS supplierRef")
+    assert pseudonymize(many, ["r"], id_columns=["supplierRef"])[2].select("fake").distinct().count() == 20_000
 
 
 def names_df(spark, n):
@@ -65,7 +71,7 @@ def names_df(spark, n):
 
 def test_name_mapping_is_injective_and_categorised(spark):
     df = names_df(spark, 3000)
-    masked, names, _ = pseudonym.pseudonymize(df, ["r"], name_columns=["buyer.nodes.name", "point_of_contact.nodes.name"])
+    masked, names, _ = pseudonymize(df, ["r"], name_columns=["buyer.nodes.name", "point_of_contact.nodes.name"])
     m = names.collect()
     assert len(m) == 3007
     assert len({r.anonymized for r in m}) == len(m)  # injective despite base collisions
@@ -78,24 +84,24 @@ def test_name_mapping_is_injective_and_categorised(spark):
 def test_rerun_with_saved_mapping_changes_nothing(spark):
     df = names_df(spark, 200)
     cols = ["buyer.nodes.name", "point_of_contact.nodes.name"]
-    m1, names1, _ = pseudonym.pseudonymize(df, ["r"], name_columns=cols)
-    m2, names2, _ = pseudonym.pseudonymize(df, ["r"], name_columns=cols, name_map=names1)
-    assert sorted(names1.collect()) == sorted(names2.collect())
+    m1, names1, _ = pseudonymize(df, ["r"], name_columns=cols)
+    m2, names2, _ = pseudonymize(df, ["r"], name_columns=cols, name_map=names1)
+    assert names1.count() == 207 and names2.count() == 0
     assert sorted(m1.collect()) == sorted(m2.collect())
 
 
 def test_new_names_after_resume_do_not_collide(spark):
     df = names_df(spark, 400)
     cols = ["buyer.nodes.name"]
-    _, first, _ = pseudonym.pseudonymize(df.where("r < 200"), ["r"], name_columns=cols)
-    _, both, _ = pseudonym.pseudonymize(df, ["r"], name_columns=cols, name_map=first)
-    rows = both.collect()
+    _, first, _ = pseudonymize(df.where("r < 200"), ["r"], name_columns=cols)
+    _, new, _ = pseudonymize(df, ["r"], name_columns=cols, name_map=first)
+    rows = first.collect() + new.collect()
     assert len(rows) == 400 and len({r.anonymized for r in rows}) == 400
 
 
 def test_blank_names_become_empty(spark):
     df = spark.createDataFrame([(0, "  "), (1, None), (2, "x")], "r long, `attributes.trader` string")
-    masked, names, _ = pseudonym.pseudonymize(df, ["r"], name_columns=["attributes.trader"])
+    masked, names, _ = pseudonymize(df, ["r"], name_columns=["attributes.trader"])
     got = [r["attributes.trader"] for r in masked.orderBy("r").collect()]
     assert got[:2] == ["", ""] and got[2] not in ("", "x")
     assert [r.original for r in names.collect()] == ["x"]
@@ -106,8 +112,8 @@ def test_unpivot_and_broadcast_lookups_agree(spark):
         [(i, f"N{i % 11}" if i % 5 else "  ", f"N{(i * 3) % 7}", f" G{i % 4} " if i % 6 else None) for i in range(300)],
         f"r long, `buyer.nodes.name` string, `attributes.trader` string, `{GTIN}` string")
     cols = dict(name_columns=["buyer.nodes.name", "attributes.trader"], id_columns=[GTIN])
-    a = pseudonym.pseudonymize(df, ["r"], strategy="broadcast", **cols)[0]
-    b = pseudonym.pseudonymize(df, ["r"], strategy="unpivot", **cols)[0]
+    a = pseudonymize(df, ["r"], strategy="broadcast", **cols)[0]
+    b = pseudonymize(df, ["r"], strategy="unpivot", **cols)[0]
     assert sorted(a.collect()) == sorted(b.collect())
     assert sorted(r[GTIN] for r in a.collect())[:1] == [""]
 
@@ -118,7 +124,7 @@ def test_missing_columns_are_skipped_with_a_warning(spark):
     df = spark.createDataFrame([(0, "A")], f"r long, `{GTIN}` string")
     with warnings.catch_warnings(record=True) as w:
         warnings.simplefilter("always")
-        masked, _, ids = pseudonym.pseudonymize(df, ["r"], id_columns=[GTIN, HS])
+        masked, _, ids = pseudonymize(df, ["r"], id_columns=[GTIN, HS])
     assert any(HS in str(x.message) for x in w)
     assert masked.columns == ["r", GTIN] and mapping(ids) == {"A": "FAKE_GTIN_000001"}
 
@@ -128,7 +134,7 @@ def test_mapping_independent_of_input_partitioning(spark):
     base = id_rows(spark, data)
     results = []
     for n in (1, 3, 17):
-        _, _, ids = pseudonym.pseudonymize(base.repartition(n), ["r"], id_columns=[GTIN, HS], chunk_rows=250)
+        _, _, ids = pseudonymize(base.repartition(n), ["r"], id_columns=[GTIN, HS])
         results.append(sorted(tuple(r) for r in ids.collect()))
     assert results[0] == results[1] == results[2]
 
@@ -143,8 +149,8 @@ def test_hot_value_holding_a_third_of_rows(spark):
     df = spark.createDataFrame(data, f"r long, `buyer.nodes.name` string, `{GTIN}` string, `attributes.trader` string")
     outs = []
     for strategy in ("broadcast", "unpivot"):
-        masked, names, ids = pseudonym.pseudonymize(df, ["r"], name_columns=["buyer.nodes.name", "attributes.trader"],
-                                                    id_columns=[GTIN], chunk_rows=500, strategy=strategy)
+        masked, names, ids = pseudonymize(df, ["r"], name_columns=["buyer.nodes.name", "attributes.trader"],
+                                                    id_columns=[GTIN], strategy=strategy)
         rows = masked.collect()
         assert len(rows) == n  # whole result, no row dropped
         hot = {r.original: r.anonymized for r in names.collect()}["HOT"]
