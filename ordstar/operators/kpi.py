@@ -13,12 +13,16 @@ from pyspark.sql import functions as F
 from ordstar.functions.text import col
 from ordstar.specs import ORDER_STAR, TRACEABILITY_MEASURES, VOLUME_MEASURE, StarSpec
 
-MONEY = "decimal(18,2)"
-RATE = "decimal(18,4)"
+EXACT = "decimal(38,10)"
 
 
-def exact_sum(c: Column, dtype: str = MONEY) -> Column:
-    return F.sum(c.cast(dtype)).cast("double")
+def exact_sum(c: Column) -> Column:
+    """Sum that does not depend on the order of its parts; measures keep ten
+    decimals. A group with an infinite value (or NaN) sums as doubles do."""
+    x = c.cast("double")
+    finite = F.when(F.abs(x) < F.lit(1e27), x)
+    odd = F.count(F.when(~(F.abs(x) < F.lit(1e27)), True)) > 0
+    return F.when(odd, F.sum(x)).otherwise(F.sum(finite.cast(EXACT)).cast("double"))
 
 
 def kpi_volume(fact: DataFrame, dims: dict[str, DataFrame], spec: StarSpec = ORDER_STAR) -> DataFrame:
@@ -53,12 +57,12 @@ def kpi_traceability(fact: DataFrame, measures=TRACEABILITY_MEASURES, volume: st
     aggs = [F.count(F.lit(1)).alias("n_rows")]
     for i, m in enumerate(measures):
         r = col(m)
-        v = F.when(r.isNotNull(), col(volume).cast(MONEY))
+        v = F.when(r.isNotNull(), col(volume))
         aggs += [
-            F.sum(r.cast(RATE)).cast("double").alias(f"s{i}"),
+            exact_sum(r).alias(f"s{i}"),
             F.count(r).alias(f"c{i}"),
-            F.sum(v * r.cast(RATE)).cast("double").alias(f"vr{i}"),
-            F.sum(v).cast("double").alias(f"v{i}"),
+            exact_sum(v * r).alias(f"vr{i}"),
+            exact_sum(v).alias(f"v{i}"),
         ]
     one = fact.agg(*aggs)
     rows = F.explode(F.array(*[

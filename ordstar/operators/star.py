@@ -17,6 +17,8 @@ sort-merged, and AQE splits a skewed staging partition.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -35,7 +37,7 @@ def build_dimension(staging: DataFrame, dim: DimSpec) -> DataFrame:
         d = d.where(col(a).isNotNull())
     d = d.select(*cols(dim.attributes)).distinct()
     d = dense_number(d, list(dim.attributes), id_col=dim.key, nulls_first=True)
-    return d.select(F.col(dim.key).cast("int").alias(dim.key), *cols(dim.attributes))
+    return d.select(F.col(dim.key).cast("bigint").alias(dim.key), *cols(dim.attributes))
 
 
 def build_dimensions(staging: DataFrame, spec: StarSpec) -> dict[str, DataFrame]:
@@ -52,7 +54,7 @@ def build_dimensions(staging: DataFrame, spec: StarSpec) -> dict[str, DataFrame]
     out = {}
     for i, d in enumerate(spec.dims):
         out[d.name] = numbered.where(F.col("dim") == i).select(
-            F.col("__key").cast("int").alias(d.key),
+            F.col("__key").cast("bigint").alias(d.key),
             *[F.col("attrs")[j].alias(a) for j, a in enumerate(d.attributes)])
     return out
 
@@ -73,7 +75,7 @@ def distinct_dimension_rows(staging: DataFrame, spec: StarSpec) -> DataFrame:
 
 
 def _prefixed(dim_df: DataFrame, dim: DimSpec, attrs) -> DataFrame:
-    return dim_df.select(F.col(dim.key), *[col(a).alias(f"__d_{i}") for i, a in enumerate(attrs)])
+    return dim_df.select(F.col(dim.key), *[col(a).cast("string").alias(f"__d_{i}") for i, a in enumerate(attrs)])
 
 
 def fact_full_key(staging: DataFrame, dims: dict[str, DataFrame], spec: StarSpec,
@@ -86,10 +88,13 @@ def fact_full_key(staging: DataFrame, dims: dict[str, DataFrame], spec: StarSpec
     """
     x = staging
     for d in spec.dims:
-        right = _prefixed(dims[d.name], d, d.attributes)
-        cond = [x[f"`{a}`"].eqNullSafe(right[f"__d_{i}"]) for i, a in enumerate(d.attributes)]
-        x = x.join(right, reduce(lambda p, q: p & q, cond), "left").drop(
-            *[f"__d_{i}" for i in range(len(d.attributes))])
+        # One hash of the whole tuple is the shuffle key; the null-safe recheck
+        # makes the match exact.
+        right = _prefixed(dims[d.name], d, d.attributes).withColumn("__dh", F.xxhash64(*[F.col(f"__d_{i}") for i in range(len(d.attributes))]))
+        left = x.withColumn("__sh", F.xxhash64(*[col(a).cast("string") for a in d.attributes]))
+        cond = [left["__sh"] == right["__dh"], *[left[f"`{a}`"].cast("string").eqNullSafe(right[f"__d_{i}"]) for i, a in enumerate(d.attributes)]]
+        x = left.join(right, reduce(lambda p, q: p & q, cond), "left").drop(
+            "__sh", "__dh", *[f"__d_{i}" for i in range(len(d.attributes))])
     if numbered and seq_col is not None:
         fk = [d.key for d in spec.dims]
         return x.select(F.col(seq_col).cast("bigint").alias(spec.fact_key), *cols(spec.fact_text),
@@ -130,25 +135,29 @@ def _fact_columns(x: DataFrame, spec: StarSpec, order_key, numbered: bool, fk=No
 
 
 def build_star(staging: DataFrame, spec: StarSpec, pin_staging: bool = True,
-               number_fact: bool = True, order_key=LINE_KEY) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Dimensions and full-key fact.
+               number_fact: bool = True, order_key=LINE_KEY, dims: Sequence[str] | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Dimensions and full-key fact; with ``dims`` only the named dimensions and
+    their foreign keys (staging then needs their columns only).
 
     Staging feeds every dimension and the fact, so it is written once to the
     scratch folder (the staging table). When the fact needs its key, staging
     is written in key order with its dense sequence — one sort serves both.
     """
+    if dims is not None:
+        spec = replace(spec, dims=tuple(d for d in spec.dims if d.name in dims), measures=tuple(m for m in spec.measures if m in staging.columns),
+                       fact_text=tuple(t for t in spec.fact_text if t in staging.columns))
     seq = None
     if pin_staging and number_fact:
         seq = "__seq"
         staging = dense_number(staging, list(order_key), id_col=seq)
     elif pin_staging:
         staging = materialize(staging, "staging")
-    dims = build_dimensions(staging, spec)
-    return dims, fact_full_key(staging, dims, spec, order_key=order_key, numbered=number_fact, seq_col=seq)
+    tables = build_dimensions(staging, spec)
+    return tables, fact_full_key(staging, tables, spec, order_key=order_key, numbered=number_fact, seq_col=seq)
 
 
 def partial_key_summary(staging: DataFrame, dims: dict[str, DataFrame], spec: StarSpec, dim_name: str,
-                        measures, dtype: str = "decimal(18,2)") -> DataFrame:
+                        measures, dtype: str = "decimal(38,10)") -> DataFrame:
     """Per foreign key of a parity (partial-key) load with one dimension: fact
     rows and exact measure sums, without materialising the fan-out.
 
@@ -166,7 +175,7 @@ def partial_key_summary(staging: DataFrame, dims: dict[str, DataFrame], spec: St
         F.col(d.key), col(d.join_key).cast("string").alias("__dk"))
     matched = per_key.join(right, F.col("__jk") == F.col("__dk"), "inner").drop("__dk", "__jk")
     unmatched = (per_key.join(right, F.col("__jk") == F.col("__dk"), "left_anti").drop("__jk")
-                        .withColumn(d.key, F.lit(None).cast("int")))
+                        .withColumn(d.key, F.lit(None).cast("bigint")))
     both = matched.unionByName(unmatched)
     return both.groupBy(d.key).agg(F.sum("__n").alias("n_rows"), *[
         F.sum(f"__s{i}").cast("double").alias(f"__t{i}") for i in range(len(measures))])
