@@ -8,6 +8,8 @@ list is written once.
 
 from __future__ import annotations
 
+import re
+
 from ordstar.sources.adapter import LINE_KEY, NO_BUYER_PRIORITY, NO_CONTACT_REGION
 from ordstar.specs import ORDER_STAR, TRACEABILITY_MEASURES, VOLUME_MEASURE, DimSpec, safe_name
 
@@ -91,7 +93,7 @@ def dim_cte(d: DimSpec) -> str:
     order = ", ".join(f"{q(a)} ASC NULLS FIRST" for a in d.attributes)
     where = " AND ".join(f"{q(a)} IS NOT NULL" for a in d.not_null)
     where = f" WHERE {where}" if where else ""
-    return (f"{d.name} AS (SELECT CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS {d.key}, {attrs} "
+    return (f"{d.name} AS (SELECT CAST(row_number() OVER (ORDER BY {order}) AS BIGINT) AS {d.key}, {attrs} "
             f"FROM (SELECT DISTINCT {attrs} FROM staging{where}) t)")
 
 
@@ -139,7 +141,7 @@ def fact_key_query() -> str:
     return with_star('SELECT id_fact, "rowId" AS "rowId", "type" AS "type" FROM fact')
 
 
-def _money_sum(c: str, dtype: str = "DECIMAL(18,2)") -> str:
+def _money_sum(c: str, dtype: str = "DECIMAL(38,10)") -> str:
     return f"CAST(SUM(CAST({c} AS {dtype})) AS DOUBLE)"
 
 
@@ -187,10 +189,10 @@ def kpi_traceability_query() -> str:
     v = q(VOLUME_MEASURE)
     for m in TRACEABILITY_MEASURES:
         r = q(m)
-        vr = f"CASE WHEN {r} IS NOT NULL THEN CAST({v} AS DECIMAL(18,2)) END"
+        vr = f"CASE WHEN {r} IS NOT NULL THEN {v} END"
         parts.append(f"""SELECT {sq(m)} AS measure,
-  CAST(SUM(CAST({r} AS DECIMAL(18,4))) AS DOUBLE) / COUNT({r}) AS avg_rate,
-  CAST(SUM({vr} * CAST({r} AS DECIMAL(18,4))) AS DOUBLE) / CAST(SUM({vr}) AS DOUBLE) AS weighted_rate,
+  {_money_sum(r)} / COUNT({r}) AS avg_rate,
+  {_money_sum(f'{vr} * {r}')} / {_money_sum(vr)} AS weighted_rate,
   CAST(COUNT({r}) AS DOUBLE) / COUNT(*) AS coverage,
   COUNT({r}) AS n_values
 FROM fact""")
@@ -214,7 +216,7 @@ def fanout_audit_query() -> str:
         per_dim.append(f"""k{i} AS (SELECT {q(d.join_key)} AS k, COUNT(*) AS m FROM {d.name} GROUP BY 1)""")
         joins.append(f"LEFT JOIN k{i} ON s.{q(d.join_key)} = k{i}.k")
         mults.append(f"COALESCE(k{i}.m, 1)")
-    sums = ", ".join(f"CAST(SUM({m}) AS BIGINT) AS f{i}" for i, m in enumerate(mults))
+    sums = ", ".join(f"CAST(SUM({m}) AS DECIMAL(38,0)) AS f{i}" for i, m in enumerate(mults))
     stats = "\nUNION ALL\n".join(
         f"SELECT {sq(d.name)} AS dimension, CAST(SUM(m) AS BIGINT) AS dim_rows, COUNT(k) AS join_keys, "
         f"COUNT(CASE WHEN m > 1 THEN 1 END) AS dup_keys, MAX(m) AS max_fanout, "
@@ -222,7 +224,7 @@ def fanout_audit_query() -> str:
         for i, d in enumerate(ORDER_STAR.dims))
     body = f""",
 {", ".join(per_dim)},
-sums AS (SELECT {sums}, CAST(SUM({' * '.join(mults)}) AS BIGINT) AS fall, COUNT(*) AS staging_rows
+sums AS (SELECT {sums}, CAST(SUM({' * '.join(f'{m}::HUGEINT' for m in mults)}) AS DECIMAL(38,0)) AS fall, COUNT(*) AS staging_rows
          FROM staging s {' '.join(joins)})
 {stats}
 UNION ALL
@@ -363,6 +365,23 @@ WHERE c_acctbal IS NOT NULL"""
 
 # --- pseudonymisation ------------------------------------------------------------
 
+# Expected category and identifier type of every masked column, stated here on
+# their own so that a wrong dispatch in the code under test cannot pass.
+NAME_CATEGORY = {
+    "attributes.manufacturer": "manufacturing",
+    "buyer.nodes.name": "company",
+    "buyer.nodes.parentCompany.nodes.name": "company",
+    "point_of_contact.nodes.name": "person",
+    "attributes.sellingManufacturerFacilityName": "manufacturing",
+    "attributes.trader": "company",
+}
+ID_KIND = {
+    "rowId": "PO",
+    "produits.nodes.asset.attributes.gtin": "GTIN",
+    "produits.nodes.asset.attributes.hsCode": "HS",
+    "supplierRef": "OTHER",
+}
+
 _SEQ_SPAN = 1_000_000_000  # rows per run stay below this in the encoded first-seen key
 
 
@@ -384,13 +403,13 @@ def sql_id_blank(x: str) -> str:
     return f"({x} IS NULL OR {sql_strip(x)} IN ({', '.join(sq(t) for t in ID_BLANK_TOKENS)}))"
 
 
-def name_map_ctes(src: str, columns, chunk_rows: int, salt: str) -> str:
+def name_map_ctes(src: str, columns, salt: str) -> str:
     """CTEs ``nrows``, ``nocc``, ``nfirst``, ``namemap`` over relation ``src``."""
     from ordstar.operators import pseudonym as p
 
     occ = "\nUNION ALL\n".join(
         f"SELECT {j} AS j, {q(c)} AS v, seq FROM nrows WHERE NOT {sql_blank(q(c))}" for j, c in enumerate(columns))
-    cats = " ".join(f"WHEN {j} THEN {sq(p.name_category(c))}" for j, c in enumerate(columns))
+    cats = " ".join(f"WHEN {j} THEN {sq(NAME_CATEGORY[c])}" for j, c in enumerate(columns))
     h = "h"
     company = (f"{_pick_sql(p.SURNAMES, h, 0)} || ' ' || {_pick_sql(p.SURNAMES, h, 2)} || ' ' || "
                f"{_pick_sql(p.COMPANY_SUFFIXES, h, 1)}")
@@ -403,8 +422,8 @@ def name_map_ctes(src: str, columns, chunk_rows: int, salt: str) -> str:
             f"ELSE upper(substr({word}, 1, 1)) || lower(substr({word}, 2)) END")
     return f"""nrows AS (SELECT *, row_number() OVER (ORDER BY {LINE_ORDER}) - 1 AS seq FROM {src}),
 nocc AS ({occ}),
-nfirst AS (SELECT v AS original, min((seq // {chunk_rows}) * 100 + j) AS k FROM nocc GROUP BY v),
-ncat AS (SELECT original, CASE k % 100 {cats} END AS category,
+nfirst AS (SELECT v AS original, min(j) AS k FROM nocc GROUP BY v),
+ncat AS (SELECT original, CASE k {cats} END AS category,
                 sha256({sq(salt)} || chr(31) || original) AS h FROM nfirst),
 nbase AS (SELECT original, category, h, {base} AS base FROM ncat),
 namemap AS (SELECT original,
@@ -414,9 +433,7 @@ namemap AS (SELECT original,
 
 
 def _id_type_case(columns, jexpr: str) -> str:
-    from ordstar.operators import pseudonym as p
-
-    return "CASE " + jexpr + " " + " ".join(f"WHEN {j} THEN {sq(p.id_type(c))}" for j, c in enumerate(columns)) + " END"
+    return "CASE " + jexpr + " " + " ".join(f"WHEN {j} THEN {sq(ID_KIND[c])}" for j, c in enumerate(columns)) + " END"
 
 
 def _prefix_case(t: str) -> str:
@@ -425,26 +442,24 @@ def _prefix_case(t: str) -> str:
     return "CASE " + t + " " + " ".join(f"WHEN {sq(k)} THEN {sq(v)}" for k, v in ID_PREFIX.items()) + " END"
 
 
-def id_map_ctes(tag: str, src: str, columns, chunk_rows: int, prior: str | None = None, width: int = 6,
-                chunk_expr: str | None = None) -> str:
+def id_map_ctes(tag: str, src: str, columns, salt: str, prior: str | None = None, width: int = 6,
+                arrival: str = "0") -> str:
     """CTEs ending in ``{tag}map`` (original, fake, id_type) over relation ``src``;
-    with ``prior`` (an id map relation) only new values are added after it."""
-    from ordstar.specs import FALLBACK_MODULUS
-
+    with ``prior`` (an id map relation) only new values are added after it.
+    ``arrival`` numbers the arrivals of a stream; inside one, column then row."""
     occ = "\nUNION ALL\n".join(
-        f"SELECT {j} AS j, {sql_strip(q(c))} AS v, seq, chunk_base FROM {tag}rows WHERE NOT {sql_id_blank(q(c))}"
+        f"SELECT {j} AS j, {sql_strip(q(c))} AS v, seq, arrival FROM {tag}rows WHERE NOT {sql_id_blank(q(c))}"
         for j, c in enumerate(columns))
-    chunk = "chunk_base" if chunk_expr else f"(seq // {chunk_rows})"
-    key = f"(({chunk}) * 10 + j) * {_SEQ_SPAN} + seq"
+    key = f"(arrival * 10 + j) * {_SEQ_SPAN} + seq"
     anti = f" WHERE v NOT IN (SELECT original FROM {prior})" if prior else ""
     counters = (f"SELECT id_type, max(TRY_CAST(string_split(fake, '_')[-1] AS BIGINT)) AS c FROM {prior} GROUP BY id_type"
                 if prior else "SELECT CAST(NULL AS VARCHAR) AS id_type, CAST(NULL AS BIGINT) AS c WHERE false")
     n = f"row_number() OVER (PARTITION BY t.id_type ORDER BY t.k) + COALESCE(cn.c, 0)"
-    fake = (f"CASE WHEN t.id_type = 'OTHER' THEN 'FAKE_' || CAST(CAST('0x' || substr(sha256(t.original), 1, 8) AS BIGINT) % {FALLBACK_MODULUS} AS VARCHAR) "
+    fake = (f"CASE WHEN t.id_type = 'OTHER' THEN 'FAKE_' || substr(sha256({sq(salt)} || chr(31) || t.original), 1, 24) "
             f"ELSE {_prefix_case('t.id_type')} || {sql_zfill(n, width)} END")
     prior_rows = f"SELECT original, fake, id_type FROM {prior} UNION ALL " if prior else ""
     return f"""{tag}rows AS (SELECT *, row_number() OVER (ORDER BY {LINE_ORDER}) - 1 AS seq,
-    {chunk_expr or '0'} AS chunk_base FROM {src}),
+    {arrival} AS arrival FROM {src}),
 {tag}occ AS ({occ}),
 {tag}first AS (SELECT v AS original, min({key}) AS k FROM {tag}occ{anti} GROUP BY v),
 {tag}typed AS (SELECT original, k, {_id_type_case(columns, f"(k // {_SEQ_SPAN}) % 10")} AS id_type FROM {tag}first),
@@ -459,9 +474,9 @@ ID_VIEW = f"""idview AS (SELECT 'PO-' || CAST(l_orderkey AS VARCHAR) AS "rowId",
   {", ".join(LINE_KEY)} FROM lineitem)"""
 
 
-def pseudo_generate_query(columns, chunk_rows, salt) -> str:
+def pseudo_generate_query(columns, salt) -> str:
     return with_staging("SELECT original, anonymized, category FROM namemap",
-                        name_map_ctes("staging", columns, chunk_rows, salt))
+                        name_map_ctes("staging", columns, salt))
 
 
 def _masked_names_body(columns) -> tuple[str, list[str]]:
@@ -470,14 +485,14 @@ def _masked_names_body(columns) -> tuple[str, list[str]]:
     return joins, outs
 
 
-def pseudo_names_query(columns, chunk_rows, salt) -> str:
+def pseudo_names_query(columns, salt) -> str:
     joins, outs = _masked_names_body(columns)
     sel = ['s."rowId" AS "rowId"', *[alias(o, c) for o, c in zip(outs, columns)], *[f"s.{k}" for k in LINE_KEY]]
     return with_staging(f"SELECT {', '.join(sel)} FROM staging s {joins}",
-                        name_map_ctes("staging", columns, chunk_rows, salt))
+                        name_map_ctes("staging", columns, salt))
 
 
-def leak_check_query(columns, contacts, chunk_rows, salt) -> str:
+def leak_check_query(columns, contacts, salt) -> str:
     joins, outs = _masked_names_body(columns)
     pairs = [f"{o} AS o{j}, s.{q(c)} AS i{j}" for j, (o, c) in enumerate(zip(outs, columns))]
     pairs += [f"s.{q(c)} AS o{len(columns) + j}, s.{q(c)} AS i{len(columns) + j}" for j, c in enumerate(contacts)]
@@ -486,28 +501,28 @@ def leak_check_query(columns, contacts, chunk_rows, salt) -> str:
   COUNT(CASE WHEN o{j} = i{j} THEN 1 END) AS n_unchanged,
   COUNT(CASE WHEN o{j} IN (SELECT v FROM inputs) THEN 1 END) AS n_exposed FROM pairs"""
              for j, c in enumerate([*columns, *contacts])]
-    ctes = name_map_ctes("staging", columns, chunk_rows, salt)
+    ctes = name_map_ctes("staging", columns, salt)
     ctes += f",\npairs AS (SELECT {', '.join(pairs)} FROM staging s {joins}),\ninputs AS ({inputs})"
     return with_staging("\n" + "\nUNION ALL\n".join(parts), ctes)
 
 
-def tokenize_ids_query(columns, chunk_rows) -> str:
+def tokenize_ids_query(columns, salt) -> str:
     return with_staging("SELECT original, fake, id_type FROM amap",
-                        ID_VIEW + ",\n" + id_map_ctes("a", "idview", columns, chunk_rows))
+                        ID_VIEW + ",\n" + id_map_ctes("a", "idview", columns, salt))
 
 
-def tokenize_resume_query(columns, chunk_rows, cutoff: str) -> str:
+def tokenize_resume_query(columns, salt, cutoff: str) -> str:
     early = f"early AS (SELECT * FROM idview WHERE l_shipdate < TIMESTAMP {sq(cutoff)})"
-    ctes = ",\n".join([ID_VIEW, early, id_map_ctes("a", "early", columns, chunk_rows),
-                       id_map_ctes("b", "idview", columns, chunk_rows, prior="amap")])
+    ctes = ",\n".join([ID_VIEW, early, id_map_ctes("a", "early", columns, salt),
+                       id_map_ctes("b", "idview", columns, salt, prior="amap")])
     return with_staging("SELECT original, fake, id_type FROM bmap", ctes)
 
 
-def token_fallback_query(columns, chunk_rows) -> str:
+def token_fallback_query(columns, salt) -> str:
     view = f"""fview AS (SELECT 'PO-' || CAST(l_orderkey AS VARCHAR) AS "rowId",
   CAST(l_suppkey AS VARCHAR) AS "supplierRef", {", ".join(LINE_KEY)} FROM lineitem)"""
     return with_staging("SELECT original, fake, id_type FROM amap",
-                        view + ",\n" + id_map_ctes("a", "fview", columns, chunk_rows))
+                        view + ",\n" + id_map_ctes("a", "fview", columns, salt))
 
 
 # --- nested documents ---------------------------------------------------------------
@@ -524,7 +539,7 @@ def _docs_cte() -> str:
   SELECT l_orderkey, COUNT(p_name) AS n,
          string_agg(p_name, '|' ORDER BY {_doc_order()}) AS names,
          string_agg(CAST(l_quantity AS VARCHAR), '|' ORDER BY {_doc_order()}) AS vals,
-         CAST(SUM(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS tv
+         CAST(SUM(CAST(l_quantity AS DECIMAL(38,10))) AS DOUBLE) AS tv
   FROM lineitem LEFT JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey),
 docs AS (
   SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS r, o_orderkey, o_orderstatus, o_orderpriority,
@@ -579,7 +594,7 @@ _LN = "ln AS (SELECT l_orderkey, l_quantity, p_name FROM lineitem LEFT JOIN part
 def explode_cross_query() -> str:
     return with_staging("""
 SELECT 'PO-' || CAST(o.o_orderkey AS VARCHAR) AS "rowId", b.p_name AS product, COUNT(*) AS n_rows,
-       CAST(SUM(CAST(a.l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS total_value
+       CAST(SUM(CAST(a.l_quantity AS DECIMAL(38,10))) AS DOUBLE) AS total_value
 FROM orders o LEFT JOIN ln a ON a.l_orderkey = o.o_orderkey LEFT JOIN ln b ON b.l_orderkey = o.o_orderkey
 GROUP BY 1, 2""", _LN)
 
@@ -587,23 +602,23 @@ GROUP BY 1, 2""", _LN)
 def explode_aligned_query() -> str:
     return with_staging("""
 SELECT 'PO-' || CAST(o.o_orderkey AS VARCHAR) AS "rowId", a.p_name AS product, COUNT(*) AS n_rows,
-       CAST(SUM(CAST(a.l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS total_value
+       CAST(SUM(CAST(a.l_quantity AS DECIMAL(38,10))) AS DOUBLE) AS total_value
 FROM orders o LEFT JOIN ln a ON a.l_orderkey = o.o_orderkey
 GROUP BY 1, 2""", _LN)
 
 
-def mapping_state_query(columns, chunk_rows, cutoff: str) -> str:
+def mapping_state_query(columns, salt, cutoff: str) -> str:
     early = f"early AS (SELECT * FROM idview WHERE l_shipdate < TIMESTAMP {sq(cutoff)})"
-    ctes = ",\n".join([ID_VIEW, early, id_map_ctes("a", "early", columns, chunk_rows),
-                       id_map_ctes("b", "idview", columns, chunk_rows, prior="amap")])
+    ctes = ",\n".join([ID_VIEW, early, id_map_ctes("a", "early", columns, salt),
+                       id_map_ctes("b", "idview", columns, salt, prior="amap")])
     return with_staging("""SELECT original, fake, id_type,
   CAST(CASE WHEN original IN (SELECT original FROM amap) THEN 0 ELSE 1 END AS BIGINT) AS batch FROM bmap""", ctes)
 
 
-def pseudo_incremental_query(columns) -> str:
-    """One chunk per ship year (in year order); inside it, column then row."""
-    chunk = "dense_rank() OVER (ORDER BY year(l_shipdate)) - 1"
-    ctes = ",\n".join([ID_VIEW, id_map_ctes("a", "idview", columns, 0, chunk_expr=chunk)])
+def pseudo_incremental_query(columns, salt) -> str:
+    """One arrival per ship year (in year order); inside it, column then row."""
+    arrival = "dense_rank() OVER (ORDER BY year(l_shipdate)) - 1"
+    ctes = ",\n".join([ID_VIEW, id_map_ctes("a", "idview", columns, salt, arrival=arrival)])
     return with_staging(f"""SELECT original, fake, id_type, CAST((k // {_SEQ_SPAN}) // 10 AS BIGINT) AS batch
 FROM afirst JOIN amap USING (original)""", ctes)
 
@@ -642,26 +657,82 @@ SELECT CAST(row_number() OVER (PARTITION BY o_orderkey // {nodes_per_doc} ORDER
 FROM orders LEFT JOIN cust ON o_custkey = c_custkey LEFT JOIN jl ON jl.l_orderkey = o_orderkey""", lines)
 
 
-def order_etl_query(n: int) -> str:
-    """Row counts of the star built from the first ``n`` cross-exploded
-    document rows. Masking is injective and turns blanks into "", so a
-    dimension's rows are the distinct (blank-marked) original tuples."""
-    lines = f"""ln2 AS (SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY {_doc_order()}) - 1 AS i,
-       l_quantity, p_name FROM lineitem LEFT JOIN part ON l_partkey = p_partkey)"""
-    rows = f"""x AS (SELECT o.o_orderkey, a.i AS i, b.i AS j, b.p_name AS pn,
-       CASE WHEN o_orderpriority = {sq(NO_BUYER_PRIORITY)} THEN NULL ELSE c_name END AS buyer, n_name,
-       CASE WHEN r_name = {sq(NO_CONTACT_REGION)} THEN NULL ELSE r_name END AS poc
-  FROM orders o LEFT JOIN cust ON o.o_custkey = c_custkey
-  LEFT JOIN ln2 a ON a.l_orderkey = o.o_orderkey LEFT JOIN ln2 b ON b.l_orderkey = o.o_orderkey),
-s AS (SELECT * FROM x ORDER BY o_orderkey, i NULLS FIRST, j NULLS FIRST LIMIT {n})"""
-    one = "(SELECT LEAST(COUNT(*), 1) FROM s)"
-    body = f"""
-SELECT 'dim_buyer' AS table_name, (SELECT COUNT(*) FROM (SELECT DISTINCT COALESCE(buyer, chr(1)), n_name FROM s) t) AS n_rows
-UNION ALL SELECT 'dim_product', (SELECT COUNT(*) FROM (SELECT DISTINCT COALESCE(pn, chr(1)) FROM s) t)
-UNION ALL SELECT 'dim_feedstock', {one}
-UNION ALL SELECT 'dim_certification', {one}
-UNION ALL SELECT 'dim_trader', {one}
-UNION ALL SELECT 'dim_point_of_contact', (SELECT COUNT(*) FROM (SELECT DISTINCT COALESCE(poc, chr(1)) FROM s) t)
-UNION ALL SELECT 'dim_manufacturer', {one}
-UNION ALL SELECT 'fact_orders', (SELECT COUNT(*) FROM s)"""
-    return with_staging(body, lines + ",\n" + rows)
+def mapping_state_names_query(columns, salt, cutoff: str) -> str:
+    """Names seen in early lines keep their fakes; new ones are named after them:
+    the suffix of a new fake counts on from the fakes its base already has."""
+    early = f"early AS (SELECT * FROM staging WHERE l_shipdate < TIMESTAMP {sq(cutoff)})"
+    first = name_map_ctes("early", columns, salt)
+    names = ("nrows", "nocc", "nfirst", "ncat", "nbase", "namemap")
+    both = name_map_ctes("staging", columns, salt)
+    for n in names:
+        both = re.sub(rf"\b{n}\b", "b" + n, both)
+    return with_staging("""SELECT original, anonymized, 0 AS run FROM namemap
+UNION ALL
+SELECT original, CASE WHEN n = 1 THEN base ELSE base || ' ' || CAST(n AS VARCHAR) END, 1
+FROM (SELECT original, base, row_number() OVER (PARTITION BY base ORDER BY h, original) + COALESCE(used, 0) AS n
+      FROM bnbase LEFT JOIN (SELECT base, COUNT(*) AS used FROM nbase GROUP BY base) u USING (base)
+      WHERE original NOT IN (SELECT original FROM namemap)) x""", ",\n".join([early, first, both]))
+
+
+def _etl_ctes(salt: str) -> str:
+    """The star of the whole ETL, from its rules: one row per order line (or per
+    order without lines), masked names, blanks and NA tokens null. An order's own
+    attributes come from its first line."""
+    first = f"""fl AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {_doc_order()}) AS nth FROM lineitem) t WHERE nth = 1)"""
+    rows = f"""er AS (SELECT o.o_orderkey, o_orderstatus AS "type", c_mktsegment AS contact, ln.l_quantity AS value,
+    CASE WHEN fl.l_orderkey IS NOT NULL THEN fl.l_extendedprice END AS quantity,
+    CASE WHEN o_orderpriority = {sq(NO_BUYER_PRIORITY)} THEN NULL ELSE c_name END AS "buyer.nodes.name",
+    n_name AS "buyer.nodes.parentCompany.nodes.name",
+    CASE WHEN r_name = {sq(NO_CONTACT_REGION)} THEN NULL ELSE r_name END AS "point_of_contact.nodes.name",
+    fp.p_brand AS "attributes.manufacturer", fp.p_brand || '-F' AS "attributes.sellingManufacturerFacilityName",
+    s_name AS "attributes.trader", s_nation, fp.p_type AS ftype, fp.p_brand AS fbrand, o_orderpriority, fl.l_returnflag AS rf, fl.l_linestatus AS ls,
+    p.p_name AS pn, p.p_partkey AS pk, p.p_brand AS pb, CASE WHEN p.p_size % 7 = 0 THEN NULL ELSE p.p_size END AS ps, p.p_type AS pt,
+    p.p_size % 5 = 0 AS core, {", ".join("ln." + k for k in LINE_KEY)}
+  FROM orders o LEFT JOIN cust ON o.o_custkey = c_custkey LEFT JOIN fl ON fl.l_orderkey = o.o_orderkey
+  LEFT JOIN part fp ON fl.l_partkey = fp.p_partkey LEFT JOIN supp ON fl.l_suppkey = s_suppkey
+  LEFT JOIN lineitem ln ON ln.l_orderkey = o.o_orderkey LEFT JOIN part p ON ln.l_partkey = p.p_partkey)"""
+    columns = list(NAME_CATEGORY)
+    outs = ", ".join(f"m{j}.anonymized AS n{j}" for j in range(len(columns)))
+    joins = " ".join(f"LEFT JOIN namemap m{j} ON e.{q(c)} = m{j}.original" for j, c in enumerate(columns))
+    masked = f"em AS (SELECT e.*, {outs} FROM er e {joins})"
+    at = {c: f"n{j}" for j, c in enumerate(columns)}
+    buyer, parent, poc, trader = (at[c] for c in ("buyer.nodes.name", "buyer.nodes.parentCompany.nodes.name", "point_of_contact.nodes.name", "attributes.trader"))
+    tables = [("eb", "id_buyer", [buyer, parent, "contact"], f"WHERE {buyer} IS NOT NULL"), ("ep", "id_poc", [poc], ""), ("et", "id_trader", [trader, "s_nation"], "")]
+    dims = []
+    for name, key, attrs, where in tables:
+        dims.append(f"{name} AS (SELECT row_number() OVER (ORDER BY {', '.join(a + ' ASC NULLS FIRST' for a in attrs)}) AS {key}, * "
+                    f"FROM (SELECT DISTINCT {', '.join(attrs)} FROM em {where}) t)")
+    return ",\n".join([first, rows, name_map_ctes("er", columns, salt), masked, *dims])
+
+
+def etl_dim_buyer_query(salt: str) -> str:
+    at = {c: f"n{j}" for j, c in enumerate(NAME_CATEGORY)}
+    return with_staging(f"""SELECT id_buyer, {at["buyer.nodes.name"]} AS buyer_nodes_name,
+  {at["buyer.nodes.parentCompany.nodes.name"]} AS buyer_nodes_parentCompany_nodes_name, contact AS "attributes_buyerNameContact" FROM eb""", _etl_ctes(salt))
+
+
+def etl_fact_query(salt: str) -> str:
+    at = {c: f"n{j}" for j, c in enumerate(NAME_CATEGORY)}
+    b, p, c, t = (at[x] for x in ("buyer.nodes.name", "buyer.nodes.parentCompany.nodes.name", "point_of_contact.nodes.name", "attributes.trader"))
+    return with_staging(f"""SELECT 'PO_' || {sql_zfill('dense_rank() OVER (ORDER BY o_orderkey)', 6)} AS "rowId", "type", id_buyer, id_poc, id_trader,
+  value AS produits_nodes_value, quantity AS feedstock_nodes_quantity
+FROM em LEFT JOIN eb ON em.{b} = eb.{b} AND em.{p} IS NOT DISTINCT FROM eb.{p} AND em.contact IS NOT DISTINCT FROM eb.contact
+LEFT JOIN ep ON em.{c} IS NOT DISTINCT FROM ep.{c}
+LEFT JOIN et ON em.{t} IS NOT DISTINCT FROM et.{t} AND em.s_nation IS NOT DISTINCT FROM et.s_nation""", _etl_ctes(salt))
+
+
+def order_etl_query(salt: str) -> str:
+    """Row counts of the published star; id tokens and fakes are one-to-one with
+    the originals, so distinct originals count the product rows."""
+    def count(what: str) -> str:
+        return f"(SELECT COUNT(*) FROM (SELECT DISTINCT {what} FROM em) t)"
+
+    return with_staging(f"""
+SELECT 'dim_buyer' AS table_name, (SELECT COUNT(*) FROM eb) AS n_rows
+UNION ALL SELECT 'dim_product', {count("pn, pk, pb, ps, pt, core")}
+UNION ALL SELECT 'dim_feedstock', {count("ftype, fbrand")}
+UNION ALL SELECT 'dim_certification', {count("CASE WHEN rf IS NOT NULL THEN o_orderpriority END, rf, ls")}
+UNION ALL SELECT 'dim_trader', (SELECT COUNT(*) FROM et)
+UNION ALL SELECT 'dim_point_of_contact', (SELECT COUNT(*) FROM ep)
+UNION ALL SELECT 'dim_manufacturer', {count('fbrand, ftype')}
+UNION ALL SELECT 'fact_orders', (SELECT COUNT(*) FROM em)""", _etl_ctes(salt))

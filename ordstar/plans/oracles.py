@@ -37,16 +37,16 @@ ORACLES.update({
     "scalar_parity": o.scalar_parity_query(),
 })
 
-from ordstar.operators.pseudonym import DEFAULT_SALT  # noqa: E402
-from ordstar.specs import CHUNK_ROWS, ID_COLUMNS, NAME_COLUMNS  # noqa: E402
+from ordstar.plans.queries import SALT  # noqa: E402
+from ordstar.specs import ID_COLUMNS, NAME_COLUMNS  # noqa: E402
 
 ORACLES.update({
-    "pseudo_generate": o.pseudo_generate_query(NAME_COLUMNS, CHUNK_ROWS, DEFAULT_SALT),
-    "pseudo_names": o.pseudo_names_query(NAME_COLUMNS, CHUNK_ROWS, DEFAULT_SALT),
-    "leak_check": o.leak_check_query(NAME_COLUMNS, _q.CONTACT_COLUMNS, CHUNK_ROWS, DEFAULT_SALT),
-    "tokenize_ids": o.tokenize_ids_query(ID_COLUMNS, CHUNK_ROWS),
-    "tokenize_resume": o.tokenize_resume_query(ID_COLUMNS, CHUNK_ROWS, _q.RESUME_CUTOFF),
-    "token_fallback": o.token_fallback_query(_q.FALLBACK_COLUMNS, CHUNK_ROWS),
+    "pseudo_generate": o.pseudo_generate_query(NAME_COLUMNS, SALT),
+    "pseudo_names": o.pseudo_names_query(NAME_COLUMNS, SALT),
+    "leak_check": o.leak_check_query(NAME_COLUMNS, _q.CONTACT_COLUMNS, SALT),
+    "tokenize_ids": o.tokenize_ids_query(ID_COLUMNS, SALT),
+    "tokenize_resume": o.tokenize_resume_query(ID_COLUMNS, SALT, _q.RESUME_CUTOFF),
+    "token_fallback": o.token_fallback_query(_q.FALLBACK_COLUMNS, SALT),
 })
 
 ORACLES.update({
@@ -58,8 +58,8 @@ ORACLES.update({
 })
 
 ORACLES.update({
-    "mapping_state": o.mapping_state_query(ID_COLUMNS, CHUNK_ROWS, _q.RESUME_CUTOFF),
-    "pseudo_incremental": o.pseudo_incremental_query(ID_COLUMNS),
+    "mapping_state": o.mapping_state_query(ID_COLUMNS, SALT, _q.RESUME_CUTOFF),
+    "pseudo_incremental": o.pseudo_incremental_query(ID_COLUMNS, SALT),
     "star_publish": o.star_publish_query(_q.STAR_TABLES),
 })
 
@@ -67,4 +67,9 @@ ORACLES.update({
     "json_scan": o.json_scan_query(_q.NODES_PER_DOC),
 })
 
-ORACLES["order_etl"] = o.order_etl_query(SAMPLE_ROWS)
+ORACLES.update({
+    "order_etl": o.order_etl_query(SALT),
+    "etl_dim_buyer": o.etl_dim_buyer_query(SALT),
+    "etl_fact": o.etl_fact_query(SALT),
+    "mapping_state_names": o.mapping_state_names_query(NAME_COLUMNS, SALT, _q.RESUME_CUTOFF),
+})

@@ -14,16 +14,16 @@ from ordstar.functions import text as fn
 from ordstar.functions.text import cols
 from ordstar.operators import clean, kpi, nested, pseudonym, quality, sample, star
 from ordstar.operators.numbering import dense_number
-from ordstar.plans import publish
+from ordstar.plans import etl, publish
 from ordstar.session import materialize, scratch_path
 from ordstar.sources.mapping_store import MappingStore
 from ordstar.streaming import incremental
 from ordstar.sources import json_docs
-from ordstar.sources.adapter import LINE_KEY, flat_columns, id_lines, order_documents, staging, staging_text
+from ordstar.sources.adapter import LINE_KEY, flat_columns, full_order_documents, id_lines, order_documents, staging, staging_text
 from ordstar.sources.tables import table
-from ordstar.sources.text import read_delimited, write_delimited
-from ordstar.specs import (CHUNK_ROWS, ID_BLANK_TOKENS, ID_COLUMNS, NAME_COLUMNS, NUMERIC_COLUMNS, ORDER_STAR,
-                           SAMPLE_ROWS, safe_name)
+from ordstar.sources.text import export_mapping_csv, load_mapping_csv, read_delimited, write_delimited
+from ordstar.specs import (ID_BLANK_TOKENS, ID_COLUMNS, NAME_COLUMNS, NUMERIC_COLUMNS, ORDER_STAR,
+                           SAMPLE_ROWS, TRACEABILITY_MEASURES, VOLUME_MEASURE, safe_name)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,15 +32,20 @@ def safe(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(safe_name(c)) for c in df.columns])
 
 
-def _star(spark: SparkSession, sf_dir: str, number_fact: bool = True):
-    st = staging(spark, sf_dir)
-    dims, fact = star.build_star(st, ORDER_STAR, number_fact=number_fact)
-    return st, dims, fact
+def _star(spark: SparkSession, sf_dir: str, number_fact: bool = True, dims: tuple[str, ...] | None = None, extra: tuple[str, ...] = ()):
+    """Star with the dimensions ``dims`` (all by default); staging then holds
+    their attributes and the ``extra`` columns only."""
+    if dims is None:
+        st = staging(spark, sf_dir)
+    else:
+        st = staging(spark, sf_dir, list(dict.fromkeys([*extra, *[a for d in dims for a in ORDER_STAR.dim(d).attributes]])))
+    return st, *star.build_star(st, ORDER_STAR, number_fact=number_fact, dims=dims)
 
 
 def q_dim(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return safe(star.build_dimension(staging(spark, sf_dir), ORDER_STAR.dim(name)))
+        d = ORDER_STAR.dim(name)
+        return safe(star.build_dimension(staging(spark, sf_dir, d.attributes), d))
     return run
 
 
@@ -49,37 +54,42 @@ def q_fact_full_key(spark, sf_dir):
 
 
 def q_fact_key(spark, sf_dir):
-    return _star(spark, sf_dir)[2].select("id_fact", "rowId", "type")
+    st = staging(spark, sf_dir, ["rowId", "type"])
+    return dense_number(st, list(LINE_KEY), id_col="id_fact").select("id_fact", "rowId", "type")
 
 
 def q_fact_partial_key(spark, sf_dir, dim_name: str = "dim_product"):
     """Parity load with the product dimension (the largest fan-out), summed
     per foreign key by eager aggregation (the row-level load is
     ``star.fact_partial_key``)."""
-    st = staging(spark, sf_dir)
     d = ORDER_STAR.dim(dim_name)
+    st = staging(spark, sf_dir, [*d.attributes, "produits.nodes.value", "feedstock.nodes.quantity"])
     dims = {dim_name: star.build_dimension(st, d)}
     out = star.partial_key_summary(st, dims, ORDER_STAR, dim_name, ["produits.nodes.value", "feedstock.nodes.quantity"])
     return out.select(d.key, F.col("n_rows").cast("bigint").alias("n_rows"), F.col("__t0").alias("total_value"),
                       F.col("__t1").alias("total_quantity"))
 
 
+VOLUMES = ("type", "produits.nodes.value", "feedstock.nodes.quantity", "attributes.volumeContact")
+
+
 def q_kpi_volume(spark, sf_dir):
-    _, dims, fact = _star(spark, sf_dir, number_fact=False)
+    _, dims, fact = _star(spark, sf_dir, False, ("dim_product", "dim_trader"), VOLUMES)
     return kpi.kpi_volume(fact, dims)
 
 
 def q_volume_by_buyer(spark, sf_dir):
-    _, dims, fact = _star(spark, sf_dir, number_fact=False)
+    _, dims, fact = _star(spark, sf_dir, False, ("dim_buyer",), VOLUMES[1:3])
     return kpi.volume_by_buyer(fact, dims)
 
 
 def q_kpi_traceability(spark, sf_dir):
-    return kpi.kpi_traceability(_star(spark, sf_dir, number_fact=False)[2])
+    # Rates and volume are measures of the staging row; no dimension is needed.
+    return kpi.kpi_traceability(staging(spark, sf_dir, [*TRACEABILITY_MEASURES, VOLUME_MEASURE]))
 
 
 def q_kpi_buyers(spark, sf_dir):
-    _, dims, fact = _star(spark, sf_dir, number_fact=False)
+    _, dims, fact = _star(spark, sf_dir, False, ("dim_buyer",), ("type",))
     return kpi.kpi_buyers(fact, dims)
 
 
@@ -127,23 +137,24 @@ HASH_COLUMNS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
 
 
 def q_coerce_numeric(spark, sf_dir):
-    t = staging_text(spark, sf_dir)
+    t = staging_text(spark, sf_dir, ["rowId", *NUMERIC_COLUMNS])
     out = clean.coerce_numeric(t.select("rowId", "l_orderkey", "l_linenumber", *cols(NUMERIC_COLUMNS)))
     return safe(out)
 
 
 def q_coerce_report(spark, sf_dir):
-    return clean.coerce_report(staging_text(spark, sf_dir))
+    return clean.coerce_report(staging_text(spark, sf_dir, NUMERIC_COLUMNS))
 
 
 def q_sample_head(spark, sf_dir):
-    # The sample reads the written flat table, as the source reads its file.
-    st = materialize(staging(spark, sf_dir), "flat-orders")
-    return safe(sample.sample_head(st, LINE_KEY, SAMPLE_ROWS))
+    # The order key is the line's own and every join is many-to-one: the rows
+    # are chosen on the narrow line table, and only those are joined.
+    first = materialize(sample.sample_head(table(spark, sf_dir, "lineitem").select(*LINE_KEY), LINE_KEY, SAMPLE_ROWS), "first-lines")
+    return safe(staging(spark, sf_dir, lines=first))
 
 
 def q_sample_hash(spark, sf_dir):
-    st = materialize(staging(spark, sf_dir).select("rowId", *LINE_KEY), "flat-orders")
+    st = staging(spark, sf_dir, ["rowId"])
     return safe(sample.sample_hash(st, HASH_COLUMNS, LINE_KEY, HASH_SAMPLE_ROWS, HASH_SEED))
 
 
@@ -189,15 +200,16 @@ QUERIES.update({
 
 # --- pseudonymisation -------------------------------------------------------------
 
+# The queries' salt; a real run brings its own secret.
+SALT = "registered-queries"
 RESUME_CUTOFF = "1998-01-01"
 FALLBACK_COLUMNS = ("rowId", "supplierRef")
 CONTACT_COLUMNS = ("attributes.buyerNameContact", "attributes.traderContact", "attributes.manufacturerContact")
 
 
 def _names(spark, sf_dir, keep_input=False):
-    st = staging(spark, sf_dir)
-    return pseudonym.pseudonymize(st, LINE_KEY, name_columns=NAME_COLUMNS, chunk_rows=CHUNK_ROWS,
-                                  keep_input=keep_input)
+    st = staging(spark, sf_dir, ["rowId", *NAME_COLUMNS, *(CONTACT_COLUMNS if keep_input else ())])
+    return pseudonym.pseudonymize(st, LINE_KEY, name_columns=NAME_COLUMNS, salt=SALT, keep_input=keep_input)
 
 
 def q_pseudo_generate(spark, sf_dir):
@@ -218,16 +230,14 @@ def q_leak_check(spark, sf_dir):
 
 def q_tokenize_ids(spark, sf_dir):
     ids = id_lines(spark, sf_dir)
-    return pseudonym.pseudonymize(ids, LINE_KEY, id_columns=ID_COLUMNS, chunk_rows=CHUNK_ROWS)[2]
+    return pseudonym.pseudonymize(ids, LINE_KEY, id_columns=ID_COLUMNS, salt=SALT)[2]
 
 
-def _resume(spark, sf_dir, saved=None):
+def _resume(spark, sf_dir):
     ids = id_lines(spark, sf_dir)
     early = ids.where(F.col("l_shipdate") < F.lit(RESUME_CUTOFF).cast("timestamp_ntz"))
-    first = pseudonym.pseudonymize(early, LINE_KEY, id_columns=ID_COLUMNS, chunk_rows=CHUNK_ROWS)[2]
-    if saved is not None:
-        first = saved(first)
-    return pseudonym.pseudonymize(ids, LINE_KEY, id_columns=ID_COLUMNS, chunk_rows=CHUNK_ROWS, id_map=first)[2]
+    first = pseudonym.pseudonymize(early, LINE_KEY, id_columns=ID_COLUMNS, salt=SALT)[2]
+    return first.unionByName(pseudonym.pseudonymize(ids, LINE_KEY, id_columns=ID_COLUMNS, salt=SALT, id_map=first)[2])
 
 
 def q_tokenize_resume(spark, sf_dir):
@@ -238,7 +248,7 @@ def q_token_fallback(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select(*LINE_KEY)
     ids = li.select(F.concat(F.lit("PO-"), F.col("l_orderkey").cast("string")).alias("rowId"),
                     F.col("l_suppkey").cast("string").alias("supplierRef"), *LINE_KEY)
-    return pseudonym.pseudonymize(ids, LINE_KEY, id_columns=FALLBACK_COLUMNS, chunk_rows=CHUNK_ROWS)[2]
+    return pseudonym.pseudonymize(ids, LINE_KEY, id_columns=FALLBACK_COLUMNS, salt=SALT)[2]
 
 
 QUERIES.update({
@@ -254,7 +264,7 @@ QUERIES.update({
 # --- nested documents -----------------------------------------------------------------
 
 NODE_ORDER = ["file", "doc", "pos"]
-NODES_PER_DOC = 10_000
+NODES_PER_DOC = 500
 
 
 def _nodes(spark, sf_dir):
@@ -300,8 +310,8 @@ def q_json_extract(spark, sf_dir):
     root = F.col("node")
     names = nested.path_values(root, schema, "produits.nodes.asset.descriptionShort")
     values = nested.path_values(root, schema, "produits.nodes.value")
-    total = F.aggregate(values, F.lit(0).cast("decimal(38,2)"),
-                        lambda a, x: (a + x.cast("decimal(18,2)")).cast("decimal(38,2)"))
+    total = F.aggregate(values, F.lit(0).cast("decimal(38,10)"),
+                        lambda a, x: (a + x.cast("decimal(38,10)")).cast("decimal(38,10)"))
     return parsed.select(
         F.element_at(nested.path_values(root, schema, "rowId"), 1).alias("rowId"),
         F.element_at(nested.path_values(root, schema, "buyer.nodes.name"), 1).alias("buyer"),
@@ -324,7 +334,9 @@ def _exploded_summary(df):
 
 def q_explode_cross(spark, sf_dir):
     flat, paths = _flat(spark, sf_dir)
-    return _exploded_summary(nested.explode_cross(flat, [p for p in paths if p in nested.array_columns(flat)]))
+    multi = [p for p in paths if p in nested.array_columns(flat)]
+    out = nested.cross_summary(flat, ["rowId"], "produits.nodes.asset.descriptionShort", "produits.nodes.value", multi)
+    return out.withColumnRenamed("__by", "product")
 
 
 def q_explode_aligned(spark, sf_dir):
@@ -353,11 +365,24 @@ def q_mapping_state(spark, sf_dir):
     for rows in runs:
         batch = store.next_batch("id_map")
         prev = store.load("id_map")
-        full = pseudonym.pseudonymize(rows, LINE_KEY, id_columns=ID_COLUMNS, chunk_rows=CHUNK_ROWS, id_map=prev)[2]
-        store.append_new("id_map", full, prev, batch)
+        new = pseudonym.pseudonymize(rows, LINE_KEY, id_columns=ID_COLUMNS, salt=SALT, id_map=prev)[2]
+        store.write_batch("id_map", new, batch)
     return store.load("id_map", with_batch=True)
 
 
+def q_mapping_state_names(spark, sf_dir):
+    """The name mapping over two runs (early lines, then all), carried from one to
+    the other as the ``,`` CSV file."""
+    st = staging(spark, sf_dir, NAME_COLUMNS)
+    early = st.where(F.col("l_shipdate") < F.lit(RESUME_CUTOFF).cast("timestamp_ntz"))
+    saved = scratch_path(spark, "name-map-csv")
+    first = pseudonym.pseudonymize(early, LINE_KEY, name_columns=NAME_COLUMNS, salt=SALT)[1]
+    export_mapping_csv(first, saved, "name_map")
+    back = load_mapping_csv(spark, saved, "name_map")
+    new = pseudonym.pseudonymize(st, LINE_KEY, name_columns=NAME_COLUMNS, salt=SALT, name_map=back)[1]
+    return back.select("original", "anonymized", F.lit(0).alias("run")).unionByName(new.select("original", "anonymized", F.lit(1).alias("run")))
+
+
 def q_pseudo_incremental(spark, sf_dir):
     """Lines arrive one ship year at a time; each arrival is one run of an
     ``availableNow`` stream, so each year is one micro-batch."""
@@ -371,7 +396,7 @@ def q_pseudo_incremental(spark, sf_dir):
         ids.where(year == y).write.mode("append").parquet(f"{root}/source")
         q = incremental.start_masking_stream(
             spark, f"{root}/source", ids.schema, store, f"{root}/masked", f"{root}/checkpoint",
-            LINE_KEY, id_columns=ID_COLUMNS)
+            LINE_KEY, salt=SALT, id_columns=ID_COLUMNS)
         q.awaitTermination()
     return store.load("id_map", with_batch=True)
 
@@ -389,25 +414,37 @@ def q_star_publish(spark, sf_dir):
 
 QUERIES.update({
     "mapping_state": q_mapping_state,
+    "mapping_state_names": q_mapping_state_names,
     "pseudo_incremental": q_pseudo_incremental,
     "star_publish": q_star_publish,
 })
 
 
-def q_order_etl(spark, sf_dir):
-    """The source pipeline end to end over documents derived from the tables:
-    responses → flat → masked → first 100,000 rows → star; row counts of the
-    published tables."""
-    from ordstar.plans import etl
-
+def _etl(spark, sf_dir):
+    """The source pipeline end to end over documents derived from the tables
+    (responses → flat → masked → star): reader of the published tables."""
     responses = scratch_path(spark, "etl-responses")
-    json_docs.write_responses(order_documents(spark, sf_dir), ["o_orderkey"], responses, NODES_PER_DOC,
-                              unique_int_key=True)
-    out, maps = scratch_path(spark, "etl-out"), scratch_path(spark, "etl-maps")
-    run = etl.order_etl(spark, responses, out, maps)
-    parts = [publish.read_published(spark, f"{out}/star", t, run).agg(F.count(F.lit(1)).alias("n_rows"))
-                    .select(F.lit(t).alias("table_name"), "n_rows") for t in STAR_TABLES]
+    json_docs.write_responses(full_order_documents(spark, sf_dir), ["o_orderkey"], responses, NODES_PER_DOC, unique_int_key=True)
+    out = scratch_path(spark, "etl-out")
+    run = etl.order_etl(spark, responses, out, scratch_path(spark, "etl-maps"), salt=SALT)
+    return lambda t: publish.read_published(spark, f"{out}/star", t, run)
+
+
+def q_order_etl(spark, sf_dir):
+    """Row counts of the tables that the whole ETL publishes."""
+    read = _etl(spark, sf_dir)
+    parts = [read(t).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(t).alias("table_name"), "n_rows") for t in STAR_TABLES]
     return reduce(DataFrame.unionByName, parts)
 
 
-QUERIES["order_etl"] = q_order_etl
+def q_etl_dim_buyer(spark, sf_dir):
+    return _etl(spark, sf_dir)("dim_buyer")
+
+
+def q_etl_fact(spark, sf_dir):
+    """Every fact row with its masked order id, the keys of the dimensions that
+    carry no numbered token, and two measures."""
+    return _etl(spark, sf_dir)("fact_orders").select("rowId", "type", "id_buyer", "id_poc", "id_trader", "produits_nodes_value", "feedstock_nodes_quantity")
+
+
+QUERIES.update({"order_etl": q_order_etl, "etl_dim_buyer": q_etl_dim_buyer, "etl_fact": q_etl_fact})

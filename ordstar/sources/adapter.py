@@ -16,10 +16,13 @@ sort-merges.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordstar.sources.tables import table
+from ordstar.specs import ORDER_PATHS
 
 # Total order of the staging rows: every line column (full lines are unique;
 # the (order, line number) pair is not).
@@ -61,26 +64,9 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_geography(c, spark, sf_dir, "c_nationkey", "n_name", "r_name").drop("c_nationkey")
 
 
-def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line-grain staging table (text attributes, double measures).
-
-    Large sides are joined as plain scans (the planner broadcasts a side only
-    when its file size is under the threshold, else sort-merges); the fixed
-    nation/region lookups come last.
-    """
-    li = table(spark, sf_dir, "lineitem").select(*LINE_KEY)
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
-    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    oc = o.join(c, o.o_custkey == c.c_custkey, "left")
-    x = (li.join(oc, li.l_orderkey == oc.o_orderkey, "left")
-           .join(p, li.l_partkey == p.p_partkey, "left")
-           .join(s, li.l_suppkey == s.s_suppkey, "left"))
-    x = with_geography(x, spark, sf_dir, "c_nationkey", "n_name", "r_name")
-    x = with_geography(x, spark, sf_dir, "s_nationkey", "s_nation")
+def _flat_exprs() -> list[Column]:
     returned = F.col("l_returnflag") == "R"
-    flat = [
+    return [
         F.concat(F.lit("PO-"), F.col("l_orderkey").cast("string")).alias("rowId"),
         F.col("o_orderstatus").alias("type"),
         F.col("c_mktsegment").alias("attributes.buyerNameContact"),
@@ -117,7 +103,57 @@ def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_linestatus").alias("transactionExpectedCertificateNomenclatures.nodes.level"),
         F.col("o_orderpriority").alias("transactionExpectedCertificateNomenclatures.nodes.tradeItem.descriptionShort"),
     ]
-    return x.select(*flat, *[F.col(k) for k in LINE_KEY])
+
+
+# The staging columns in document order, as ``_flat_exprs`` makes them.
+STAGING_COLUMNS = ORDER_PATHS
+
+# Tables that give a staging column, by the prefix of the columns it is made of.
+_NEEDS = {
+    "type": "o", "attributes.buyerNameContact": "oc", "attributes.feedstock": "p", "attributes.trader": "s",
+    "attributes.traderContact": "sS", "attributes.sellingManufacturerFacilityName": "p", "attributes.manufacturer": "p",
+    "attributes.manufacturerContact": "p", "attributes.volumeContact": "p", "buyer.nodes.name": "oc",
+    "buyer.nodes.parentCompany.nodes.name": "ocn", "point_of_contact.nodes.name": "ocnr",
+    "produits.nodes.asset.descriptionShort": "p", "produits.nodes.asset.attributes.gtin": "p",
+    "produits.nodes.asset.attributes.hsCode": "p", "produits.nodes.asset.attributes.regulatedProductName": "p",
+    "produits.nodes.asset.attributes.category": "p", "produits.nodes.asset.attributes.productLine": "p",
+    "feedstock.nodes.asset.descriptionShort": "p", "feedstock.nodes.rawMaterial.name": "p",
+    "transactionExpectedCertificateNomenclatures.nodes.tradeItem.descriptionShort": "o",
+}
+
+
+def staging(spark: SparkSession, sf_dir: str, columns: Sequence[str] | None = None, lines: DataFrame | None = None) -> DataFrame:
+    """Line-grain staging table (text attributes, double measures).
+
+    With ``columns`` only those (and the order key) are made, and only the
+    tables they come from are joined. ``lines`` replaces the line table (rows
+    chosen before the joins; every join is many-to-one, so rows stay rows).
+
+    Large sides are joined as plain scans (the planner broadcasts a side only
+    when its file size is under the threshold, else sort-merges); the fixed
+    nation/region lookups come last.
+    """
+    names = STAGING_COLUMNS if columns is None else [c for c in columns if c not in LINE_KEY]
+    needs = set("".join(_NEEDS.get(c, "") for c in names))
+    x = (table(spark, sf_dir, "lineitem") if lines is None else lines).select(*LINE_KEY)
+    if "o" in needs:
+        o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+        if "c" in needs:
+            c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+            o = o.join(c, o.o_custkey == c.c_custkey, "left")
+        x = x.join(o, x.l_orderkey == o.o_orderkey, "left")
+    if "p" in needs:
+        p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
+        x = x.join(p, x.l_partkey == p.p_partkey, "left")
+    if "s" in needs:
+        s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+        x = x.join(s, x.l_suppkey == s.s_suppkey, "left")
+    if "n" in needs:
+        x = with_geography(x, spark, sf_dir, "c_nationkey", "n_name", "r_name" if "r" in needs else None)
+    if "S" in needs:
+        x = with_geography(x, spark, sf_dir, "s_nationkey", "s_nation")
+    made = dict(zip(STAGING_COLUMNS, _flat_exprs(), strict=True))
+    return x.select(*[made[c] for c in names], *[F.col(k) for k in LINE_KEY])
 
 
 def flat_columns(df: DataFrame) -> list[str]:
@@ -139,12 +175,12 @@ def id_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Corruption of the text measure used by the numeric-coercion checks: by line
 # number, some values become "n/a", some "1,5" (decimal comma), some padded.
-def staging_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+def staging_text(spark: SparkSession, sf_dir: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Staging with every measure as text and ``produits.nodes.value`` partly
     corrupted, as a text file with unchecked numbers would arrive."""
     from ordstar.specs import NUMERIC_COLUMNS
 
-    st = staging(spark, sf_dir)
+    st = staging(spark, sf_dir, columns)
     ln = F.col("l_linenumber") % 7
     out = []
     for c in st.columns:
@@ -208,3 +244,61 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         )).alias("nodes")).alias("produits"),
     )
     return docs.select("o_orderkey", F.to_json(node, {"ignoreNullFields": "false"}).alias("node"))
+
+
+def full_order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(o_orderkey, node)``: purchase-order nodes that fill every consumed path.
+
+    ``produits.nodes`` has one element per line; the order's attributes, its one
+    feedstock and its one certificate come from its first line (an order
+    without lines has none). One group per order, bounded by the lines of one order.
+    """
+    lines = table(spark, sf_dir, "lineitem").select(*LINE_KEY)
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    x = lines.join(p, lines.l_partkey == p.p_partkey, "left").join(s, lines.l_suppkey == s.s_suppkey, "left")
+    x = with_geography(x, spark, sf_dir, "s_nationkey", "s_nation")
+    fields = [*LINE_DOC_ORDER, "p_name", "p_brand", "p_type", "p_size", "p_retailprice", "s_name", "s_nation"]
+    grouped = x.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("lines"))
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    docs = (o.join(customers(spark, sf_dir), o.o_custkey == F.col("c_custkey"), "left")
+             .join(grouped, F.col("o_orderkey") == F.col("l_orderkey"), "left"))
+    docs = docs.withColumn("lines", F.coalesce("lines", F.array().cast(docs.schema["lines"].dataType)))
+    one = F.element_at(F.when(F.size("lines") > 0, F.col("lines")), 1)
+    kept = F.when(one["l_returnflag"] != "R", one["l_discount"]), F.when(one["l_returnflag"] != "R", one["l_tax"])
+
+    def text(c: Column) -> Column:
+        return c.cast("string")
+
+    def nodes(has: Column, *items: Column) -> Column:
+        node = F.array(F.struct(*items))
+        return F.struct(F.when(has, node).otherwise(F.slice(node, 1, 0)).alias("nodes"))
+
+    contact = F.col("r_name").isNotNull() & (F.col("r_name") != NO_CONTACT_REGION)
+    node = F.struct(
+        F.concat(F.lit("PO-"), text(F.col("o_orderkey"))).alias("rowId"),
+        F.col("o_orderstatus").alias("type"),
+        F.struct(F.col("c_mktsegment").alias("buyerNameContact"), one["p_type"].alias("feedstock"), one["s_name"].alias("trader"),
+                 one["s_nation"].alias("traderContact"), F.concat(one["p_brand"], F.lit("-F")).alias("sellingManufacturerFacilityName"),
+                 one["p_brand"].alias("manufacturer"), one["p_type"].alias("manufacturerContact"),
+                 text(one["l_discount"]).alias("millsTracabilityPo"), text(one["l_tax"]).alias("millsTracabilityPko"),
+                 text(kept[0]).alias("plantationsTracabilityPo"), text(kept[1]).alias("plantationsTracabilityPko"),
+                 text(one["p_retailprice"]).alias("volumeContact")).alias("attributes"),
+        nodes(F.lit(True), F.when(F.col("o_orderpriority") == NO_BUYER_PRIORITY, _null_str()).otherwise(F.col("c_name")).alias("name"),
+              nodes(F.lit(True), F.col("n_name").alias("name")).alias("parentCompany")).alias("buyer"),
+        nodes(contact, F.col("r_name").alias("name")).alias("point_of_contact"),
+        F.struct(F.transform("lines", lambda ln: F.struct(
+            ln["l_quantity"].alias("value"), F.lit("KG").alias("unit"),
+            F.struct(ln["p_name"].alias("descriptionShort"), F.struct(
+                text(ln["l_partkey"]).alias("gtin"), ln["p_brand"].alias("hsCode"), _null_str().alias("descriptionShort"),
+                # The text "NA" is what a delimited reader takes for null.
+                F.when(ln["p_size"] % 7 == 0, F.lit("NA")).otherwise(text(ln["p_size"])).alias("regulatedProductName"),
+                ln["p_type"].alias("category"), F.lit("false").alias("isComponent"),
+                F.when(ln["p_size"] % 5 == 0, _null_str()).otherwise(F.lit("CORE")).alias("productLine"),
+                _null_str().alias("countryOfOrigin")).alias("attributes")).alias("asset"))).alias("nodes")).alias("produits"),
+        nodes(one.isNotNull(), one["l_extendedprice"].alias("quantity"), F.lit("KG").alias("unit"),
+              F.struct(one["p_brand"].alias("descriptionShort")).alias("asset"), F.struct(one["p_type"].alias("name")).alias("rawMaterial")).alias("feedstock"),
+        nodes(one.isNotNull(), one["l_returnflag"].alias("type"), one["l_linestatus"].alias("level"),
+              F.struct(F.col("o_orderpriority").alias("descriptionShort")).alias("tradeItem")).alias("transactionExpectedCertificateNomenclatures"),
+    )
+    return docs.select("o_orderkey", F.to_json(node, {"ignoreNullFields": "false"}).alias("node"))

@@ -12,7 +12,7 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session(master="local[*]", shuffle_partitions=8)
+    s = build_session(master=os.environ.get("TEST_MASTER", "local[*]"), shuffle_partitions=8)
     yield s
     s.stop()
 
