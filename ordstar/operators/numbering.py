@@ -12,9 +12,9 @@ A global ``row_number()`` window moves every row into one task. Instead:
 3. count rows per (partition, group): at most partitions x groups rows —
    the same bounded metadata ``zipWithIndex`` gathers — and turn them into
    per-partition offsets on the driver;
-4. number = offset + position within the (partition, group) run + start, a
-   projection over the written table (a literal lookup, no join), so the
-   result keeps the file statistics the planner uses for join choices.
+4. number = offset + position within the (partition, group) run + start: a
+   projection over the written table with a literal array of offsets by
+   partition, or, in grouped form, a hash lookup in the broadcast offsets.
 
 The data itself moves once.
 """
@@ -22,9 +22,11 @@ The data itself moves once.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ordstar.functions.text import col
 from ordstar.session import materialize
@@ -88,21 +90,14 @@ def dense_number_counted(df: DataFrame, order: Sequence[str | Column], id_col: s
         for k, v in base.items():
             offsets[k[0]] = v
         off = F.element_at(F.array(*[F.lit(v).cast("bigint") for v in offsets]), (pid + 1).cast("int"))
-    else:
-        key = F.concat_ws("\u0001", pid.cast("string"), *[F.coalesce(g.cast("string"), F.lit("\u0000")) for g in gcols])
-        entries = []
-        for k, v in base.items():
-            text = "\u0001".join([str(k[0]), *[_as_text(x) for x in k[1:]]])
-            entries += [F.lit(text), F.lit(v).cast("bigint")]
-        off = F.element_at(F.create_map(*entries), key)
-    number = (off + pos + F.lit(start)).cast("bigint")
-    return pinned.select(*[col(c) for c in df.columns], number.alias(id_col)), running
-
-
-def _as_text(x) -> str:
-    """Python value as Spark's cast to string writes it (for map keys)."""
-    if x is None:
-        return "\u0000"
-    if isinstance(x, bool):
-        return str(x).lower()
-    return str(x)
+        number = (off + pos + F.lit(start)).cast("bigint")
+        return pinned.select(*[col(c) for c in df.columns], number.alias(id_col)), running
+    # Grouped: one row per (partition, group), the same bounded metadata, met by a hash lookup.
+    schema = T.StructType([T.StructField("__opid", T.LongType()), *[
+        T.StructField(f"__og{i}", pinned.select(g).schema[0].dataType) for i, g in enumerate(gcols)], T.StructField("__off", T.LongType())])
+    offsets = F.broadcast(spark.createDataFrame([(*k, v) for k, v in base.items()], schema))
+    placed = pinned.withColumn("__pid", pid)
+    same = [F.col("__pid") == F.col("__opid"), *[g.eqNullSafe(F.col(f"__og{i}")) for i, g in enumerate(gcols)]]
+    number = (F.col("__off") + pos + F.lit(start)).cast("bigint")
+    joined = placed.join(offsets, reduce(lambda x, y: x & y, same), "left")
+    return joined.select(*[col(c) for c in df.columns], number.alias(id_col)), running
