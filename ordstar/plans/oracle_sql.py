@@ -736,3 +736,19 @@ UNION ALL SELECT 'dim_trader', (SELECT COUNT(*) FROM et)
 UNION ALL SELECT 'dim_point_of_contact', (SELECT COUNT(*) FROM ep)
 UNION ALL SELECT 'dim_manufacturer', {count('fbrand, ftype')}
 UNION ALL SELECT 'fact_orders', (SELECT COUNT(*) FROM em)""", _etl_ctes(salt))
+
+
+def multi_valued_query() -> str:
+    return with_staging("""SELECT CAST(1 AS INTEGER) AS buyer_nodes_name, CAST(1 AS INTEGER) AS buyer_nodes_parentCompany_nodes_name,
+  CAST(1 AS INTEGER) AS point_of_contact_nodes_name, CAST(max(n) AS INTEGER) AS produits_nodes_value,
+  CAST(max(n) AS INTEGER) AS produits_nodes_asset_descriptionShort FROM docs""", _docs_cte())
+
+
+REPLACE_TABLE_SQL = "SELECT c_custkey AS id, c_name AS name FROM customer"
+
+
+def fact_partial_rows_query() -> str:
+    d = ORDER_STAR.dim("dim_point_of_contact")
+    cols = [*[f"s.{q(t)} AS {q(safe_name(t))}" for t in ORDER_STAR.fact_text], f"d.{d.key} AS {d.key}",
+            *[f"CAST(s.{q(m)} AS DOUBLE) AS {q(safe_name(m))}" for m in ORDER_STAR.measures]]
+    return with_staging(f"SELECT {', '.join(cols)} FROM staging s LEFT JOIN {d.name} d ON s.{q(d.join_key)} = d.{q(d.join_key)}", dim_cte(d))

@@ -73,3 +73,11 @@ ORACLES.update({
     "etl_fact": o.etl_fact_query(SALT),
     "mapping_state_names": o.mapping_state_names_query(NAME_COLUMNS, SALT, _q.RESUME_CUTOFF),
 })
+
+ORACLES.update({
+    "json_scan_pretty": o.json_scan_query(_q.NODES_PER_DOC),
+    "multi_valued": o.multi_valued_query(),
+    "pseudo_missing_column": o.pseudo_generate_query(_q.PRESENT_NAMES, SALT),
+    "replace_table": o.REPLACE_TABLE_SQL,
+    "fact_partial_rows": o.fact_partial_rows_query(),
+})

@@ -21,7 +21,7 @@ from ordstar.streaming import incremental
 from ordstar.sources import json_docs
 from ordstar.sources.adapter import LINE_KEY, flat_columns, full_order_documents, id_lines, order_documents, staging, staging_text
 from ordstar.sources.tables import table
-from ordstar.sources.text import export_mapping_csv, load_mapping_csv, read_delimited, write_delimited
+from ordstar.sources.text import export_mapping_csv, load_mapping_csv, read_delimited, replace_table, write_delimited
 from ordstar.specs import (ID_BLANK_TOKENS, ID_COLUMNS, NAME_COLUMNS, NUMERIC_COLUMNS, ORDER_STAR,
                            SAMPLE_ROWS, TRACEABILITY_MEASURES, VOLUME_MEASURE, safe_name)
 
@@ -448,3 +448,51 @@ def q_etl_fact(spark, sf_dir):
 
 
 QUERIES.update({"order_etl": q_order_etl, "etl_dim_buyer": q_etl_dim_buyer, "etl_fact": q_etl_fact})
+
+
+# --- boundaries and tolerance ------------------------------------------------------------
+
+
+def q_json_scan_pretty(spark, sf_dir):
+    """Responses printed over several lines, one per file."""
+    path = scratch_path(spark, "responses-pretty")
+    json_docs.write_responses(order_documents(spark, sf_dir), ["o_orderkey"], path, NODES_PER_DOC, unique_int_key=True, pretty=True)
+    return json_docs.read_responses(spark, path, multi_line=True).select("pos", "node")
+
+
+def q_multi_valued(spark, sf_dir):
+    return safe(nested.multi_valued(_flat(spark, sf_dir)[0]))
+
+
+PRESENT_NAMES = tuple(c for c in NAME_COLUMNS if c != "attributes.trader")
+
+
+def q_pseudo_missing_column(spark, sf_dir):
+    """Masking a table that lacks one of the listed columns."""
+    st = staging(spark, sf_dir, PRESENT_NAMES)
+    return pseudonym.pseudonymize(st, LINE_KEY, name_columns=NAME_COLUMNS, salt=SALT)[1]
+
+
+def q_replace_table(spark, sf_dir):
+    """A table directory written, replaced by other rows, and read back."""
+    path = scratch_path(spark, "replaced")
+    replace_table(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name")), path)
+    replace_table(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")), path)
+    return spark.read.parquet(path)
+
+
+def q_fact_partial_rows(spark, sf_dir):
+    """Row-level parity load with the one dimension whose join key is unique, so
+    that no row multiplies."""
+    d = ORDER_STAR.dim("dim_point_of_contact")
+    st = staging(spark, sf_dir, [*ORDER_STAR.fact_text, *ORDER_STAR.measures, *d.attributes])
+    return safe(star.fact_partial_key(st, {d.name: star.build_dimension(st, d)}, ORDER_STAR, [d.name]))
+
+
+QUERIES.update({
+    "json_scan_pretty": q_json_scan_pretty,
+    "multi_valued": q_multi_valued,
+    "pseudo_missing_column": q_pseudo_missing_column,
+    "replace_table": q_replace_table,
+    "fact_partial_rows": q_fact_partial_rows,
+})
