@@ -21,7 +21,7 @@ Calibration. ``score`` is the posterior under equal priors with cross-entropies
 scaled by one factor, chosen on the calibration rows. ``accepted`` is false where the
 cross-entropy lies further above the language's mean than its spread over calibration
 rows and the symbol noise of a text this long allow (at least ``SIGMAS`` deviations, more if a
-calibration row needed more), so texts like those learned from stay.
+calibration row needed more, and ``MARGIN`` bits), so texts like those learned from stay.
 
 Defined cases: null text or one without a letter: ``und``, score 0, not accepted;
 no labelled row at all: every text is ``und``; null languages are not learned;
@@ -45,7 +45,10 @@ from ordstar.session import materialize, ship_package
 UNKNOWN = "und"
 PER_LANGUAGE, MOST_ROWS, MOST_CHARS = 300, 4_800, 20_000
 ORDER = 4
-SIGMAS = 6.0
+SIGMAS = 8.0
+#: Bits per symbol above a language's mean that are never rejected: texts with
+#: passages of another learned language stay below, other languages and noise lie above.
+MARGIN = 1.5
 #: Symbols handled at once.
 STRETCH = 1 << 20
 
@@ -254,7 +257,7 @@ def decide(model: Model, bits: np.ndarray, n: int) -> tuple[str, float, bool, fl
     h = bits / n
     j = int(h.argmin())
     score = 1.0 / float(np.exp(np.minimum(700.0, -model.factor * (h - h[j]))).sum())
-    limit = model.mean[j] + model.sigmas[j] * np.sqrt(model.spread[j] ** 2 + model.noise[j] ** 2 / n)
+    limit = model.mean[j] + max(MARGIN, model.sigmas[j] * np.sqrt(model.spread[j] ** 2 + model.noise[j] ** 2 / n))
     return model.languages[j], min(1.0, max(0.0, score)), bool(h[j] <= limit), float(h[j])
 
 
