@@ -275,13 +275,20 @@ def _nodes(spark, sf_dir):
     return json_docs.read_responses(spark, path)
 
 
+# The layout of ``order_documents``, declared: no discovery pass over the texts.
+DOC_SCHEMA = (
+    "rowId string, type string, tags array<string>, flags struct<partial: boolean>, "
+    "buyer struct<nodes: array<struct<name: string, parentCompany: struct<nodes: array<struct<name: string>>>>>>, "
+    "point_of_contact struct<nodes: array<struct<name: string>>>, "
+    "produits struct<nodes: array<struct<value: double, asset: struct<descriptionShort: string>>>>")
+DOC_PATHS = ["rowId", "type", "flags", "flags.partial", "buyer.nodes.name", "buyer.nodes.parentCompany.nodes.name",
+             "point_of_contact.nodes.name", "produits.nodes.value", "produits.nodes.asset.descriptionShort"]
+
+
 def _flat(spark, sf_dir, aligned=False):
-    nodes = _nodes(spark, sf_dir)
-    paths, schema = nested.discover_structure(nodes, "node", NODE_ORDER)
-    parsed = nested.parse_nodes(nodes, "node", schema, keep=NODE_ORDER)
-    if aligned:
-        return nested.explode_aligned(parsed, "node", paths, keep=NODE_ORDER), paths
-    return nested.flatten(parsed, "node", paths, keep=NODE_ORDER), paths
+    parsed = nested.parse_nodes(_nodes(spark, sf_dir), "node", DOC_SCHEMA, keep=NODE_ORDER)
+    make = nested.explode_aligned if aligned else nested.flatten
+    return make(parsed, "node", DOC_PATHS, keep=NODE_ORDER), DOC_PATHS
 
 
 def _as_text(df, columns):
@@ -304,9 +311,8 @@ def q_json_paths(spark, sf_dir):
 
 
 def q_json_extract(spark, sf_dir):
-    nodes = _nodes(spark, sf_dir)
-    _, schema = nested.discover_structure(nodes, "node", NODE_ORDER)
-    parsed = nested.parse_nodes(nodes, "node", schema)
+    parsed = nested.parse_nodes(_nodes(spark, sf_dir), "node", DOC_SCHEMA)
+    schema = parsed.schema["node"].dataType
     root = F.col("node")
     names = nested.path_values(root, schema, "produits.nodes.asset.descriptionShort")
     values = nested.path_values(root, schema, "produits.nodes.value")

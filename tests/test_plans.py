@@ -3,6 +3,7 @@
 import re
 
 from ordstar.operators import kpi, pseudonym, quality, star
+from ordstar.plans.queries import QUERIES
 from ordstar.sources.adapter import LINE_KEY, id_lines, staging
 from ordstar.specs import ID_COLUMNS, NAME_COLUMNS, ORDER_STAR
 
@@ -61,3 +62,9 @@ def test_audits_count_cells_before_joining(spark):
     dims, fact = star.build_star(st, ORDER_STAR, number_fact=False)
     p = quality.integrity_audit(fact, dims, ORDER_STAR)._jdf.queryExecution().optimizedPlan().toString()
     assert re.search(r"Aggregate \[[^\n]*fk[^\n]*count\(1\)", p), p
+
+
+def test_declared_layout_needs_no_python(spark):
+    for name in ("json_extract", "json_flatten", "explode_cross", "explode_aligned"):
+        p = plan(QUERIES[name](spark, SMALL))
+        assert not any(n in p for n in PYTHON_NODES), name
