@@ -20,8 +20,8 @@ documents as pivots come in once only related ones are left:
    member), never all pairs; their components contain every linked pair. Related sets only are fetched
    again, by component.
 4. Joins. A component of at most ``MOST`` nodes is joined in one task: pivots split it
-   into Voronoi halves, with the window of two thresholds around the border joined on its own, recursively,
-   and leaves are compared exactly, skipping pairs already connected. A larger component is
+   into Voronoi halves, recursively; pairs over a border are compared inside the window of two
+   thresholds around it; leaves are compared exactly, skipping pairs already connected. A larger component is
    dealt to groups of ``MOST``; each group first compares with common pivots,
    which settles all but a rest of nodes, then the rest, in blocks, meets every group.
 5. A task's own components are final; the links of a dealt component are star pairs
@@ -252,10 +252,12 @@ class Region:
             reach = 1 - self.percent / 100 + 1e-9
             near_p = to_p <= to_q
             window = np.abs(to_p - to_q) <= 2 * reach
-            if window.sum() > 0.8 * len(region) or near_p.all() or not near_p.any():
+            if 2 * window.sum() > len(region) or near_p.all() or not near_p.any():
                 self.leaf(region)
                 continue
-            todo += [region[near_p], region[~near_p], region[window]]
+            # Pairs over the border have both ends in the window.
+            self.cross(region[near_p & window], region[~near_p & window])
+            todo += [region[near_p], region[~near_p]]
 
     def leaf(self, region: np.ndarray) -> None:
         """Compare exactly, each pivot with the members behind it that are not
