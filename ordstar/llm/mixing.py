@@ -50,20 +50,25 @@ RUN = 1 << 16
 #: Rounds of the permutation.
 ROUNDS = 16
 
-#: A prime modulus and the factors of the rounds' bits and reflections.
-PRIME = 2_147_483_647
+#: Two primes, the factors of the bits, and those of the round keys.
+PRIME, SECOND_PRIME = 2_147_483_647, 1_000_000_007
+MIX_A, MIX_B = 1_103_515_245, 69_069
 FACTORS = [(7 + 48_271 * (r + 1) ** 3 % 2_000_003, 11 + 69_621 * (r + 2) ** 2 % 1_999_993) for r in range(ROUNDS)]
 
 
+def round_keys(n: str, seed: str) -> list[str]:
+    """SQL for the key of each round of the permutation that ``seed`` and ``n`` pick."""
+    return [f"((({seed}) % 1000003 * 1009 + {n} % 1000003) * {a} + {b}) % {PRIME}" for a, b in FACTORS]
+
+
 def permuted(x: str, n: str, seed: str) -> str:
     """SQL for the place of ``x`` (0 to n - 1) under the permutation of 0 to n - 1
-    that ``seed`` picks: a fold over the rounds, each a reflection and a bit (a
-    quadratic hash modulo the prime) that says whether to take it."""
-    rounds = ", ".join(f"named_struct('a', {a}L, 'b', {b}L, 'c', {b * b}L)" for a, b in FACTORS)
-    mirror = f"((({seed}) % 1000003 * k.a + {n} % {PRIME} * 31 + k.c) % {PRIME} * k.a % {PRIME} % {n} - v + {n}) % {n}"
-    h = f"((greatest(v, o) % {PRIME} * k.a + ({seed}) % 1000003 * k.b + k.b) % {PRIME})"
-    take = f"transform(array({h}), h -> (h * h + k.a) % {PRIME} * k.b % {PRIME} div 2048 % 2 = 1)[0]"
-    return f"aggregate(array({rounds}), {x}, (v, k) -> transform(array({mirror}), o -> if({take}, o, v))[0])"
+    that ``seed`` picks: a fold over the round keys, each a reflection and a bit
+    (products modulo two primes) that says whether to take it."""
+    mirror = f"(k % {n} - v + {n}) % {n}"
+    take = f"(greatest(v, {mirror}) % {PRIME} + k) * {MIX_A} % {PRIME} * {MIX_B} % {SECOND_PRIME} div 512 % 2 = 1"
+    keys = ", ".join(f"cast({k} AS bigint)" for k in round_keys(n, seed))
+    return f"aggregate(array({keys}), {x}, (v, k) -> if({take}, {mirror}, v))"
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...], share: tuple[int, int], most: int) -> DataFrame:

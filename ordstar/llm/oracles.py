@@ -38,16 +38,16 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM par
 
 def permuted_sql(name: str, relation: str, keep: str, x: str, n: str, seed: str, out: str) -> str:
     """Two CTEs: the rounds of the swap-or-not shuffle of column ``x``, and ``name`` with its place ``out``."""
-    p = mixing.PRIME
-    mirror = f"((((s % 1000003) * fa + (n % {p}) * 31 + fb * fb) % {p} * fa % {p} % n) - v + n) % n"
-    h = f"((greatest(v, o) % {p}) * fa + (s % 1000003) * fb + fb) % {p}"
+    p, q = mixing.PRIME, mixing.SECOND_PRIME
+    key = f"((s % 1000003 * 1009 + n % 1000003) * fa + fb) % {p}"
+    bit = f"(greatest(v, o) % {p} + k) * {mixing.MIX_A} % {p} * {mixing.MIX_B} % {q} // 512 % 2"
     return f"""
-{name}_rounds({keep}, n, s, k, v) AS (
+{name}_rounds({keep}, n, s, turns, v) AS (
   SELECT {keep}, {n}, ({seed})::BIGINT, 0, {x} FROM {relation}
   UNION ALL
-  SELECT {keep}, n, s, k + 1, CASE WHEN ((h * h + fa) % {p} * fb % {p}) // 2048 % 2 = 1 THEN o ELSE v END
-  FROM (SELECT *, {h} AS h FROM (SELECT *, {mirror} AS o FROM {name}_rounds JOIN factors ON fr = k))),
-{name} AS (SELECT {keep}, v AS {out} FROM {name}_rounds WHERE k = {mixing.ROUNDS})"""
+  SELECT {keep}, n, s, turns + 1, CASE WHEN {bit} = 1 THEN o ELSE v END
+  FROM (SELECT *, (k % n - v + n) % n AS o FROM (SELECT *, {key} AS k FROM {name}_rounds JOIN factors ON fr = turns))),
+{name} AS (SELECT {keep}, v AS {out} FROM {name}_rounds WHERE turns = {mixing.ROUNDS})"""
 
 
 def mix_sql() -> str:
