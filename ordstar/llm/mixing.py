@@ -135,7 +135,7 @@ def plan_mix(rows: DataFrame, weights: tuple[int, ...], share: tuple[int, int] =
     total = quota.agg(F.coalesce(F.sum("take"), F.lit(0)).alias("n")).first()["n"]
     # Places meet their source by equality on runs of places of bounded length.
     runs = quota.withColumn("run", F.explode(F.expr(f"sequence(first_place div {RUN}, (first_place + take - 1) div {RUN})")))
-    slots = spark.range(0, total, 1, max(8, total // 250_000)).select(F.col("id").alias("slot"), F.lit(total).cast("bigint").alias("all"))
+    slots = spark.range(0, total, 1, max(8, total // 50_000)).select(F.col("id").alias("slot"), F.lit(total).cast("bigint").alias("all"))
     dealt = (slots.withColumn("place", F.expr(permuted("slot", "all", "1L"))).withColumn("run", F.expr(f"place div {RUN}")).join(runs, "run")
              .filter("place >= first_place AND place < first_place + take")
              .selectExpr("slot", "rank", "blocks", "(place - first_place) div blocks AS pass", "(place - first_place) % blocks AS turn",
@@ -183,8 +183,11 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...], key: str = "doc_i
     mix = plan_mix(rows, weights, **settings)
     taken = (mix.segments.groupBy("key", "start", "pass").agg(F.sort_array(F.collect_list(F.struct("from", "words"))).alias("parts")))
     distinct = keyed.groupBy("key").agg(F.first("row").alias("row"))
-    out = taken.join(distinct, "key").select("row", "parts", F.split(F.trim(F.regexp_replace(F.col(f"row.`{text}`").cast("string"), SPACE, " ")), " ").alias("words"))
-    mixed = F.array_join(F.flatten(F.transform("parts", lambda p: F.slice(F.col("words"), (p["from"] + 1).cast("int"), p["words"].cast("int")))), " ")
+    out = taken.join(distinct, "key")
+    # A text's words are split once: the one-element array binds them for all parts.
+    words = F.split(F.trim(F.regexp_replace(F.col(f"row.`{text}`").cast("string"), SPACE, " ")), " ")
+    mixed = F.transform(F.array(words), lambda w: F.array_join(F.flatten(F.transform(
+        F.col("parts"), lambda p: F.slice(w, (p["from"] + 1).cast("int"), p["words"].cast("int")))), " "))[0]
     out = out.withColumn("mixed", mixed)
     replaced = {text.lower(): F.col("mixed")} | ({n_chars.lower(): F.length("mixed").cast("bigint")} if n_chars else {})
     return out.select(*[replaced.get(c.lower(), F.col(f"row.`{c}`")).alias(c) for c in columns])
