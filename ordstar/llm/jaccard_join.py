@@ -16,6 +16,10 @@ documents as pivots come in once only related ones are left:
    near its class's lower bound is replicated into the class below, because of
    |y| <= |x| / t. A set with so many empty parts that the count argument fails also
    enters the regions of its first shingles (enough that two such sets must share one).
+   Below ``CROWDED`` percent parts hold few shingles, and a phrase that many texts share
+   alone in a part would chain unrelated sets. There are a quarter more parts there, and each
+   set leaves its most popular regions: of q non-empty parts linked sets agree on q - H or more,
+   so each may leave q - H - 1, and the least popular one they agree on is left by neither.
 3. Candidates. Regions with two nodes or more give star pairs (member, smallest
    member), never all pairs; their components contain every linked pair. Related sets only are fetched
    again, by component.
@@ -42,7 +46,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordstar.llm.common import word_count, words
@@ -57,6 +61,10 @@ PIVOTS = 24
 LEAF = 192
 #: Growth of size classes.
 CLASS_GROWTH = 1.5
+#: Percent of similarity below which sets leave their most popular regions.
+CROWDED = 90
+#: Values of ``spares`` are a class times this and the number of regions to leave.
+SPARE = 1 << 24
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -116,13 +124,19 @@ def class_parts(high: int, percent: int) -> tuple[int, int]:
     smaller = high - 1
     larger = smaller * 100 // percent
     differ = (smaller + larger) * (100 - percent) // (100 + percent)
-    return differ, differ + 1 + (differ // 40 + 1 if differ else 0)
+    return differ, differ + 1 + (differ // (40 if percent >= CROWDED else 4) + 1 if differ else 0)
 
 
 def region_keys(x: np.ndarray, percent: int) -> np.ndarray:
     """Keys of the regions that a set lies in."""
+    return regions_of(x, percent)[0]
+
+
+def regions_of(x: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the regions that a set lies in, and for each its kind (class, and
+    whether of parts or of first shingles) with how many regions of that kind the set may leave."""
     if not len(x):
-        return np.zeros(0, np.uint64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int32)
     number, low, high = size_class(len(x))
     classes = [(number, high)]
     # The partner may be as small as percent of this size: every class down to that.
@@ -131,7 +145,7 @@ def region_keys(x: np.ndarray, percent: int) -> np.ndarray:
         lower_number, lower_low, lower_high = size_class(at - 1)
         classes.append((lower_number, lower_high))
         at = lower_low
-    out = []
+    out, spares = [], []
     spread = mix(x)
     for number, high in classes:
         differ, parts = class_parts(high, percent)
@@ -140,30 +154,38 @@ def region_keys(x: np.ndarray, percent: int) -> np.ndarray:
         sums = np.add.reduceat(spread, first)
         tag = np.uint64((number * 2 + 1) * 1_000_003)
         out.append(mix(sums ^ mix(part[first] + tag)))
+        leave = min(max(0, len(first) - differ - 1), SPARE - 1)
+        spares.append(np.full(len(first), 2 * number * SPARE + leave, np.int32))
         if len(first) <= differ:
             prefix = len(x) - (-(-len(x) * percent // 100)) + 1
             out.append(mix(spread[:prefix] ^ np.uint64(number * 2 * 1_000_003 + 7)))
-    return np.concatenate(out)
+            spares.append(np.full(len(out[-1]), (2 * number + 1) * SPARE, np.int32))
+    return np.concatenate(out), np.concatenate(spares)
 
 
 def sketch(df: DataFrame, key: str, text: str, n: int, percent: int) -> DataFrame:
-    """(``id``, ``mark``, ``n_shingles``, ``node``, ``regions``) of every row."""
+    """(``id``, ``mark``, ``n_shingles``, ``node``, ``regions``) of every row, below
+    ``CROWDED`` percent also ``spares``."""
+    crowded = percent < CROWDED
+
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
             sets = [shingle_set(t, n) for t in batch.column(2).to_pylist()]
-            keys = [region_keys(x, percent) for x in sets]
-            flat = np.concatenate([*keys, np.zeros(0, np.uint64)]).view(np.int64)
-            ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
+            found = [regions_of(x, percent) for x in sets]
+            flat = np.concatenate([*[k for k, _ in found], np.zeros(0, np.uint64)]).view(np.int64)
+            spares = np.concatenate([*[s for _, s in found], np.zeros(0, np.int32)])
+            ends = pa.array(np.cumsum([0, *[len(k) for k, _ in found]]).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(ends, pa.array(a)) for a in ([flat, spares] if crowded else [flat])]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(1), pa.array([len(x) for x in sets], pa.int64()),
                 pa.array([set_key(x) if len(x) else None for x in sets], pa.binary()),
-                pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["id", "mark", "n_shingles", "node", "regions"])
+                *lists], ["id", "mark", "n_shingles", "node", "regions", "spares"][:4 + len(lists)])
 
     kind = df.schema[key].dataType.simpleString()
     t = F.col(f"`{text}`").cast("string")
-    return df.select(F.col(f"`{key}`"), F.xxhash64(t).alias("mark"), t.alias("text")).mapInArrow(run, f"id {kind}, mark bigint, n_shingles bigint, node binary, regions array<bigint>")
+    return df.select(F.col(f"`{key}`"), F.xxhash64(t).alias("mark"), t.alias("text")).mapInArrow(run, f"id {kind}, mark bigint, n_shingles bigint, node binary, regions array<bigint>" + (", spares array<int>" if crowded else ""))
 
 
 def fetch_sets(df: DataFrame, key: str, text: str, n: int) -> DataFrame:
@@ -335,9 +357,13 @@ def jaccard_components(df: DataFrame, key: str = "doc_id", text: str = "text", n
     ship_package(spark)
     rows = materialize(sketch(df, key, text, n, percent), "shingle-rows")
     named = rows.filter("node IS NOT NULL")
-    nodes = named.groupBy("node").agg(F.min("id").alias("id"), F.first("regions").alias("regions"))
+    lists = [c for c in ("regions", "spares") if c in rows.columns]
+    nodes = named.groupBy("node").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in lists])
     short = F.conv(F.substring(F.hex("node"), 1, 15), 16, 10).cast("bigint")
-    members = nodes.select(short.alias("short"), F.explode("regions").alias("region"))
+    if percent < CROWDED:
+        members = _rare_regions(nodes.select(short.alias("short"), F.inline(F.arrays_zip("regions", "spares"))))
+    else:
+        members = nodes.select(short.alias("short"), F.explode("regions").alias("region"))
     shared = members.groupBy("region").agg(F.min("short").alias("v"), F.max("short").alias("other")).filter("v < other").drop("other")
     related = members.join(shared, "region").filter("short <> v").select(F.col("short").alias("u"), "v").distinct()
     groups = components(related)
@@ -371,6 +397,17 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", n: int = 3,
     return single.unionByName(several).unionByName(empty)
 
 
+def _rare_regions(members: DataFrame) -> DataFrame:
+    """(``short``, ``region``) without the regions of one node and without each node's
+    most popular regions, as many as it may leave of a kind. Equal counts are ordered by region,
+    the same for all nodes."""
+    members = members.withColumnRenamed("regions", "region")
+    popular = members.groupBy("region").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    order = Window.partitionBy("short", "spares").orderBy(F.col("n").desc(), "region")
+    ranked = members.join(popular, "region").withColumn("nth", F.row_number().over(order))
+    return materialize(ranked.filter(F.col("nth") > F.col("spares") % SPARE).select("short", "region"), "rare-regions")
+
+
 def _roots(df: DataFrame, key: str, text: str, n: int, percent: int, candidates: DataFrame) -> DataFrame:
     """(``node``, ``root``) of the nodes that are linked with another."""
     ids = candidates.select(F.col("id").alias("wanted")).distinct()

@@ -199,6 +199,68 @@ def test_keep_one_of_each_group(spark, docs, data, nothing):
     assert jaccard_join.keep_one(nothing).count() == 0
 
 
+def stays_at_five_words(rows):
+    """Ids of each component at five words and 0.8, by all pairs: the lowest stays."""
+    sets = []
+    for _, t in rows:
+        w = words(t or "")
+        sets.append({tuple(w[i:i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set()))
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= 80 * len(sets[i] | sets[j]) and group[i] != group[j]:
+                group = [group[j] if g == group[i] else g for g in group]
+    return sorted(min(rows[i][0] for i in range(len(rows)) if group[i] == g) for g in set(group))
+
+
+def crowded_rows():
+    """Families of copies with up to a tenth cut or edited, most with a phrase that all share."""
+    r, rows = random.Random(8), []
+    phrase = [f"common{i}" for i in range(12)]
+    for size in (4, 6, 20, 45, 46, 90, 91, 150, 300):
+        for _ in range(6):
+            base = [f"w{r.randint(0, 10**6)}" for _ in range(size)]
+            for _ in range(5):
+                text = base[:len(base) - r.randint(0, size // 7)] + [f"t{r.randint(0, 10**6)}" for _ in range(r.randint(0, size // 16))]
+                if r.random() < 0.4:
+                    text[r.randrange(len(text))] = "edited"
+                rows.append((len(rows), " ".join((phrase if r.random() < 0.7 else []) + text)))
+    return rows
+
+
+def test_near_copies_stage_against_all_pairs_at_five_words(spark):
+    rows = crowded_rows() + [(k + 10_000, t) for k, t in near_families()] + [(90_000, None), (90_001, " ")]
+    df = spark.createDataFrame([(k, t, "en", "s", 0) for k, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    stays = stays_at_five_words(rows)
+    assert len(stays) < jaccard_join.keep_one(df).count()
+    assert sorted(r["doc_id"] for r in corpus_pipeline.near_copies(spark, df, SMALL).select("doc_id").collect()) == stays
+
+
+def test_regions_at_80_hold_every_linked_pair_when_popular_ones_are_left():
+    r, n_linked, left = random.Random(2), 0, 0
+    for _ in range(3_000):
+        n = r.choice([1, 2, 4, 5, 6, 9, 10, 14, 20, 30, 44, 45, 100, 300])
+        pool = np.unique(np.array([r.getrandbits(64) for _ in range(n + 80)], np.uint64))
+        x, y = pool[:n], pool[r.randint(0, n // 9):n + r.randint(0, n // 6)]
+        x, y = r.sample(list(x), len(x)), list(y)
+        x, y = np.sort(np.array(x[:len(x) - r.randint(0, n // 12)], np.uint64)), np.array(y, np.uint64)
+        both = len(np.intersect1d(x, y))
+        if 100 * both < 80 * (len(x) + len(y) - both):
+            continue
+        n_linked += 1
+        assert len(np.intersect1d(jaccard_join.region_keys(x, 80), jaccard_join.region_keys(y, 80)))
+        popular, kept = defaultdict(lambda: r.randint(2, 9)), []
+        for s in (x, y):
+            kinds = defaultdict(list)
+            for k, spare in zip(*jaccard_join.regions_of(s, 80), strict=True):
+                kinds[int(spare)].append((-popular[int(k)], int(k)))
+            kept.append({k for spare, found in kinds.items() for _, k in sorted(found)[spare % jaccard_join.SPARE:]})
+            left += sum(spare % jaccard_join.SPARE for spare in kinds)
+        assert kept[0] & kept[1], (len(x), len(y))
+    assert n_linked > 500 and left
+
+
 def test_star_components(spark):
     pairs = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (201, 200)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(pairs, "u bigint, v bigint")).collect()}
