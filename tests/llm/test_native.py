@@ -92,6 +92,35 @@ def test_permutation_is_one(spark):
     assert 1009 / 4 < far < 1009 / 2  # a third for a random order
 
 
+def test_shard_counts_scatter_as_the_conditioned_draw(spark):
+    """Segments of documents of one block each: a source's slots in a shard have the
+    hypergeometric standard deviation, no more and no less."""
+    rows = spark.range(60_000).selectExpr("CASE WHEN id % 4 = 0 THEN 'a' ELSE 'b' END AS source", "id AS key", "4L AS size")
+    mix = mixing.plan_mix(rows, (1, 3), (1, 1), 2, block_words=4, shard_blocks=1_000)
+    counts = defaultdict(Counter)
+    for r in mix.segments.groupBy("shard", "rank").count().collect():
+        counts[r["rank"]][r["shard"]] = r["count"]
+    n = sum(sum(c.values()) for c in counts.values())
+    assert n == 60_000 and sum(counts[0].values()) == 15_000
+    for rank, share in ((0, 0.25), (1, 0.75)):
+        want = 1_000 * share * (1 - share) * (n - 1_000) / (n - 1)
+        found = sum((counts[rank][s] - 1_000 * share) ** 2 for s in range(60)) / 60
+        assert 0.55 < found / want < 1.6, (found, want)
+
+
+def test_slots_are_dealt_by_a_permutation(spark):
+    for n in (1, 2, 7, 1009, 100_003):
+        row = spark.range(n).withColumn("place", F.expr(mixing.dealt_place("id", n))).agg(F.countDistinct("place").alias("n"), F.min("place").alias("a"), F.max("place").alias("b")).first()
+        assert tuple(row) == (n, 0, n - 1)
+    for n in (40 * 4_096, 100 * 4_096 + 17):
+        counted = (spark.range(n).withColumn("place", F.expr(mixing.dealt_place("id", n))).filter(F.col("id") < n // 4_096 * 4_096)
+                   .groupBy(F.expr("id div 4096").alias("shard")).agg(*[F.sum((F.expr(f"place * 4 div {n}") == q).cast("int")).alias(f"q{q}") for q in range(4)]).collect())
+        for q in range(4):
+            mean = sum(r[f"q{q}"] for r in counted) / len(counted)
+            found = math.sqrt(sum((r[f"q{q}"] - mean) ** 2 for r in counted) / len(counted))
+            assert 18 < found < 38, (n, q, found)  # about 27.5 wanted
+
+
 def test_mixed_documents_hold_the_taken_words(docs, data, nothing):
     mixed = mixing.mixed_documents(docs, (5, 2, 1), block_words=16)
     assert mixed.columns == docs.columns
