@@ -13,14 +13,15 @@ A global ``row_number()`` window moves every row into one task. Instead:
    the same bounded metadata ``zipWithIndex`` gathers — and turn them into
    per-partition offsets on the driver;
 4. number = offset + position within the (partition, group) run + start: a
-   projection over the written table with a literal array of offsets by
-   partition, or, in grouped form, a hash lookup in the broadcast offsets.
+   projection over the written table with one literal array of offsets by
+   partition and group, so the planner still knows the table's file size.
 
 The data itself moves once.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from functools import reduce
 
@@ -85,19 +86,25 @@ def dense_number_counted(df: DataFrame, order: Sequence[str | Column], id_col: s
         running[g] = running.get(g, 0) + r["n"]
     if not base:
         return pinned.select(*[col(c) for c in df.columns], F.lit(None).cast("bigint").alias(id_col)), {}
-    if not groups:
-        offsets = [0] * (max(k[0] for k in base) + 1)
-        for k, v in base.items():
-            offsets[k[0]] = v
-        off = F.element_at(F.array(*[F.lit(v).cast("bigint") for v in offsets]), (pid + 1).cast("int"))
-        number = (off + pos + F.lit(start)).cast("bigint")
-        return pinned.select(*[col(c) for c in df.columns], number.alias(id_col)), running
-    # Grouped: one row per (partition, group), the same bounded metadata, met by a hash lookup.
-    schema = T.StructType([T.StructField("__opid", T.LongType()), *[
-        T.StructField(f"__og{i}", pinned.select(g).schema[0].dataType) for i, g in enumerate(gcols)], T.StructField("__off", T.LongType())])
-    offsets = F.broadcast(spark.createDataFrame([(*k, v) for k, v in base.items()], schema))
-    placed = pinned.withColumn("__pid", pid)
-    same = [F.col("__pid") == F.col("__opid"), *[g.eqNullSafe(F.col(f"__og{i}")) for i, g in enumerate(gcols)]]
-    number = (F.col("__off") + pos + F.lit(start)).cast("bigint")
-    joined = placed.join(offsets, reduce(lambda x, y: x & y, same), "left")
-    return joined.select(*[col(c) for c in df.columns], number.alias(id_col)), running
+    # One flat literal, place = partition x groups + group: the same bounded metadata,
+    # and the result stays a projection whose size the planner reads from the files.
+    kinds = sorted({k[1:] for k in base}, key=repr)
+    place = {g: i for i, g in enumerate(kinds)}
+    offsets = [0] * ((max(k[0] for k in base) + 1) * len(kinds))
+    for k, v in base.items():
+        offsets[k[0] * len(kinds) + place[k[1:]]] = v
+    slot = pid * len(kinds) + _place_of(gcols, pinned.select(*groups).schema, kinds) + 1
+    # Read once when the plan is made (constant folding), whatever its length.
+    off = F.element_at(F.from_json(F.lit(json.dumps(offsets)), "array<bigint>"), slot.cast("int"))
+    number = (off + pos + F.lit(start)).cast("bigint")
+    return pinned.select(*[col(c) for c in df.columns], number.alias(id_col)), running
+
+
+def _place_of(gcols: list[Column], schema: T.StructType, kinds: list[tuple]) -> Column:
+    """Place (from 0) of a row's group in ``kinds``; nulls are equal."""
+    found = F.lit(0)
+    for i, values in enumerate(kinds):
+        if i:  # the first group is what no other case names
+            same = [g.eqNullSafe(F.lit(v).cast(f.dataType)) for g, v, f in zip(gcols, values, schema.fields)]
+            found = F.when(reduce(lambda x, y: x & y, same), F.lit(i)).otherwise(found)
+    return found
