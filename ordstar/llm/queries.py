@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordstar.llm import bpe, fingerprints, jaccard_join, lang_id, lm_scoring, mixing, quality, sharding, token_counts, url_filter
+from ordstar.llm import (alignment, bpe, fingerprints, html_extract, jaccard_join, lang_id, lm_scoring, mixing, quality, sharding, token_counts,
+                         url_filter, whitening)
 from ordstar.llm.common import documents, id_crc, text_or_empty
 
 #: Rules of the url query: (host, path, verdict).
@@ -94,6 +95,26 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as f:
+        spec = f.read()
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:
+        model = f.read()
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return alignment.align_corpus(docs, spec, model, keep_text=False)
+
+
+def op12_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = documents(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.extract(pages).select("page_id", "url", "text", "n_chars")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(documents(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    # Null where the exact number is beyond a long.
+    return white.select("vec_id", "component", "n", F.col("deviation").try_cast("bigint").alias("deviation"), "whitened", "explained", "identity_error")
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_mix_sources": op2_mix_sources,
@@ -105,4 +126,7 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_fingerprints": op9_fingerprints,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_alignment": op11_alignment,
+    "op12_html_extract": op12_html_extract,
+    "op13_whitening": op13_whitening,
 }

@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.01"
 
 def test_all_are_registered():
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
-    assert sorted({int(n[2:].split("_")[0]) for n in QUERIES}) == list(range(1, 11))
+    assert sorted({int(n[2:].split("_")[0]) for n in QUERIES}) == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES) and set(ORACLES) <= set(entry.oracle_sql())
 
 
