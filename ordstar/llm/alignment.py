@@ -47,21 +47,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordstar.llm.common import without
-from ordstar.llm.token_counts import _SYMBOL, Memory
+from ordstar.llm.token_counts import _SYMBOL, PIECES, Memory
 from ordstar.session import materialize, ship_package
 
 #: Distinct stretches that each half of a worker's memory holds, and their longest length.
 REMEMBERED = 150_000
 REMEMBERED_CHARS = 64
 #: Characters worked off at once.
-PART_CHARS = 1_000_000
+PART_CHARS = 500_000
 #: Pairs whose counts go with the job (17 bytes each).
 HEAVY = 1 << 17
 
 #: Before a single space between visible characters.
 _CUT = re.compile(r"(?<=[!-~\w])(?= [!-~\w])")
-#: A stretch that such a place may precede, and one that it may follow.
-_JOINS, _ENDS = re.compile(r" [!-~\w]"), re.compile(r"[!-~\w]\Z")
+#: A stretch that such a place may both precede and follow.
+_JOINS = re.compile(r" [!-~\w](?:.*[!-~\w])?\Z", re.DOTALL).match
 #: Characters of stretches encoded in one call of the libraries.
 JOINED_CHARS = 4_096
 _ALIGNERS: dict = {}
@@ -85,16 +85,39 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_proto=model)
         byte_of = {s: bytes([v]) for v, s in _SYMBOL.items()}
-        vocab = json.loads(spec)["model"]["vocab"]
+        model_a = json.loads(spec)["model"]
+        vocab = model_a["vocab"]
         self.a_bytes = [b""] * (max(vocab.values()) + 1)
         for token, i in vocab.items():
             self.a_bytes[i] = b"".join(byte_of.get(c, c.encode("latin-1", "replace")) for c in token)
         self.b_bytes = [self._piece_bytes(i) for i in range(self.b.get_piece_size())]
         self.written = np.array([str(i) for i in range(max(len(self.a_bytes), len(self.b_bytes)))], dtype=object)
+        self.ranked = self._ranked(model_a)
         #: A pair travels as A id times the number of B ids plus B id.
         self.packing = "<u4" if len(self.a_bytes) * len(self.b_bytes) < 1 << 32 else "<i8"
         self.memory = Memory(REMEMBERED)
 
+    def _ranked(self, model: dict):
+        """The rank encoder of A's vocabulary, where merges go in the order of the ids they
+        make (they are ranks then); else None. It gives the same ids, sooner."""
+        import tiktoken
+
+        pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
+        made = [model["vocab"][left + right] for left, right in pairs]
+        if made != sorted(set(made)):
+            return None
+        ranks = {token: i for i, token in enumerate(self.a_bytes) if token}
+        return tiktoken.Encoding("a", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})
+
+    def encode_a(self, texts: list[str]) -> list[list[int]]:
+        """Up to U+024F letters and digits are the same in every Unicode version, so the
+        rank encoder may split such texts; all others are the library's."""
+        slow = texts if self.ranked is None else [t for t in texts if max(t, default="") >= "\u0250"]
+        ids = iter([e.ids for e in self.a.encode_batch(slow, add_special_tokens=False)] if slow else [])
+        if self.ranked is None:
+            return list(ids)
+        return [next(ids) if max(t, default="") >= "\u0250" else self.ranked.encode_ordinary(t) for t in texts]
+
     def _piece_bytes(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
         if self.b.is_byte(i):
@@ -119,7 +142,7 @@ class Aligner:
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]], list[bool]]:
         """Both sides' ids of texts that start with the space which both read, and
         whether both spell the text (no ids where not)."""
-        a = [e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)]
+        a = self.encode_a(texts)
         b = self.b.encode([t[1:] for t in texts], num_threads=1)
         right = []
         for i, t in enumerate(texts):
@@ -136,7 +159,7 @@ class Aligner:
         # Stretches that may stand next to each other in a text are encoded as one text.
         rows, members = [], []
         for i, t in enumerate(texts):
-            joins = _JOINS.match(t) is not None and not _ENDS.search(t) is None
+            joins = _JOINS(t) is not None
             if joins and members and members[-1][1] and len(rows[-1]) < JOINED_CHARS:
                 rows[-1] += t
                 members[-1][0].append(i)
@@ -240,20 +263,19 @@ def align_texts(al: Aligner, texts: list[str | None], details: bool = False, siz
         cut = [(doc, _CUT.split(part)) for doc, part in waiting]
         known = al.stretches([t for _, ts in cut for t in ts])
         for doc, ts in cut:
-            found = [known[t] for t in ts]
-            groups = ";".join([s.groups for s in found])
+            texts_groups, n_a, n_b, links, overlaps, right = zip(*map(known.__getitem__, ts))
+            groups = ";".join(texts_groups)
             doc.sha.update((";" if doc.any else "").encode() + groups.encode("ascii"))
             doc.any = True
-            doc.right = doc.right and all([s.right for s in found])
-            doc.links.append(np.frombuffer(b"".join([s.links for s in found]), dtype=np.int64))
+            doc.right = doc.right and all(right)
+            doc.links.append(np.frombuffer(b"".join(links), dtype=np.int64))
             if details:
                 doc.groups.append(groups)
-                for s in found:
-                    doc.overlaps.append(np.frombuffer(s.overlaps, dtype=np.int32).reshape(-1, 2) + [doc.n_a, doc.n_b])
-                    doc.n_a, doc.n_b = doc.n_a + s.n_a, doc.n_b + s.n_b
-            else:
-                doc.n_a += sum([s.n_a for s in found])
-                doc.n_b += sum([s.n_b for s in found])
+                first_a, first_b = doc.n_a, doc.n_b
+                for pairs, a, b in zip(overlaps, n_a, n_b):
+                    doc.overlaps.append(np.frombuffer(pairs, dtype=np.int32).reshape(-1, 2) + [first_a, first_b])
+                    first_a, first_b = first_a + a, first_b + b
+            doc.n_a, doc.n_b = doc.n_a + sum(n_a), doc.n_b + sum(n_b)
 
     done: list[Aligned] = []
     waiting: list[tuple[Aligned, str]] = []
