@@ -163,24 +163,46 @@ def regions_of(x: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(out), np.concatenate(spares)
 
 
+def key_bits(rows: int) -> int:
+    """Bits of a region's key: enough for 256 regions a row with a chance of one in 64
+    that a key meets another's. Regions that meet only make candidates, and every
+    candidate is verified, so a narrower key costs no result and saves shuffle."""
+    return min(64, max(rows, 1).bit_length() + 14)
+
+
+def narrowed(keys: np.ndarray, spares: np.ndarray, drop: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+    """Keys without their lowest bits. Where two keys of one set meet, the set may leave
+    that many regions less."""
+    keys = keys >> drop
+    met = len(keys) - len(np.unique(keys))
+    return keys, spares - np.minimum(spares % SPARE, met).astype(np.int32) if met else spares
+
+
 def sketch(df: DataFrame, key: str, text: str, n: int, percent: int) -> DataFrame:
     """(``id``, ``mark``, ``n_shingles``, ``node``, ``regions``) of every row, below
-    ``CROWDED`` percent also ``spares``."""
+    ``CROWDED`` percent also ``spares``. A set that a task has had before has its regions
+    in the first row only."""
     crowded = percent < CROWDED
+    drop = np.uint64(64 - key_bits(df.count()))
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        seen: set[bytes | None] = set()
         for batch in batches:
             sets = [shingle_set(t, n) for t in batch.column(2).to_pylist()]
-            found = [regions_of(x, percent) for x in sets]
+            names = [set_key(x) if len(x) else None for x in sets]
+            found = []
+            for x, name in zip(sets, names):
+                found.append(narrowed(*regions_of(x[:0] if name in seen else x, percent), drop))
+                seen.add(name)
             flat = np.concatenate([*[k for k, _ in found], np.zeros(0, np.uint64)]).view(np.int64)
             spares = np.concatenate([*[s for _, s in found], np.zeros(0, np.int32)])
             ends = pa.array(np.cumsum([0, *[len(k) for k, _ in found]]).astype(np.int32))
             lists = [pa.ListArray.from_arrays(ends, pa.array(a)) for a in ([flat, spares] if crowded else [flat])]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(1), pa.array([len(x) for x in sets], pa.int64()),
-                pa.array([set_key(x) if len(x) else None for x in sets], pa.binary()),
+                pa.array(names, pa.binary()),
                 *lists], ["id", "mark", "n_shingles", "node", "regions", "spares"][:4 + len(lists)])
 
     kind = df.schema[key].dataType.simpleString()
@@ -357,13 +379,13 @@ def jaccard_components(df: DataFrame, key: str = "doc_id", text: str = "text", n
     ship_package(spark)
     rows = materialize(sketch(df, key, text, n, percent), "shingle-rows")
     named = rows.filter("node IS NOT NULL")
-    lists = [c for c in ("regions", "spares") if c in rows.columns]
-    nodes = named.groupBy("node").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in lists])
+    nodes = named.groupBy("node").agg(F.min("id").alias("id"))
     short = F.conv(F.substring(F.hex("node"), 1, 15), 16, 10).cast("bigint")
+    # Equal sets of different tasks name the same node twice, which changes nothing below.
     if percent < CROWDED:
-        members = _rare_regions(nodes.select(short.alias("short"), F.inline(F.arrays_zip("regions", "spares"))))
+        members = _rare_regions(named.select(short.alias("short"), F.inline(F.arrays_zip("regions", "spares"))))
     else:
-        members = nodes.select(short.alias("short"), F.explode("regions").alias("region"))
+        members = named.select(short.alias("short"), F.explode("regions").alias("region"))
     shared = members.groupBy("region").agg(F.min("short").alias("v"), F.max("short").alias("other")).filter("v < other").drop("other")
     related = members.join(shared, "region").filter("short <> v").select(F.col("short").alias("u"), "v").distinct()
     groups = components(related)
@@ -398,13 +420,14 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", n: int = 3,
 
 
 def _rare_regions(members: DataFrame) -> DataFrame:
-    """(``short``, ``region``) without the regions of one node and without each node's
+    """(``short``, ``region``) without the regions of one row and without each node's
     most popular regions, as many as it may leave of a kind. Equal counts are ordered by region,
-    the same for all nodes."""
+    the same for all nodes (a node that stands here several times counts several
+    times, for all alike)."""
     members = members.withColumnRenamed("regions", "region")
     popular = members.groupBy("region").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     order = Window.partitionBy("short", "spares").orderBy(F.col("n").desc(), "region")
-    ranked = members.join(popular, "region").withColumn("nth", F.row_number().over(order))
+    ranked = members.join(popular, "region").withColumn("nth", F.dense_rank().over(order))
     return materialize(ranked.filter(F.col("nth") > F.col("spares") % SPARE).select("short", "region"), "rare-regions")
 
 

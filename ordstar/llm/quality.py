@@ -145,11 +145,11 @@ def judge(measured: DataFrame, cutoffs: DataFrame, stratum: str) -> DataFrame:
 
 def quality_filter(df: DataFrame, labels: DataFrame, key: str = "doc_id", stratum: str = "lang", text: str = "text",
                    keep_text: bool = True, risk: float = RISK, miss: float = MISS) -> DataFrame:
-    """Measures, ``rejected_by`` and ``kept`` of every row. The measured rows are
-    written once (without their text unless ``keep_text``) and read for both
-    the cutoffs and the verdicts."""
-    measured = measure(df, text)
-    if not keep_text:
-        measured = measured.drop(text)
-    measured = materialize(measured, "measured")
+    """Measures, ``rejected_by`` and ``kept`` of every row. The measures are written once
+    and read for both the cutoffs and the verdicts; with ``keep_text`` they are taken
+    twice instead, so that no second copy of the texts is written."""
+    if keep_text:
+        cutoffs = fit_cutoffs(measure(df, text).drop(text), labels, key, stratum, risk, miss)
+        return judge(measure(df, text), cutoffs, stratum)
+    measured = materialize(measure(df, text).drop(text), "measured")
     return judge(measured, fit_cutoffs(measured, labels, key, stratum, risk, miss), stratum)
