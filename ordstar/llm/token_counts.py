@@ -15,9 +15,12 @@ table of bounded size in each Python worker). Truncation (the longest prefix
 within a budget) walks the stored totals and asks the tables of one chunk only.
 
 A prefix that ends inside a chunk is counted as the library counts that prefix
-on its own: its white-space run and a cut contraction split differently at a
-text's end, so such a chunk's prefixes are cut into pieces anew, each piece's
-count still coming from its table.
+on its own. A white-space run and a cut contraction split differently at a text's
+end, so the one or two pieces at the prefix's end are cut anew; a piece that ends
+two characters earlier stays as it is, and a long piece's prefixes come from its table.
+Truncation adds up piece totals to where the budget is crossed and looks at the
+prefixes of the pieces there, so its time goes with the text's length whatever
+white space the text has.
 
 Defined cases: null text counts as empty (0 tokens); special-token strings
 inside a text are one token, as the library does by default; repeated rows are
@@ -28,7 +31,9 @@ from __future__ import annotations
 
 import json
 import re
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -41,6 +46,12 @@ from ordstar.session import ship_package
 #: Distinct chunks, pieces or token pairs that each half of a memory holds.
 REMEMBERED = 250_000
 
+#: Chunks with more characters than this are not remembered.
+REMEMBERED_CHARS = 64
+
+#: Pieces with more characters than this have their prefixes looked up in one table.
+SHORT_PIECE = 16
+
 #: Pieces with more byte symbols than this are counted bottom up, not remembered.
 LONG_PIECE = 200
 
@@ -102,6 +113,7 @@ class PrefixCounter:
         self.edges: dict[tuple[str, bool], list[tuple[str, float]]] = {}
         self.heads = {t[:i] for t in vocab for i in range(1, len(t) + 1)}
         self.stays, self.endings, self.chunks = Memory(), Memory(), Memory()
+        self.last_piece: tuple[str, list[int]] = ("", [])
 
     def edge(self, token: str, right: bool) -> list[tuple[str, float]]:
         """The symbols that stand at a token's right (or left) edge while it is
@@ -167,7 +179,12 @@ class PrefixCounter:
 
     def piece_counts(self, piece: str) -> list[int]:
         """Counts of the piece's prefixes of 1, 2, ... byte symbols, bottom up;
-        time and memory go with the piece's length."""
+        time and memory go with the piece's length. The last long piece's stay."""
+        if self.last_piece[0] != piece:
+            self.last_piece = (piece, self._piece_counts(piece))
+        return self.last_piece[1]
+
+    def _piece_counts(self, piece: str) -> list[int]:
         vocab, heads, stays = self.vocab, self.heads, self.pair_stays
         last: list[str] = [""]
         found = [0]
@@ -196,10 +213,18 @@ class PrefixCounter:
             return [p.encode("utf-8").decode("latin-1").translate(_SYMBOL) for p in self.pattern.findall(text)]
         return [p for p, _ in self.cut(text)]
 
+    def spans_of(self, text: str) -> list[tuple[int, int, str]]:
+        """``pieces_of`` with the characters from and to which each piece goes."""
+        if text and max(text) < "\u0250":
+            return [(m.start(), m.end(), m.group().encode("utf-8").decode("latin-1").translate(_SYMBOL)) for m in self.pattern.finditer(text)]
+        return [(start, end, p) for p, (start, end) in self.cut(text)]
+
     def chunk_total(self, chunk: str) -> int:
         total = self.chunks.find(chunk)
         if total is None:
-            total = self.chunks.keep(chunk, sum(self.piece_total(p) for p in self.pieces_of(chunk)))
+            total = sum(self.piece_total(p) for p in self.pieces_of(chunk))
+            if len(chunk) <= REMEMBERED_CHARS:
+                self.chunks.keep(chunk, total)
         return total
 
     def sections(self, text: str) -> Iterator[tuple[str, bool]]:
@@ -228,9 +253,46 @@ class PrefixCounter:
     def total(self, text: str) -> int:
         return sum(1 if special else self.ordinary(part) for part, special in self.sections(text))
 
+    def totals_before(self, spans: list[tuple[int, int, str]]) -> list[int]:
+        """Tokens of the pieces before each piece, and of all of them."""
+        return [0, *accumulate(self.piece_total(p) for *_, p in spans)]
+
+    def prefixes_to(self, chunk: str, spans: list[tuple[int, int, str]], before: list[int], k: int) -> list[int]:
+        """Counts of the chunk's prefixes that end inside or with piece ``k``."""
+        def anew(first: int, end: int) -> int:
+            # Pieces before ``first`` end two characters or more before the prefix does.
+            return before[first] + sum(self.piece_total(p) for p in self.pieces_of(chunk[spans[first][0]:end]))
+
+        start, end, piece = spans[k]
+        out = [anew(max(k - 1, 0), start + 1)]
+        if end - start <= SHORT_PIECE:
+            return out + [anew(k, i) for i in range(start + 2, end + 1)]
+        # A prefix of a long piece is one piece, whose count stands in the table.
+        counts, symbols = self.piece_counts(piece), 0
+        for i in range(start, end):
+            symbols += len(chunk[i].encode("utf-8"))
+            if i > start:
+                out.append(before[k] + counts[symbols - 1])
+        return out
+
     def prefix_in_chunk(self, chunk: str) -> list[int]:
         """Counts of the chunk's prefixes of 1, 2, ... characters."""
-        return [sum(self.piece_total(p) for p in self.pieces_of(chunk[:i])) for i in range(1, len(chunk) + 1)]
+        spans = self.spans_of(chunk)
+        before = self.totals_before(spans)
+        return [n for k in range(len(spans)) for n in self.prefixes_to(chunk, spans, before, k)]
+
+    def fit_in_chunk(self, chunk: str, budget: int) -> int:
+        """Characters of the chunk's longest prefix within the budget. No prefix has
+        less tokens than the pieces that end two characters before it, so the
+        search goes down from the last piece that this leaves open."""
+        spans = self.spans_of(chunk)
+        before = self.totals_before(spans)
+        for k in range(min(bisect_right(before, budget), len(spans) - 1), -1, -1):
+            counts = self.prefixes_to(chunk, spans, before, k)
+            for i in range(len(counts) - 1, -1, -1):
+                if counts[i] <= budget:
+                    return spans[k][0] + i + 1
+        return 0
 
     def prefix_counts(self, text: str) -> list[int]:
         """The token count of every prefix of 1, 2, ... characters. A special
@@ -268,8 +330,7 @@ class PrefixCounter:
                 if used + t <= budget:
                     best = done + len(c)
                 elif used <= budget:
-                    inside = self.prefix_in_chunk(c)
-                    best = max([best, *(done + i for i, x in enumerate(inside, 1) if used + x <= budget)])
+                    best = max(best, done + (0 if special else self.fit_in_chunk(c, budget - used)))
                 if used > budget:
                     return best
                 used += t
