@@ -12,9 +12,10 @@ beside a matrix of log probabilities with a column per language, so one binary s
 per symbol serves every language. A key no language has seen falls back to the
 context's backoff weight and the next shorter key.
 
-Fit. A bounded sample of labelled rows: per language the ``PER_LANGUAGE`` rows (fewer when there
-are very many languages: ``MOST_ROWS`` in all) with the lowest hash of id and text,
-among those of at most ``MOST_CHARS`` characters. Four fifths are
+Fit. A bounded sample of labelled texts: per language the ``PER_LANGUAGE`` distinct texts (fewer when there
+are very many languages: ``MOST_ROWS`` in all) with the lowest hash; copies count once,
+whatever their ids. A text of more than ``MOST_CHARS`` characters gives that many
+of them, from a place its hash chooses, so a language of long texts is learned as well. Four fifths are
 counted, one task per language; the rest calibrate. Prediction covers all rows and whole texts.
 
 Calibration. ``score`` is the posterior under equal priors with cross-entropies
@@ -179,14 +180,16 @@ def fit(languages: list[str], counted: dict[str, tuple[np.ndarray, np.ndarray]],
 
 
 def _sample(train: DataFrame, per_language: int) -> DataFrame:
-    """(lang, text, fold) of a language's rows with the lowest hash, each distinct
-    row once, written to the shared folder. The window ranks narrow rows and Spark
-    cuts its groups before the shuffle."""
-    small = train.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= MOST_CHARS))
-    tagged = small.withColumn("h", F.xxhash64("key", "text"))
+    """(lang, text, fold) of a language's distinct texts with the lowest hash, written to
+    the shared folder. Equal texts meet before they are ranked; the window ranks narrow
+    rows and Spark cuts its groups before the shuffle."""
+    tagged = train.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text", F.xxhash64("text").alias("h"))
+    spare = F.length("text") - MOST_CHARS
+    piece = F.when(spare > 0, F.col("text").substr((F.pmod(F.xxhash64("h"), F.greatest(spare, F.lit(1))) + 1).cast("int"), F.lit(MOST_CHARS))).otherwise(F.col("text"))
+    tagged = tagged.withColumn("text", piece)
     order = Window.partitionBy("lang").orderBy("h")
-    picked = tagged.select("lang", "h").withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= per_language)
-    picked = materialize(picked.groupBy("lang", "h").agg(F.min("nth").alias("nth")), "lang-picked")
+    distinct = tagged.select("lang", "h").distinct()
+    picked = materialize(distinct.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= per_language), "lang-picked")
     found = tagged.join(picked, ["lang", "h"]).groupBy("lang", "h").agg(F.first("text").alias("text"), F.min("nth").alias("nth"))
     return materialize(found.select("lang", "text", (F.col("nth") % 5).alias("fold")), "lang-sample")
 
