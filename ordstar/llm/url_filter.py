@@ -112,6 +112,9 @@ def match_rules(probes: DataFrame, rules: DataFrame, sweep_rows: int = SWEEP_ROW
         marks.join(salts, "rev").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
         .select("rev", "salt", "key", "side", "depth", F.coalesce("top", F.struct(none.alias("host"), none.alias("rpath"), none.alias("verdict"))).alias("top"),
                 none.alias("host"), none.alias("path")))
+    # Dealt by host and salt, whatever dealt the rows before: all salts of a host that
+    # ends most names must not be one task.
+    swept = swept.repartition("rev", "salt")
     sweep = Window.partitionBy("rev", "salt").orderBy("key", "side", "depth").rowsBetween(Window.unboundedPreceding, 0)
     found = (swept.withColumn("top", F.last("top", ignorenulls=True).over(sweep))
              .filter((F.col("side") == 2) & F.col("top.host").isNotNull()))
