@@ -14,6 +14,8 @@ such order whatever its size, so a batch and a stream with one arrival agree. He
    continuing after the saved counter of each type; names get a fake from a
    salted SHA-256 pick, and values whose fake collides get a rank suffix, so
    the mapping is injective and reproducible;
+   A saved mapping is a DataFrame, or a state of keyed storage (``sources.keyed_store``)
+   that answers by key: then only the values at hand move, not the mapping;
 4. the mapping is written once (it is the saved state) and looked up: a
    broadcast lookup per column when its written size is within the broadcast
    threshold, otherwise one join of unpivoted ``(row, column, value)`` cells
@@ -149,26 +151,38 @@ def empty_id_map(spark) -> DataFrame:
     return spark.createDataFrame([], "original string, fake string, id_type string")
 
 
+def is_keyed(mapping) -> bool:
+    """Whether a saved mapping answers by key instead of being a DataFrame."""
+    return hasattr(mapping, "lookup")
+
+
+def _missing(first: DataFrame, existing) -> DataFrame:
+    return existing.missing(first) if is_keyed(existing) else first.join(existing.select("original"), "original", "left_anti")
+
+
+def suffix_numbers(entries: DataFrame) -> DataFrame:
+    """``(__base, __n)``: suffix numbers used per base by saved fakes ("base" counts as 1)."""
+    m = F.regexp_extract(F.col("anonymized"), r"^(.*) (\d+)$", 2)
+    return entries.select(
+        F.when(m != "", F.regexp_extract(F.col("anonymized"), r"^(.*) (\d+)$", 1)).otherwise(F.col("anonymized")).alias("__base"),
+        F.when(m != "", m.cast("bigint")).otherwise(F.lit(1)).alias("__n"))
+
+
 def build_name_map(first: DataFrame, columns: Sequence[str], existing: DataFrame | None = None, *, salt: str) -> DataFrame:
     """Mapping entries for the values that ``existing`` does not have."""
     spark = first.sparkSession
     existing = existing if existing is not None else empty_name_map(spark)
-    if "category" not in existing.columns:
-        existing = existing.withColumn("category", F.lit(None).cast("string"))
-    new = first.join(existing.select("original"), "original", "left_anti")
+    new = _missing(first, existing)
     category = _by_position([name_category(c) for c in columns], F.col("__j"))
     h = salted_hash(F.col("original"), salt)
     new = new.select("original", category.alias("category"), h.alias("__h"))
     new = new.withColumn("__base", fake_base(F.col("category"), F.col("__h")))
-    # Suffix numbers already used per base by saved fakes ("base" counts as 1).
-    m = F.regexp_extract(F.col("anonymized"), r"^(.*) (\d+)$", 2)
-    used = existing.select(
-        F.when(m != "", F.regexp_extract(F.col("anonymized"), r"^(.*) (\d+)$", 1)).otherwise(F.col("anonymized")).alias("__base"),
-        F.when(m != "", m.cast("bigint")).otherwise(F.lit(1)).alias("__n"))
-    used = used.groupBy("__base").agg(F.max("__n").alias("__used"))
     rank = F.row_number().over(Window.partitionBy("__base").orderBy("__h", "original"))
-    new = (new.join(used, "__base", "left")
-              .withColumn("__n", rank + F.coalesce(F.col("__used"), F.lit(0))))
+    if is_keyed(existing):
+        new = existing.with_used(new)
+    else:
+        new = new.join(suffix_numbers(existing).groupBy("__base").agg(F.max("__n").alias("__used")), "__base", "left")
+    new = new.withColumn("__n", rank + F.coalesce(F.col("__used"), F.lit(0)))
     fake = F.when(F.col("__n") == 1, F.col("__base")).otherwise(
         F.concat_ws(" ", F.col("__base"), F.col("__n").cast("string")))
     return new.select("original", fake.alias("anonymized"), "category")
@@ -186,14 +200,14 @@ def build_id_map(first: DataFrame, columns: Sequence[str], existing: DataFrame |
                  width: int = 6, *, salt: str) -> DataFrame:
     spark = first.sparkSession
     existing = existing if existing is not None else empty_id_map(spark)
-    new = first.join(existing.select("original"), "original", "left_anti")
+    new = _missing(first, existing)
     typ = _by_position([id_type(c) for c in columns], F.col("__j"))
     new = new.withColumn("id_type", typ)
     seq = new.where(F.col("id_type") != "OTHER")
     other = new.where(F.col("id_type") == "OTHER")
     numbered = dense_number(seq, ["__j", "__rk"], id_col="__n", groups=["id_type"])
     # One row per id type: bounded by the handful of types, safe to broadcast.
-    counters = F.broadcast(id_counters(existing))
+    counters = F.broadcast(existing.counters() if is_keyed(existing) else id_counters(existing))
     numbered = numbered.join(counters, "id_type", "left").withColumn(
         "__n", F.col("__n") + F.coalesce(F.col("__counter"), F.lit(0)))
     prefix = F.element_at(F.create_map(*[F.lit(x) for kv in ID_PREFIX.items() for x in kv]), F.col("id_type"))
@@ -232,6 +246,8 @@ def apply_mapping(df: DataFrame, columns: Sequence[str], mapping: DataFrame, val
     present = [c for c in columns if c in df.columns]
     if not present:
         return df
+    if is_keyed(mapping):
+        strategy = "unpivot"
     if strategy == "auto":
         limit = broadcast_limit(df.sparkSession)
         strategy = "broadcast" if 0 <= size_in_bytes(mapping) <= limit else "unpivot"
@@ -268,10 +284,13 @@ def _apply_unpivot(df, present, mapping, value_col, strip):
         cells.append(F.when(~blank, F.struct(F.lit(j).alias("j"), key.alias("k"))))
     occ = (x.select("__row", F.explode(F.filter(F.array(*cells), lambda e: e.isNotNull())).alias("e"))
             .select("__row", "e.j", "e.k"))
-    m = mapping.select(F.col("original").alias("k"), F.col(value_col).alias("v"))
     # Distinct values meet the mapping; a hot value's cells go back to it by a
     # join that Spark can split.
-    found = occ.select("k").distinct().join(m, "k")
+    asked = occ.select("k").distinct()
+    if is_keyed(mapping):
+        found = mapping.lookup(asked, "k", value_col, "v")
+    else:
+        found = asked.join(mapping.select(F.col("original").alias("k"), F.col(value_col).alias("v")), "k")
     looked = (occ.join(found, "k", "left")
                  .groupBy("__row").agg(F.map_from_entries(F.collect_list(F.struct("j", "v"))).alias("__m")))
     out = x.join(looked, "__row", "left")
@@ -282,9 +301,22 @@ def _apply_unpivot(df, present, mapping, value_col, strip):
     return out.select(*[repl[c].alias(c) if c in repl else col(c) for c in df.columns])
 
 
-def _with_saved(new: DataFrame, saved: DataFrame | None) -> DataFrame:
+class _NewAndKeyed:
+    """Entries just made, and keyed storage for all others."""
+
+    def __init__(self, new: DataFrame, saved):
+        self.new, self.saved = new, saved
+
+    def lookup(self, keys: DataFrame, key: str, value: str, as_value: str) -> DataFrame:
+        made = keys.join(self.new.select(F.col("original").alias(key), F.col(value).alias(as_value)), key)
+        return self.saved.lookup(keys, key, value, as_value).unionByName(made)
+
+
+def _with_saved(new: DataFrame, saved):
     if saved is None:
         return new
+    if is_keyed(saved):
+        return _NewAndKeyed(new, saved)
     return saved.select(*[c for c in new.columns if c in saved.columns]).unionByName(new, allowMissingColumns=True)
 
 
@@ -342,3 +374,40 @@ def leak_report(masked: DataFrame, columns: Sequence[str], namespace: Sequence[s
     return (unchanged.join(exposed, "column", "left")
                      .select("column", "n_rows", "n_unchanged",
                              F.coalesce(F.col("n_exposed"), F.lit(0)).alias("n_exposed")))
+
+
+# --- originals inside longer values ------------------------------------------------------------
+
+def word_text(c: Column) -> Column:
+    """A value's words, lower-cased, with single spaces between them."""
+    return F.trim(F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]+", " "))
+
+
+def embedded_leaks(outputs: DataFrame, columns: Sequence[str], originals: DataFrame, original: str = "original") -> DataFrame:
+    """Per column of ``outputs``: ``n_rows``, ``n_whole`` (rows whose value is an original) and
+    ``n_inside`` (rows that hold an original's words as a run inside a longer value).
+
+    Originals are indexed by their word run. A value is asked only for runs of lengths
+    that some original has; distinct values are counted before they are taken apart, so a hot
+    value is one row, and no value meets an original it does not hold.
+    """
+    index = originals.select(word_text(col(original).cast("string")).alias("__run")).where(F.col("__run") != "").distinct()
+    words = F.size(F.split("__run", " "))
+    # One number per distinct length of an original.
+    lengths = sorted(r[0] for r in index.select(words).distinct().collect())
+    cells = outputs.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), col(c).cast("string").alias("v")) for c in columns])).alias("r")).select("r.*")
+    rows = cells.groupBy("column").agg(F.count(F.lit(1)).alias("n_rows"))
+    values = cells.where(F.col("v").isNotNull()).groupBy("column", word_text(F.col("v")).alias("__t")).agg(F.count(F.lit(1)).alias("__n"))
+    if not lengths:
+        none = F.lit(0).cast("bigint")
+        return rows.select("column", "n_rows", none.alias("n_whole"), none.alias("n_inside"))
+    w = F.split("__t", " ")
+    runs = F.flatten(F.array(*[F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i, n=n: F.array_join(F.slice(w, i, n), " ")))
+                               .otherwise(F.array().cast("array<string>")) for n in lengths]))
+    asked = values.select("column", "__t", "__n", F.explode(F.array_distinct(runs)).alias("__run"))
+    held = asked.join(index, "__run", "left_semi")
+    each = held.groupBy("column", "__t").agg(F.max("__n").alias("__n"), F.max((F.col("__run") == F.col("__t")).cast("int")).alias("__whole"))
+    found = each.groupBy("column").agg(F.sum(F.when(F.col("__whole") == 1, F.col("__n")).otherwise(0)).alias("n_whole"),
+                                       F.sum(F.when(F.col("__whole") == 0, F.col("__n")).otherwise(0)).alias("n_inside"))
+    zero = F.lit(0).cast("bigint")
+    return rows.join(found, "column", "left").select("column", "n_rows", F.coalesce("n_whole", zero).alias("n_whole"), F.coalesce("n_inside", zero).alias("n_inside"))
