@@ -147,9 +147,12 @@ def quality_filter(df: DataFrame, labels: DataFrame, key: str = "doc_id", stratu
                    keep_text: bool = True, risk: float = RISK, miss: float = MISS) -> DataFrame:
     """Measures, ``rejected_by`` and ``kept`` of every row. The measures are written once
     and read for both the cutoffs and the verdicts; with ``keep_text`` they are taken
-    twice instead, so that no second copy of the texts is written."""
-    if keep_text:
-        cutoffs = fit_cutoffs(measure(df, text).drop(text), labels, key, stratum, risk, miss)
-        return judge(measure(df, text), cutoffs, stratum)
+    again for the verdicts, so that no second copy of the texts is written."""
     measured = materialize(measure(df, text).drop(text), "measured")
-    return judge(measured, fit_cutoffs(measured, labels, key, stratum, risk, miss), stratum)
+    cutoffs = fit_cutoffs(measured, labels, key, stratum, risk, miss)
+    if not keep_text:
+        return judge(measured, cutoffs, stratum)
+    # A condition on the verdict would be carried down into the measures and take them
+    # once for every place that names one; it does not pass a row number.
+    again = judge(measure(df, text).withColumn("__at", F.monotonically_increasing_id()), cutoffs, stratum)
+    return again.withColumn("kept", F.col("kept") & (F.col("__at") >= 0)).drop("__at")
