@@ -402,8 +402,12 @@ def embedded_leaks(outputs: DataFrame, columns: Sequence[str], originals: DataFr
         none = F.lit(0).cast("bigint")
         return rows.select("column", "n_rows", none.alias("n_whole"), none.alias("n_inside"))
     w = F.split("__t", " ")
-    runs = F.flatten(F.array(*[F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i, n=n: F.array_join(F.slice(w, i, n), " ")))
-                               .otherwise(F.array().cast("array<string>")) for n in lengths]))
+
+    def runs_of(n: int) -> Column:
+        cut = F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, n), " "))
+        return F.when(F.size(w) >= n, cut).otherwise(F.array().cast("array<string>"))
+
+    runs = F.flatten(F.array(*[runs_of(n) for n in lengths]))
     asked = values.select("column", "__t", "__n", F.explode(F.array_distinct(runs)).alias("__run"))
     held = asked.join(index, "__run", "left_semi")
     each = held.groupBy("column", "__t").agg(F.max("__n").alias("__n"), F.max((F.col("__run") == F.col("__t")).cast("int")).alias("__whole"))

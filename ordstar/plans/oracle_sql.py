@@ -375,6 +375,9 @@ NAME_CATEGORY = {
     "attributes.sellingManufacturerFacilityName": "manufacturing",
     "attributes.trader": "company",
 }
+CONTACT_CATEGORY = {
+    "attributes.buyerNameContact": "company", "attributes.traderContact": "company", "attributes.manufacturerContact": "manufacturing",
+}
 ID_KIND = {
     "rowId": "PO",
     "produits.nodes.asset.attributes.gtin": "GTIN",
@@ -409,7 +412,7 @@ def name_map_ctes(src: str, columns, salt: str) -> str:
 
     occ = "\nUNION ALL\n".join(
         f"SELECT {j} AS j, {q(c)} AS v, seq FROM nrows WHERE NOT {sql_blank(q(c))}" for j, c in enumerate(columns))
-    cats = " ".join(f"WHEN {j} THEN {sq(NAME_CATEGORY[c])}" for j, c in enumerate(columns))
+    cats = " ".join(f"WHEN {j} THEN {sq((NAME_CATEGORY | CONTACT_CATEGORY)[c])}" for j, c in enumerate(columns))
     h = "h"
     company = (f"{_pick_sql(p.SURNAMES, h, 0)} || ' ' || {_pick_sql(p.SURNAMES, h, 2)} || ' ' || "
                f"{_pick_sql(p.COMPANY_SUFFIXES, h, 1)}")
@@ -752,3 +755,55 @@ def fact_partial_rows_query() -> str:
     cols = [*[f"s.{q(t)} AS {q(safe_name(t))}" for t in ORDER_STAR.fact_text], f"d.{d.key} AS {d.key}",
             *[f"CAST(s.{q(m)} AS DOUBLE) AS {q(safe_name(m))}" for m in ORDER_STAR.measures]]
     return with_staging(f"SELECT {', '.join(cols)} FROM staging s LEFT JOIN {d.name} d ON s.{q(d.join_key)} = d.{q(d.join_key)}", dim_cte(d))
+
+
+def fact_multiplied_query(dim_names) -> str:
+    dims = [ORDER_STAR.dim(n) for n in dim_names]
+    joins = " ".join(f"LEFT JOIN {d.name} d{i} ON s.{q(d.join_key)} = d{i}.{q(d.join_key)}" for i, d in enumerate(dims))
+    order = ", ".join([*[f"s.{c}" for c in LINE_KEY], *[f"d{i}.{d.key}" for i, d in enumerate(dims)]])
+    cols = [f"row_number() OVER (ORDER BY {order}) AS id_fact", *[f"s.{q(t)} AS {q(safe_name(t))}" for t in ORDER_STAR.fact_text],
+            *[f"d{i}.{d.key} AS {d.key}" for i, d in enumerate(dims)], *[f"CAST(s.{q(m)} AS DOUBLE) AS {q(safe_name(m))}" for m in ORDER_STAR.measures]]
+    return with_staging(f"SELECT {', '.join(cols)} FROM staging s {joins}", ",\n".join(dim_cte(d) for d in dims))
+
+
+def explode_cross_rows_query() -> str:
+    return with_staging(f"""
+SELECT 'PO-' || CAST(o_orderkey AS VARCHAR) AS "rowId", {_buyer_sql()} AS buyer_nodes_name, n_name AS buyer_nodes_parentCompany_nodes_name,
+       CASE WHEN r_name = {sq(NO_CONTACT_REGION)} THEN NULL ELSE r_name END AS point_of_contact_nodes_name,
+       a.l_quantity AS produits_nodes_value, b.p_name AS produits_nodes_asset_descriptionShort
+FROM docs LEFT JOIN ln a ON a.l_orderkey = o_orderkey LEFT JOIN ln b ON b.l_orderkey = o_orderkey""", f"{_docs_cte()},\n{_LN}")
+
+
+def pseudo_incremental_both_query(names, ids, salt, cutoff: str) -> str:
+    """Both mappings after two arrivals: early lines, then the others."""
+    body = mapping_state_names_query(names, salt, cutoff)
+    head, tail = body.rsplit("\nSELECT original, anonymized, 0 AS run", 1)
+    tail = tail.replace("1\nFROM (SELECT original, base", "'name'\nFROM (SELECT original, base").replace(" FROM namemap\nUNION", " FROM namemap\nUNION", 1)
+    id_ctes = ",\n".join([id_map_ctes("a", "early", ids, salt), id_map_ctes("b", "staging", ids, salt, prior="amap")])
+    named = "SELECT original, anonymized AS masked, 'name' AS kind" + tail
+    return f"{head},\n{id_ctes}\n{named}\nUNION ALL\nSELECT original, fake, 'id' FROM bmap"
+
+
+def kpi_merged_query() -> str:
+    return with_staging(f"""
+SELECT "type" AS "type", COUNT(*) AS n_lines, {_money_sum(q("produits.nodes.value"))} AS total_value,
+       {_money_sum(q("feedstock.nodes.quantity"))} AS total_quantity, TRUE AS buyers_within_error
+FROM staging GROUP BY 1""")
+
+
+def leak_inside_query() -> str:
+    """By comparing every distinct value with every original, words between spaces."""
+    words = "trim(regexp_replace(lower({}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
+    columns = {"note": "'Sold to ' || COALESCE(\"buyer.nodes.name\", 'nobody') || ', by ' || \"attributes.trader\"",
+               "remark": "'Kind: ' || \"attributes.feedstock\"", "attributes.trader": "\"attributes.trader\""}
+    cells = "\nUNION ALL\n".join(f"SELECT {sq(c)} AS \"column\", {words.format(e)} AS v FROM staging" for c, e in columns.items())
+    return with_staging("""
+SELECT c."column" AS "column", CAST(SUM(n) AS BIGINT) AS n_rows, CAST(SUM(CASE WHEN whole THEN n ELSE 0 END) AS BIGINT) AS n_whole,
+       CAST(SUM(CASE WHEN inside AND NOT whole THEN n ELSE 0 END) AS BIGINT) AS n_inside
+FROM (SELECT c."column", c.v, c.n,
+             EXISTS (SELECT 1 FROM originals o WHERE o.v = c.v) AS whole,
+             EXISTS (SELECT 1 FROM originals o WHERE contains(' ' || c.v || ' ', ' ' || o.v || ' ')) AS inside
+      FROM (SELECT "column", v, COUNT(*) AS n FROM cells GROUP BY ALL) c) c
+GROUP BY 1""", f"""cells AS ({cells}),
+originals AS (SELECT DISTINCT {words.format('x')} AS v FROM (
+  SELECT "buyer.nodes.name" AS x FROM staging UNION SELECT "attributes.trader" FROM staging) t WHERE x IS NOT NULL)""")

@@ -81,3 +81,16 @@ ORACLES.update({
     "replace_table": o.REPLACE_TABLE_SQL,
     "fact_partial_rows": o.fact_partial_rows_query(),
 })
+
+ORACLES.update({
+    "fact_multiplied": o.fact_multiplied_query(_q.MULTIPLIED_DIMS),
+    "explode_cross_rows": o.explode_cross_rows_query(),
+})
+
+ORACLES.update({
+    "mapping_keyed": o.tokenize_resume_query(ID_COLUMNS, SALT, _q.RESUME_CUTOFF),
+    "pseudo_incremental_both": o.pseudo_incremental_both_query(NAME_COLUMNS, ID_COLUMNS, SALT, _q.RESUME_CUTOFF),
+    "kpi_merged": o.kpi_merged_query(),
+    "leak_inside": o.leak_inside_query(),
+    "pseudo_contacts": o.pseudo_names_query((*NAME_COLUMNS, *_q.CONTACT_COLUMNS), SALT),
+})

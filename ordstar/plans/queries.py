@@ -12,10 +12,11 @@ from pyspark.sql.types import ArrayType
 
 from ordstar.functions import text as fn
 from ordstar.functions.text import cols
-from ordstar.operators import clean, kpi, nested, pseudonym, quality, sample, star
+from ordstar.operators import clean, factorised, kpi, nested, pseudonym, quality, sample, star
 from ordstar.operators.numbering import dense_number
 from ordstar.plans import etl, publish
 from ordstar.session import materialize, scratch_path
+from ordstar.sources.keyed_store import KeyedStore
 from ordstar.sources.mapping_store import MappingStore
 from ordstar.streaming import incremental
 from ordstar.sources import json_docs
@@ -74,8 +75,10 @@ VOLUMES = ("type", "produits.nodes.value", "feedstock.nodes.quantity", "attribut
 
 
 def q_kpi_volume(spark, sf_dir):
-    _, dims, fact = _star(spark, sf_dir, False, ("dim_product", "dim_trader"), VOLUMES)
-    return kpi.kpi_volume(fact, dims)
+    # A fact row's product and trader are its staging row's own: no dimension is needed
+    # (``kpi.kpi_volume`` reads them from a star; a test holds both equal).
+    st = staging(spark, sf_dir, [*VOLUMES, "produits.nodes.asset.descriptionShort", "attributes.trader"])
+    return kpi.volume_report(st.withColumnsRenamed({"produits.nodes.asset.descriptionShort": "product", "attributes.trader": "trader"}))
 
 
 def q_volume_by_buyer(spark, sf_dir):
@@ -502,3 +505,107 @@ QUERIES.update({
     "replace_table": q_replace_table,
     "fact_partial_rows": q_fact_partial_rows,
 })
+
+
+# --- rows that multiply ------------------------------------------------------------------
+
+#: Four of the seven dimensions: a line becomes six fact rows (all seven make 29,000 of it).
+MULTIPLIED_DIMS = ("dim_buyer", "dim_trader", "dim_point_of_contact", "dim_manufacturer")
+
+
+def q_fact_multiplied(spark, sf_dir):
+    """Row-level parity load whose rows multiply: factorised, then counted out in
+    tasks of equal size."""
+    chosen = [ORDER_STAR.dim(n) for n in MULTIPLIED_DIMS]
+    st = staging(spark, sf_dir, [*ORDER_STAR.fact_text, *ORDER_STAR.measures, *[a for d in chosen for a in d.attributes]])
+    st = materialize(st, "staging")
+    dims = {d.name: star.build_dimension(st, d) for d in chosen}
+    return safe(factorised.expand(factorised.factorise(st, dims, ORDER_STAR, MULTIPLIED_DIMS)))
+
+
+def q_explode_cross_rows(spark, sf_dir):
+    """The cross explode row by row: every value of an order with every product name
+    of it (the square of its lines), null where a list is empty."""
+    flat, paths = _flat(spark, sf_dir)
+    rows = nested.explode_cross(flat, [p for p in paths if p in nested.array_columns(flat)])
+    return safe(rows.select("rowId", *cols(["buyer.nodes.name", "buyer.nodes.parentCompany.nodes.name", "point_of_contact.nodes.name",
+                                            "produits.nodes.value", "produits.nodes.asset.descriptionShort"])))
+
+
+QUERIES.update({"fact_multiplied": q_fact_multiplied, "explode_cross_rows": q_explode_cross_rows})
+
+
+# --- keyed storage, state that merges, originals inside values ------------------------------------
+
+
+def q_mapping_keyed(spark, sf_dir):
+    """Two runs through keyed storage (early lines, then all), merged after each."""
+    store = KeyedStore(spark, scratch_path(spark, "keyed-store"), buckets=8, fanout=2)
+    ids = id_lines(spark, sf_dir)
+    for rows in (ids.where(F.col("l_shipdate") < F.lit(RESUME_CUTOFF).cast("timestamp_ntz")), ids):
+        state = store.load("id_map")
+        new = pseudonym.pseudonymize(rows, LINE_KEY, id_columns=ID_COLUMNS, salt=SALT, id_map=state)[2]
+        store.write_batch("id_map", new, store.next_batch("id_map"), state)
+    return store.load("id_map").entries()
+
+
+def q_pseudo_incremental_both(spark, sf_dir):
+    """Names and identifiers masked by one stream over keyed storage: lines arrive in
+    two files' worth (before and after the cutoff); both mappings at the end."""
+    root = scratch_path(spark, "incremental-both")
+    st = staging(spark, sf_dir, [*NAME_COLUMNS, *ID_COLUMNS])
+    early = F.col("l_shipdate") < F.lit(RESUME_CUTOFF).cast("timestamp_ntz")
+    store = KeyedStore(spark, f"{root}/mappings", buckets=8)
+    for part in (st.where(early), st.where(~F.coalesce(early, F.lit(False)))):
+        part.write.mode("append").parquet(f"{root}/source")
+        q = incremental.start_masking_stream(spark, f"{root}/source", st.schema, store, f"{root}/masked", f"{root}/checkpoint",
+                                             LINE_KEY, salt=SALT, name_columns=NAME_COLUMNS, id_columns=ID_COLUMNS)
+        q.awaitTermination()
+    found = store.load("name_map").entries().select(F.lit("name").alias("kind"), "original", F.col("anonymized").alias("masked"))
+    return found.unionByName(store.load("id_map").entries().select(F.lit("id").alias("kind"), "original", F.col("fake").alias("masked")))
+
+
+def q_pseudo_contacts(spark, sf_dir):
+    """Names and the contact columns masked in one namespace: the rows with every
+    masked value, so that nothing of the contacts is left."""
+    listed = [*NAME_COLUMNS, *CONTACT_COLUMNS]
+    masked = pseudonym.pseudonymize(staging(spark, sf_dir, ["rowId", *listed]), LINE_KEY, name_columns=listed, salt=SALT)[0]
+    return safe(masked.select("rowId", *cols(listed), *LINE_KEY))
+
+
+KPI_KEYS, KPI_MEASURES = ["type"], ["produits.nodes.value", "feedstock.nodes.quantity"]
+
+
+def q_kpi_merged(spark, sf_dir):
+    """KPIs of two loads, kept as state per load and merged; the estimate of buyers
+    is compared with the exact number, three standard errors allowed."""
+    st = staging(spark, sf_dir, ["type", *KPI_MEASURES, "buyer.nodes.name"])
+    early = F.coalesce(F.col("l_shipdate") < F.lit(RESUME_CUTOFF).cast("timestamp_ntz"), F.lit(False))
+    root = scratch_path(spark, "kpi-states")
+    for load, rows in enumerate((st.where(early), st.where(~early))):
+        kpi.kpi_state(rows, KPI_KEYS, KPI_MEASURES, "buyer.nodes.name").write.parquet(f"{root}/load={load}")
+    merged = kpi.merge_states(spark.read.parquet(root), KPI_KEYS, len(KPI_MEASURES))
+    state = kpi.read_state(merged, KPI_KEYS, ["total_value", "total_quantity"])
+    exact = st.groupBy("type").agg(F.countDistinct(F.col("`buyer.nodes.name`")).alias("__exact"))
+    near = F.abs(F.col("n_buyers") - F.col("__exact")) <= F.greatest(F.lit(1.0), 3 * kpi.SKETCH_ERROR * F.col("__exact"))
+    joined = state.join(exact, state["type"].eqNullSafe(exact["type"]))
+    return joined.select(state["type"], "n_lines", "total_value", "total_quantity", near.alias("buyers_within_error"))
+
+
+def q_leak_inside(spark, sf_dir):
+    """Originals inside longer output values: a note that names the buyer and the
+    trader was left unmasked, another column names nobody."""
+    st = staging(spark, sf_dir, ["buyer.nodes.name", "attributes.trader", "attributes.feedstock"])
+    st = st.withColumn("note", F.concat(F.lit("Sold to "), F.coalesce(F.col("`buyer.nodes.name`"), F.lit("nobody")), F.lit(", by "), F.col("`attributes.trader`")))
+    st = st.withColumn("remark", F.concat(F.lit("Kind: "), F.col("`attributes.feedstock`")))
+    originals = st.select(F.explode(F.array(F.col("`buyer.nodes.name`"), F.col("`attributes.trader`"))).alias("original")).where(F.col("original").isNotNull()).distinct()
+    return pseudonym.embedded_leaks(st, ["note", "remark", "attributes.trader"], originals)
+
+
+QUERIES.update({
+    "mapping_keyed": q_mapping_keyed,
+    "pseudo_incremental_both": q_pseudo_incremental_both,
+    "kpi_merged": q_kpi_merged,
+    "leak_inside": q_leak_inside,
+    "pseudo_contacts": q_pseudo_contacts,
+})

@@ -162,3 +162,13 @@ def test_hot_value_holding_a_third_of_rows(spark):
                     fact_text=("r",), measures=())
     dims, fact = star.build_star(masked, spec, order_key=("r",))
     assert fact.count() == n and dims["d"].count() == 51
+
+
+def test_originals_inside_longer_values(spark):
+    out = spark.createDataFrame([("Sold to Ann-Marie O'Neil, today", "ann  marie o neil"), ("Annmarie Oneil", "x Acme"), (None, "ACME"), ("Acmes", "Acme Corp of Acme Corp"), ("Sold to Ann-Marie O'Neil, today", None)],
+                                "note string, `a.name` string")
+    originals = spark.createDataFrame([("Ann-Marie O'Neil",), ("Acme",), ("Acme Corp",), ("",), ("--",), (None,)], "original string")
+    got = {r["column"]: (r["n_rows"], r["n_whole"], r["n_inside"]) for r in pseudonym.embedded_leaks(out, ["note", "a.name"], originals).collect()}
+    assert got == {"note": (5, 0, 2), "a.name": (5, 2, 2)}
+    none = pseudonym.embedded_leaks(out, ["note"], originals.where("original = '--'")).collect()
+    assert [tuple(r) for r in none] == [("note", 5, 0, 0)]
