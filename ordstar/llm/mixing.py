@@ -170,15 +170,19 @@ def plan_mix(rows: DataFrame, weights: tuple[int, ...], share: tuple[int, int] =
 
 def mix_report(docs: DataFrame, weights: tuple[int, ...], key: str = "doc_id", source: str = "source", text: str = "text", **settings) -> DataFrame:
     """One row per document: ``key``, ``size``, ``source_size``, ``target``, ``taken``
-    (the words the mix takes of it, repeats counted)."""
+    (the words the mix takes of it, repeats counted), ``first_shard`` and ``n_shards``: the
+    first output shard that words of it are dealt to (null for none) and how many there are."""
     rows = docs.select(F.col(f"`{source}`").cast("string").alias("source"), F.col(f"`{key}`").alias("key"),
                        word_count(F.col(f"`{text}`").cast("string")).alias("size"))
     mix = plan_mix(rows, weights, **settings)
-    taken = mix.segments.groupBy("rank", "start").agg(F.sum("words").alias("taken"))
-    listed = (mix.packed.join(taken, ["rank", "start"], "left").select("rank", "key", "size", F.coalesce("taken", F.lit(0)).alias("taken"))
-              .unionByName(mix.rows.filter("size = 0").withColumn("taken", F.lit(0).cast("bigint"))))
+    dealt = mix.segments.groupBy("rank", "start", "shard").agg(F.sum("words").alias("words"))
+    taken = dealt.groupBy("rank", "start").agg(F.sum("words").alias("taken"), F.min("shard").alias("first_shard"), F.count(F.lit(1)).alias("n_shards"))
+    zero = F.lit(0).cast("bigint")
+    listed = (mix.packed.join(taken, ["rank", "start"], "left")
+              .select("rank", "key", "size", F.coalesce("taken", zero).alias("taken"), "first_shard", F.coalesce("n_shards", zero).alias("n_shards"))
+              .unionByName(mix.rows.filter("size = 0").withColumns({"taken": zero, "first_shard": F.lit(None).cast("bigint"), "n_shards": zero})))
     return (listed.join(mix.sources.select("rank", "source_size", "target"), "rank")
-            .select(F.col("key").alias(key), "size", "source_size", "target", "taken"))
+            .select(F.col("key").alias(key), "size", "source_size", "target", "taken", "first_shard", "n_shards"))
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...], key: str = "doc_id", source: str = "source", text: str = "text",

@@ -73,20 +73,26 @@ q0 AS (SELECT rank, ceil(source_size / {block}.0)::BIGINT AS blocks, target, sou
 q1 AS (SELECT rank, blocks, least(round(blocks * target / source_size)::BIGINT, blocks * 2) AS take FROM q0),
 q2 AS (SELECT *, coalesce(sum(take) OVER (ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS first_place FROM q1),
 sl AS (SELECT range AS slot, (SELECT sum(take) FROM q2)::BIGINT AS n_all FROM range((SELECT coalesce(sum(take), 0) FROM q2)::BIGINT)),
-{permuted_sql("pl", "sl", "slot", "slot", "n_all", "1", "place")},
+dk AS (SELECT r, n_all, {_md5_long("n_all || ':' || r")} AS k FROM range({mixing.ROUNDS}) t(r), (SELECT coalesce(sum(take), 0)::BIGINT AS n_all FROM q2) n),
+rd AS (SELECT r, (k % greatest(n_all, 1) + n_all)::BIGINT AS m, (k // 2147483648 % {mixing.SECOND_PRIME})::BIGINT AS h, greatest(n_all, 1)::BIGINT AS n FROM dk),
+pr AS (SELECT slot, slot::BIGINT AS v, 0 AS r FROM sl
+       UNION ALL
+       SELECT slot, CASE WHEN t * t % {mixing.PRIME} * {mixing.MIX_B} % {mixing.SECOND_PRIME} // 512 % 2 = 1 THEN mirror ELSE v END, r + 1
+       FROM (SELECT slot, v, pr.r AS r, (m - v) % n AS mirror, greatest(v, (m - v) % n) % {mixing.SECOND_PRIME} + h AS t FROM pr JOIN rd ON pr.r = rd.r) x),
+pl AS (SELECT slot, v AS place FROM pr WHERE r = {mixing.ROUNDS}),
 dl AS (SELECT slot, rank, blocks, (place - first_place) % blocks AS turn, rank * 4099 + (place - first_place) // blocks * 31 + 7 AS seed
        FROM pl JOIN q2 ON place >= first_place AND place < first_place + take),
 {permuted_sql("bl", "dl", "slot, rank", "turn", "blocks", "seed", "block")},
-times AS (SELECT rank, block, count(*) AS times FROM bl GROUP BY ALL),
 rk AS (SELECT rank, doc_id, size, coalesce({_md5_long('doc_id::VARCHAR')}, 0) % {buckets} AS bucket FROM d JOIN src ON d.source IS NOT DISTINCT FROM src.source WHERE size > 0),
 pk AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY rank ORDER BY bucket, doc_id NULLS FIRST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start,
          row_number() OVER () AS r FROM rk),
 held AS (SELECT *, unnest(range(start // {block}, (start + size - 1) // {block} + 1)) AS block FROM pk),
-taken AS (SELECT r, sum(times * (least(start + size, (block + 1) * {block}) - greatest(start, block * {block})))::BIGINT AS taken
-          FROM held JOIN times USING (rank, block) GROUP BY r),
-every AS (SELECT rank, doc_id, size, coalesce(taken, 0) AS taken FROM pk LEFT JOIN taken USING (r)
-          UNION ALL SELECT rank, doc_id, size, 0 FROM d JOIN src ON d.source IS NOT DISTINCT FROM src.source WHERE size = 0)
-SELECT doc_id, size, source_size, target, taken FROM every JOIN src USING (rank)
+taken AS (SELECT r, sum(least(start + size, (block + 1) * {block}) - greatest(start, block * {block}))::BIGINT AS taken,
+            min(slot // {mixing.SHARD_BLOCKS})::BIGINT AS first_shard, count(DISTINCT slot // {mixing.SHARD_BLOCKS})::BIGINT AS n_shards
+          FROM held JOIN bl USING (rank, block) GROUP BY r),
+every AS (SELECT rank, doc_id, size, coalesce(taken, 0) AS taken, first_shard, coalesce(n_shards, 0) AS n_shards FROM pk LEFT JOIN taken USING (r)
+          UNION ALL SELECT rank, doc_id, size, 0, NULL, 0 FROM d JOIN src ON d.source IS NOT DISTINCT FROM src.source WHERE size = 0)
+SELECT doc_id, size, source_size, target, taken, first_shard, n_shards FROM every JOIN src USING (rank)
 """
 
 
