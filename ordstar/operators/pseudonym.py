@@ -118,16 +118,20 @@ def salted_hash(original: Column, salt: str) -> Column:
 
 def first_seen(rows: DataFrame, order: Sequence[str], columns: Sequence[str], strip: bool) -> DataFrame:
     """``(original, __j, __rk)``: first occurrence of each non-blank value over
-    ``columns``: position of the column in the list, then the row's ``order`` key."""
+    ``columns``: position of the column in the list, then the row's ``order`` key.
+    Without an ``order`` only the column (a name's category asks for no more, and the
+    smallest of a number per value is a hash aggregate, of a row key a sorted one)."""
     present = [c for c in columns if c in rows.columns]
     occ = F.explode(F.array(*[
         F.struct(F.lit(columns.index(c)).alias("j"), col(c).cast("string").alias("v")) for c in present]))
-    key = F.struct(*[col(c).alias(f"k{i}") for i, c in enumerate(order)])
+    key = F.struct(*[col(c).alias(f"k{i}") for i, c in enumerate(order)]) if order else F.lit(None)
     x = rows.select(key.alias("__rk"), occ.alias("o")).select("__rk", "o.j", "o.v")
     if strip:
         x = x.where(~_id_blank(F.col("v"))).withColumn("v", py_strip(F.col("v")))
     else:
         x = x.where(~is_blank(F.col("v")))
+    if not order:
+        return x.groupBy(F.col("v").alias("original")).agg(F.min("j").alias("__j"))
     first = x.groupBy(F.col("v").alias("original")).agg(F.min(F.struct("j", "__rk")).alias("f"))
     return first.select("original", F.col("f.j").alias("__j"), F.col("f.__rk").alias("__rk"))
 
@@ -343,7 +347,7 @@ def pseudonymize(df: DataFrame, order: Sequence[str], name_columns: Sequence[str
         masked = masked.select("*", *[col(c).alias(f"__in_{c}") for c in listed])
     out_names = out_ids = None
     if name_columns:
-        out_names = materialize(build_name_map(first_seen(rows, order, name_columns, strip=False), name_columns,
+        out_names = materialize(build_name_map(first_seen(rows, (), name_columns, strip=False), name_columns,
                                                name_map, salt=salt), "name-map")
         masked = apply_mapping(masked, name_columns, _with_saved(out_names, name_map), "anonymized", strip=False, strategy=strategy)
     if id_columns:
