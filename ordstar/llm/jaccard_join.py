@@ -164,10 +164,10 @@ def regions_of(x: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def key_bits(rows: int) -> int:
-    """Bits of a region's key: enough for 256 regions a row with a chance of one in 64
-    that a key meets another's. Regions that meet only make candidates, and every
-    candidate is verified, so a narrower key costs no result and saves shuffle."""
-    return min(64, max(rows, 1).bit_length() + 14)
+    """Bits of a region's key. With 256 regions a row, about one row in 256 has a region
+    whose key meets another's. Candidates are verified, so that costs no result; but
+    components chain what meets, so far fewer than one meeting a row is needed."""
+    return min(64, max(rows, 1).bit_length() + 24)
 
 
 def narrowed(keys: np.ndarray, spares: np.ndarray, drop: np.uint64) -> tuple[np.ndarray, np.ndarray]:
