@@ -59,6 +59,8 @@ MOST = 1_500
 PIVOTS = 24
 #: Nodes of a region that are compared directly.
 LEAF = 192
+#: Texts whose sets a worker holds at a time.
+SLICE = 500
 #: Growth of size classes.
 CLASS_GROWTH = 1.5
 #: Percent of similarity below which sets leave their most popular regions.
@@ -163,6 +165,13 @@ def regions_of(x: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(out), np.concatenate(spares)
 
 
+def slices(batches: Iterator, rows: int = SLICE) -> Iterator:
+    """Batches in slices, so that a worker holds the sets of few texts at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def key_bits(rows: int) -> int:
     """Bits of a region's key. With 256 regions a row, about one row in 256 has a region
     whose key meets another's. Candidates are verified, so that costs no result; but
@@ -189,7 +198,7 @@ def sketch(df: DataFrame, key: str, text: str, n: int, percent: int) -> DataFram
         import pyarrow as pa
 
         seen: set[bytes | None] = set()
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingle_set(t, n) for t in batch.column(2).to_pylist()]
             names = [set_key(x) if len(x) else None for x in sets]
             found = []
@@ -215,7 +224,7 @@ def fetch_sets(df: DataFrame, key: str, text: str, n: int) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingle_set(t, n) for t in batch.column(0).to_pylist()]
             flat = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
             ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
