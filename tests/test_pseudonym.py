@@ -172,3 +172,21 @@ def test_originals_inside_longer_values(spark):
     assert got == {"note": (5, 0, 2), "a.name": (5, 2, 2)}
     none = pseudonym.embedded_leaks(out, ["note"], originals.where("original = '--'")).collect()
     assert [tuple(r) for r in none] == [("note", 5, 0, 0)]
+
+
+def test_first_occurrences_are_a_hash_aggregate_and_lookups_move_rows_once(spark):
+    df = spark.range(400).selectExpr("id AS r", "concat('B', id % 90) AS `buyer.nodes.name`", "if(id % 3 = 0, null, concat('T', id % 4)) AS `attributes.trader`",
+                                     f"concat(' G', id % 50) AS `{GTIN}`")
+    plan = pseudonym.first_seen(df, ["r"], [GTIN], strip=True)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    names = ["buyer.nodes.name", "attributes.trader"]
+    whole = sorted(map(tuple, pseudonymize(df, ["r"], name_columns=names, strategy="broadcast")[0].collect()))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000")  # the traders' entries fit, the buyers' do not
+        masked = pseudonymize(df, ["r"], name_columns=names)[0]
+        plan = masked._jdf.queryExecution().optimizedPlan().toString()
+        assert "collect_list" not in plan and plan.count("rightHint=(strategy=shuffle_hash)") == 1
+        assert sorted(map(tuple, masked.collect())) == whole
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
