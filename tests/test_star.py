@@ -102,3 +102,17 @@ def test_partial_key_summary_equals_row_level_load(spark):
     brute = rows.groupBy(d.key).agg(F.count(F.lit(1)).alias("n"), kpi.exact_sum(F.col("`produits.nodes.value`")).alias("v"))
     fast = star.partial_key_summary(st, dims, ORDER_STAR, d.name, ["produits.nodes.value"])
     assert sorted(map(tuple, brute.collect()), key=str) == sorted(map(tuple, fast.collect()), key=str)
+
+
+def test_small_dimensions_are_broadcast_and_joined_first(spark):
+    df = spark.createDataFrame([(i, f"B{i}", f"T{i % 3}" if i % 5 else None) for i in range(300)], "r long, b string, t string")
+    spec = StarSpec(dims=(DimSpec("big", "id_b", ("b",), join_key="b"), DimSpec("small", "id_t", ("t",), join_key="t")), fact_text=("r",), measures=())
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "2000")  # 300 rows of 28 bytes are more, 4 rows are less
+        fact = star.build_star(df, spec, order_key=("r",))[1]
+        plan = fact._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("rightHint=(strategy=broadcast)") == 1 and plan.index("strategy=broadcast") > plan.index("Join LeftOuter")
+        assert fact.where("id_b IS NULL OR id_t IS NULL").count() == 0 and fact.count() == 300
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
