@@ -66,6 +66,19 @@ def test_bpe_equals_the_library_and_decodes(docs, data, nothing):
     assert bpe.encode(nothing, RANKS, P.PATTERN).count() == 0
 
 
+def test_bpe_in_one_pass_equals_two_and_needs_one_worker(docs, nothing):
+    docs = docs.withColumn("IDS", F.lit(1))
+    one = bpe.encode_and_decode(docs, RANKS, P.PATTERN)
+    two = bpe.decode(bpe.encode(docs, RANKS, P.PATTERN), RANKS, P.PATTERN)
+    assert one.columns == two.columns and [f.dataType for f in one.schema] == [f.dataType for f in two.schema]
+    assert sorted(map(repr, one.collect())) == sorted(map(repr, two.collect()))
+    assert one._jdf.queryExecution().executedPlan().toString().count("Python") == 0
+    assert one._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert bpe.encode_and_decode(nothing, RANKS, P.PATTERN).count() == 0
+    small = bpe.encode_and_decode(docs.select(F.lit(" a b").alias("t")), RANKS, P.PATTERN, "t", "I", "d")
+    assert {bytes(r["d"]) for r in small.collect()} == {b" a b"} and small.columns == ["t", "I", "d"]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet=" \n\t\r\xa0  ab'sé日😀1.,!", max_size=60), st.integers(1, 7))
 def test_cut_places_are_safe(text, size):
