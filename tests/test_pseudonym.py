@@ -1,5 +1,6 @@
 from functools import partial
 
+import pytest
 from pyspark.sql import functions as F
 
 from ordstar.operators import pseudonym
@@ -190,3 +191,53 @@ def test_first_occurrences_are_a_hash_aggregate_and_lookups_move_rows_once(spark
         assert sorted(map(tuple, masked.collect())) == whole
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def _tables(spark, root):
+    """Small input tables: null and repeated keys, lines without order, part or supplier, blank names."""
+    made = {
+        "region": ("r_regionkey int, r_name string", [(0, "EUROPE"), (1, "MIDDLE EAST")]),
+        "nation": ("n_nationkey int, n_name string, n_regionkey int", [(0, "FRANCE", 0), (1, "IRAN", 1), (2, None, None)]),
+        "customer": ("c_custkey long, c_name string, c_nationkey int, c_mktsegment string",
+                     [(1, "Ann", 0, "AUTO"), (2, " ", 1, None), (3, "Bob", 2, "AUTO"), (3, "Bobby", None, "TOYS"), (None, "Nil", 0, "X")]),
+        "supplier": ("s_suppkey long, s_name string, s_nationkey int", [(1, "Ann", 0), (2, None, 1), (None, "S", 0)]),
+        "part": ("p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+                 [(1, "x", "B1", "T", 5, 1.0), (2, "y", None, "U", None, 2.0), (2, "z", "B1", "Ann", 3, None)]),
+        "orders": ("o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string",
+                   [(1, 1, "F", "1-URGENT"), (2, 3, "O", "5-LOW"), (3, 2, "P", None), (4, None, None, "1-URGENT"), (4, 3, "F", "1-URGENT"), (9, 1, "F", "unused")]),
+        "lineitem": ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double,"
+                     " l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+                     [(o, p, s, 1, 1.0, 2.0, None, 0.1, "R", "O", None) for o in (1, 2, 3, 4, 7, None) for p in (1, 2, 5, None) for s in (1, 2, 8, None)]),
+    }
+    for name, (schema, data) in made.items():
+        spark.createDataFrame(data, schema).write.parquet(f"{root}/{name}.parquet")
+
+
+@pytest.mark.parametrize("threshold", ["10485760", "-1"])
+def test_names_are_masked_in_the_tables_they_come_from(spark, tmp_path, threshold):
+    from ordstar.plans import queries
+
+    _tables(spark, tmp_path)
+    listed = [*queries.NAME_COLUMNS, *queries.CONTACT_COLUMNS]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        got = queries.q_pseudo_contacts(spark, str(tmp_path))
+        rows = queries.staging(spark, str(tmp_path), ["rowId", *listed])
+        want = pseudonym.pseudonymize(rows, queries.LINE_KEY, name_columns=listed, salt=queries.SALT)[0]
+        want = queries.safe(want.select("rowId", *queries.cols(listed), *queries.LINE_KEY))
+        assert got.dtypes == want.dtypes
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect())) and got.count() > 96
+        # No line moves for a lookup.
+        assert "hashpartitioning(__k" not in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_rows_are_numbered_without_their_order_key(spark):
+    rows = spark.createDataFrame([(i, "x", f"v{i % 3}") for i in range(20)], "k long, other string, v string")
+    first = pseudonym.first_seen(rows, ["k", "other"], ["v"], strip=True)
+    scan = [line for line in first._jdf.queryExecution().optimizedPlan().toString().splitlines() if "parquet" in line]
+    assert sorted((r["original"], r["__rk"]) for r in first.collect()) == [("v0", 0), ("v1", 1), ("v2", 2)]
+    path = first.inputFiles()[0].rsplit("/", 1)[0]
+    assert scan and spark.read.parquet(path).columns == ["v", "__mid"]
