@@ -69,7 +69,7 @@ def test_hashes_that_meet_are_matched_by_attributes(spark, no_broadcast, monkeyp
 
 
 def test_audit_and_fact_leave_only_what_they_return(spark):
-    for name, kept in (("fact_full_key", ["fact"]),):
+    for name, kept in (("fact_full_key", ["fact"]), ("integrity_audit", ["audit"])):
         before = set(session._MADE)
         df = QUERIES[name](spark, SMALL)
         assert [p.rsplit("/", 1)[1].rsplit("-", 1)[0] for p in session._MADE if p not in before] == kept
