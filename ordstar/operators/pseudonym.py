@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from ordstar.functions.text import capitalize, col, cols, is_blank, last_number, py_strip, zfill
 from ordstar.operators import parts
 from ordstar.operators.numbering import dense_number
-from ordstar.session import broadcast_limit, materialize, materialize_only, size_in_bytes
+from ordstar.session import broadcast_limit, freed_shuffles, materialize, materialize_only, size_in_bytes
 from ordstar.specs import ID_BLANK_TOKENS, ID_PREFIX, ID_TYPE_BY_NAME, ID_TYPE_BY_PART, ID_TYPE_DEFAULT
 
 NAME_MAP_COLUMNS = ("original", "anonymized", "category")
@@ -377,15 +377,16 @@ def pseudonymize(df: DataFrame, order: Sequence[str], name_columns: Sequence[str
     Inside ``parts.in_place`` the rows stay where they are written, and ``masked`` has to be written inside.
 
     Where ``df`` is a join, ``masked_rows(columns, mask)`` may make it again with ``mask(table,
-    columns)`` done in the tables that the name columns come from (``adapter.masked_staging``).
+    columns)`` done in the tables that the name columns come from (``adapter.masked_staging``), with
+    ``keep_input`` by ``masked_rows(columns, mask, True)`` and the unmasked values as ``__in_<column>``.
     """
     listed = [c for c in (*name_columns, *id_columns) if c in df.columns]
     skipped = [c for c in (*name_columns, *id_columns) if c not in df.columns]
     if skipped:
         warnings.warn(f"columns to mask not present, skipped: {skipped}")
     rows = df.select(*[col(c) for c in dict.fromkeys([*order, *listed])])
-    masked = df
-    if keep_input:
+    masked, at_tables = df, masked_rows is not None and bool(name_columns)
+    if keep_input and not at_tables:
         masked = masked.select("*", *[col(c).alias(f"__in_{c}") for c in listed])
     out_names = out_ids = None
     base = df if parts.PART in df.columns and parts.staying(df.sparkSession) else None
@@ -398,10 +399,12 @@ def pseudonymize(df: DataFrame, order: Sequence[str], name_columns: Sequence[str
             own = [c if c in present else None for c in name_columns]
             return apply_mapping(x, own, found, "anonymized", strip=False, strategy=strategy, asked=asked)
 
-        if masked_rows is None or keep_input:
+        if not at_tables:
             masked, base = _apply(masked, name_columns, found, "anonymized", False, strategy, asked, base)
         else:
-            masked = masked_rows([c for c in name_columns if c in df.columns], mask)
+            masked = masked_rows([c for c in name_columns if c in df.columns], mask, *([True] if keep_input else []))
+            if keep_input:
+                masked = masked.select("*", *[col(c).alias(f"__in_{c}") for c in listed if c not in name_columns])
     if id_columns:
         asked = materialize_only(lambda: first_seen(rows, order, id_columns, strip=True, numbered=numbered), "ids-seen")
         out_ids = materialize_only(lambda: build_id_map(asked, id_columns, id_map, width, salt=salt), "id-map")
@@ -416,22 +419,23 @@ def leak_report(masked: DataFrame, columns: Sequence[str], namespace: Sequence[s
     """Per column of a ``pseudonymize(..., keep_input=True)`` result: rows
     whose output still equals the input, and output values found among the
     input values of any ``namespace`` column (left-semi join against the
-    distinct inputs). Both must be 0 for a masked column."""
-    inputs = (masked.select(F.explode(F.array(*[col(f"__in_{c}").cast("string") for c in namespace])).alias("__v"))
-                    .where(F.col("__v").isNotNull()).distinct())
-    one = masked.agg(F.count(F.lit(1)).alias("n_rows"), *[
-        F.count(F.when(col(c) == col(f"__in_{c}"), True)).alias(f"u{i}") for i, c in enumerate(columns)])
-    unchanged = one.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col("n_rows"), F.col(f"u{i}").alias("n_unchanged"))
-        for i, c in enumerate(columns)])).alias("r")).select("r.*")
-    # Cells are counted per (column, value) before the join, so a hot value is one row.
-    outputs = masked.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), col(c).cast("string").alias("__v")) for c in columns])).alias("r")
-    ).select("r.*").groupBy("column", "__v").agg(F.count(F.lit(1)).alias("__n"))
-    exposed = outputs.join(inputs, "__v", "left_semi").groupBy("column").agg(F.sum("__n").alias("n_exposed"))
-    return (unchanged.join(exposed, "column", "left")
-                     .select("column", "n_rows", "n_unchanged",
-                             F.coalesce(F.col("n_exposed"), F.lit(0)).alias("n_exposed")))
+    distinct inputs). Both must be 0 for a masked column.
+
+    The rows are read once: cells are counted per (column, value) before anything is joined, so
+    a hot value is one row, and those counts are written."""
+    spark = masked.sparkSession
+    one = [F.struct(F.lit(c).alias("column"), col(c).cast("string").alias("v"), (col(c) == col(f"__in_{c}")).alias("same")) for c in columns]
+    own = [F.struct(F.lit(None).cast("string").alias("column"), col(f"__in_{c}").cast("string").alias("v"), F.lit(None).cast("boolean").alias("same")) for c in namespace]
+    cells = masked.select(F.explode(F.array(*one, *own)).alias("r")).select("r.*").groupBy("column", "v", "same").agg(F.count(F.lit(1)).alias("n"))
+    with freed_shuffles(spark):
+        cells = materialize(cells, "leak-cells")
+    inputs = cells.where(F.col("column").isNull() & F.col("v").isNotNull()).select("v")
+    outputs = cells.where(F.col("column").isNotNull())
+    rows = outputs.groupBy("column").agg(F.sum("n").alias("n_rows"), F.sum(F.when(F.col("same"), F.col("n"))).alias("n_unchanged"))
+    exposed = outputs.join(inputs, "v", "left_semi").groupBy("column").agg(F.sum("n").alias("n_exposed"))
+    listed = spark.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("column"))
+    return (listed.join(rows, "column", "left").join(exposed, "column", "left")
+                  .select("column", *[F.coalesce(F.col(n), F.lit(0).cast("bigint")).alias(n) for n in ("n_rows", "n_unchanged", "n_exposed")]))
 
 
 # --- originals inside longer values ------------------------------------------------------------

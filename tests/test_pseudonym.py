@@ -241,3 +241,34 @@ def test_rows_are_numbered_without_their_order_key(spark):
     assert sorted((r["original"], r["__rk"]) for r in first.collect()) == [("v0", 0), ("v1", 1), ("v2", 2)]
     path = first.inputFiles()[0].rsplit("/", 1)[0]
     assert scan and spark.read.parquet(path).columns == ["v", "__mid"]
+
+
+@pytest.mark.parametrize("threshold", ["10485760", "-1"])
+def test_inputs_are_kept_beside_names_masked_in_their_tables(spark, tmp_path, threshold):
+    from ordstar.plans import queries
+
+    _tables(spark, tmp_path)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        got = queries._names(spark, str(tmp_path), keep_input=True)[0]
+        rows = queries.staging(spark, str(tmp_path), ["rowId", *queries.NAME_COLUMNS, *queries.CONTACT_COLUMNS])
+        want = pseudonym.pseudonymize(rows, queries.LINE_KEY, name_columns=queries.NAME_COLUMNS, salt=queries.SALT, keep_input=True)[0]
+        assert got.dtypes == want.dtypes and "__in_buyer.nodes.name" in got.columns
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect())) and got.count() > 96
+        # No line moves for a lookup.
+        assert "hashpartitioning(__k" not in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_leak_report_reads_the_rows_once(spark):
+    data = [("x", "X1", "q", "q"), ("y", "y", "x", "x"), (None, "", None, None), ("y", "x", "q", "x"), ("x", "X1", None, "")]
+    masked = spark.createDataFrame(data, "`__in_a.n` string, `a.n` string, __in_c string, c string")
+    report = pseudonym.leak_report(masked, ["a.n", "c"], ["a.n"])
+    assert sorted(map(tuple, report.collect())) == [("a.n", 5, 1, 2), ("c", 5, 2, 2)]
+    # It reads what was counted, not the rows again.
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert "__in_" not in plan and "leak" in "".join(report.inputFiles())
+    none = pseudonym.leak_report(masked.limit(0), ["a.n", "c"], ["a.n"])
+    assert sorted(map(tuple, none.collect())) == [("a.n", 0, 0, 0), ("c", 0, 0, 0)] and none.dtypes == report.dtypes
